@@ -4,7 +4,7 @@ from importlib import import_module
 
 from lakeloom.plans.registry import ORACLES, QUERIES
 
-MODULES = ("coupon",)
+MODULES = ("coupon", "tables", "shaping", "combining", "sequences", "checking")
 for _m in MODULES:
     import_module(f"lakeloom.plans.{_m}")
 

@@ -72,10 +72,7 @@ def scan_lines(spark: SparkSession, path: str) -> DataFrame:
 def scan_documents(spark: SparkSession, folder: str, suffix: str = ".md") -> DataFrame:
     """Whole text and path of every document below a folder."""
     return (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{suffix}")
-        .text(folder)
+        spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}")
         .select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text"))
     )
 
