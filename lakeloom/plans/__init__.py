@@ -4,7 +4,9 @@ from importlib import import_module
 
 from lakeloom.plans.registry import ORACLES, QUERIES
 
-MODULES = ("coupon", "tables", "shaping", "combining", "sequences", "checking")
+MODULES = (
+    "coupon", "tables", "shaping", "combining", "sequences", "checking", "retrieval", "modeling", "streams",
+)
 for _m in MODULES:
     import_module(f"lakeloom.plans.{_m}")
 
