@@ -68,13 +68,13 @@ def days_between(end: Column | str, start: Column | str) -> Column:
 
 
 def seconds_of(c: Column | str) -> Column:
-    """Seconds since 1970 read off the wall clock, so free of time zones and monotone in ``c``."""
+    """Seconds since 1970 with their fraction, read off the wall clock: free of time zones, monotone in ``c``."""
     c = as_col(c)
     return (
         F.datediff(c, F.lit("1970-01-01").cast("date")).cast("double") * 86400
         + F.hour(c) * 3600
         + F.minute(c) * 60
-        + F.second(c)
+        + F.date_part(F.lit("SECOND"), c).cast("double")
     )
 
 

@@ -51,34 +51,44 @@ def threshold_sweep(
     The positive class for precision and recall is the normal one. In the four counts the normal class comes
     first: tn = normal kept, fp = normal flagged, fn = other kept, tp = other flagged.
     """
+    scalars = sorted(float(k) for k in scalars)
     stats = loss_stats(train_normal, loss)
     rows = test.select(F.col(loss).alias("x"), F.col(is_normal).cast("boolean").alias("y")).withColumn("s", stats)
-    limit = [F.col("s.mean") + F.lit(float(k)) * F.col("s.std") for k in scalars]
-    aggs: list[Column] = [F.max("s").alias("s")]
-    for i, t in enumerate(limit):
-        below = F.coalesce(F.col("x") < t, F.lit(False))
-        aggs += [
-            F.count_if(F.col("y") & below).alias(f"tn{i}"),
-            F.count_if(F.col("y") & ~below).alias(f"fp{i}"),
-            F.count_if(~F.col("y") & below).alias(f"fn{i}"),
-            F.count_if(~F.col("y") & ~below).alias(f"tp{i}"),
-        ]
-    one = rows.agg(*aggs)
-    zero = F.lit(0.0)
-    out = []
-    for i, k in enumerate(scalars):
-        tn, fp, fn, tp = (F.col(f"{n}{i}") for n in ("tn", "fp", "fn", "tp"))
-        out.append(
-            F.struct(
-                F.lit(float(k)).alias("std_scalar"),
-                (F.col("s.mean") + F.lit(float(k)) * F.col("s.std")).alias("threshold"),
-                F.try_divide(tn + tp, tn + fp + fn + tp).alias("accuracy"),
-                F.coalesce(F.try_divide(tn, tn + fn), zero).alias("precision"),
-                F.coalesce(F.try_divide(tn, tn + fp), zero).alias("recall"),
-                tn.alias("tn"), fp.alias("fp"), fn.alias("fn"), tp.alias("tp"),
-            )
+
+    def limit(k: Column) -> Column:
+        return F.col("s.mean") + k * F.col("s.std")
+
+    # how many limits a loss reaches; a missing loss reaches all. A handful of counts is all that is left then
+    reached = F.lit(0)
+    for k in scalars:
+        reached = reached + F.when(F.col("x") < limit(F.lit(k)), 0).otherwise(1)
+    counts = rows.groupBy("y", "s", reached.alias("reached")).agg(F.count(F.lit(1)).alias("n"))
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(k).alias("std_scalar")) for i, k in enumerate(scalars)])
+    below = F.col("reached") <= F.col("i")
+
+    def total(hit: Column) -> Column:
+        return F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0))
+
+    swept = (
+        counts.select("y", "s", "reached", "n", F.inline(steps))
+        .groupBy("std_scalar")
+        .agg(
+            F.max(limit(F.col("std_scalar"))).alias("threshold"),
+            total(F.col("y") & below).alias("tn"),
+            total(F.col("y") & ~below).alias("fp"),
+            total(~F.col("y") & below).alias("fn"),
+            total(~F.col("y") & ~below).alias("tp"),
         )
-    return one.select(F.inline(F.array(*out)))
+    )
+    zero, tn = F.lit(0.0), F.col("tn")
+    return swept.select(
+        "std_scalar",
+        "threshold",
+        F.try_divide(tn + F.col("tp"), tn + F.col("fp") + F.col("fn") + F.col("tp")).alias("accuracy"),
+        F.coalesce(F.try_divide(tn, tn + F.col("fn")), zero).alias("precision"),
+        F.coalesce(F.try_divide(tn, tn + F.col("fp")), zero).alias("recall"),
+        "tn", "fp", "fn", "tp",
+    )
 
 
 def threshold_select(sweep: DataFrame, min_tp: int) -> DataFrame:

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.functions.scalars import as_col, nan_to_null, row_sum
+from lakeloom.functions.scalars import nan_to_null, row_sum
 from lakeloom.operators.ordering import numbered
 
 MAX_CATEGORIES = 10_000
@@ -183,7 +184,8 @@ def one_hot(df: DataFrame, exclude: Sequence[str] = (), limit: int = 1_000) -> D
     return df.select(*out, *tail)
 
 
-def lookup_values(c: Column | str, mapping: Mapping[str, str]) -> Column:
-    """Value of a fixed dictionary, or the input where it is not listed."""
-    pairs = [F.lit(x) for kv in mapping.items() for x in kv]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), as_col(c)), as_col(c)) if pairs else as_col(c)
+def one_hot_vector(df: DataFrame, column: str, name: str) -> DataFrame:
+    """A sparse 0/1 vector of any number of categories, for columns too wide for one column each."""
+    coded = LabelEncoder.fit(df, [column]).apply(df, "__code").na.drop(subset=[column])
+    encoder = OneHotEncoder(inputCol=column + "__code", outputCol=name, dropLast=False)
+    return encoder.fit(coded).transform(coded).drop(column + "__code")

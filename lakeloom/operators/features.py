@@ -2,7 +2,7 @@
 
 Quantile, mode and distinct-set buffers of one group live in one task. Groups up to ``HOT_ROWS`` rows take
 that fast path in a single aggregation. Larger groups are counted by (group, value) first and their
-quantiles are read off running counts, so no task ever holds such a group.
+measures are read off the counts, so no task ever holds such a group.
 """
 
 from __future__ import annotations
@@ -11,13 +11,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeloom.operators.ordering import ROWS_PER_CUT, running
+from lakeloom.operators.ordering import ROWS_PER_CUT, running, same_keys, split_hot
+from lakeloom.session import materialize
 
 HOT_ROWS = 500_000
-MAX_BROADCAST_KEYS = 2_000_000
 Measure = tuple[str, str]  # (kind, column); kind: nunique, sum, median, q1, q3, mode
 _SHARES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+_KINDS = {"nunique", "sum", "mode", *_SHARES}
 
 
 def group_features(
@@ -28,24 +30,20 @@ def group_features(
     rows_per_cut: int = ROWS_PER_CUT,
 ) -> DataFrame:
     """One row per key with the named measures."""
+    unknown = {k for k, _ in measures.values()} - _KINDS
+    if unknown:
+        raise ValueError(f"unknown measures {sorted(unknown)}")
     df = df.select(*dict.fromkeys([key, *(c for _, c in measures.values())]))
-    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
-    hot = hot.select(F.col(key).alias("__hot"))
-    n_hot = hot.count()  # never more than rows / hot_rows
-    if n_hot == 0:
-        return _compact(df, key, measures)
-    if n_hot <= MAX_BROADCAST_KEYS:
-        hot = F.broadcast(hot)
-    same = F.col(key).eqNullSafe(F.col("__hot"))
-    cool_part, hot_part = df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
-    return _compact(cool_part, key, measures).unionByName(_spread(hot_part, key, measures, rows_per_cut))
+    cool, hot = split_hot(df, [key], hot_rows)
+    out = _compact(cool, key, measures)
+    return out if hot is None else out.unionByName(_spread(hot, key, measures, rows_per_cut))
 
 
 def _compact(df: DataFrame, key: str, measures: Mapping[str, Measure]) -> DataFrame:
     """One aggregation; the three quantiles of a column share one buffer."""
     aggs: list[Column] = [
         F.percentile(F.col(c), F.array(*[F.lit(s) for s in _SHARES.values()])).alias(f"__q_{c}")
-        for c in _quantile_columns(measures)
+        for c in dict.fromkeys(c for k, c in measures.values() if k in _SHARES)
     ]
     place = {k: i for i, k in enumerate(_SHARES)}
     out: list[Column] = [F.col(key)]
@@ -58,33 +56,61 @@ def _compact(df: DataFrame, key: str, measures: Mapping[str, Measure]) -> DataFr
             agg = (F.size(F.collect_set(c)) + F.count_if(F.col(c).isNull())).cast("long")
         elif kind == "sum":
             agg = F.coalesce(F.sum(c), F.lit(0))
-        elif kind == "mode":
-            agg = F.mode(F.col(c), True)
         else:
-            raise ValueError(f"unknown measure {kind!r}")
+            agg = F.mode(F.col(c), True)
         aggs.append(agg.alias(name))
         out.append(F.col(name))
     return df.groupBy(key).agg(*aggs).select(*out)
 
 
+_VALUE_TYPES = {"i": "long", "x": "double", "s": "string"}
+
+
+def _slot(df: DataFrame, column: str) -> str:
+    """Which of the three value columns of the long form holds this column."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.IntegralType):
+        return "i"
+    return "x" if isinstance(kind, (T.DoubleType, T.FloatType)) else "s"
+
+
 def _spread(df: DataFrame, key: str, measures: Mapping[str, Measure], rows_per_cut: int) -> DataFrame:
-    """The same measures from value counts, for groups too large for one task."""
+    """The same measures from value counts, for groups too large for one task.
+
+    All columns are counted in one pass as rows (key, column, value, count).
+    """
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, (k, c) in measures.items() if k == "sum"]
     out = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), *sums)
-    for column in dict.fromkeys(c for k, c in measures.values() if k in ("nunique", "mode")):
-        wanted = {n: k for n, (k, c) in measures.items() if c == column and k in ("nunique", "mode")}
-        out = _left_on_key(out, _from_value_counts(df, key, column, wanted), key)
-    columns = _quantile_columns(measures)
-    if columns:
-        long = df.select(
-            key,
-            F.inline(
-                F.array(*[F.struct(F.lit(c).alias("__m"), F.col(c).cast("double").alias("__x")) for c in columns])
-            ),
-        )
-        counts = long.groupBy(key, "__m", "__x").agg(F.count(F.lit(1)).alias("__c"))
-        found = exact_quantiles(counts, [key, "__m"], "__x", "__c", _SHARES, rows_per_cut)
-        wide = found.groupBy(key).agg(
+    counted = dict.fromkeys(c for k, c in measures.values() if k != "sum")
+    if not counted:
+        return out.select(key, *measures)
+
+    def row(c: str) -> Column:
+        slot = _slot(df, c)
+        values = [(F.col(c) if s == slot else F.lit(None)).cast(t).alias(s) for s, t in _VALUE_TYPES.items()]
+        return F.struct(F.lit(c).alias("__m"), *values)
+
+    long = df.select(F.col(key).alias("__key"), F.inline(F.array(*[row(c) for c in counted])))
+    counts = materialize(long.groupBy("__key", "__m", *_VALUE_TYPES).agg(F.count(F.lit(1)).alias("__c")), "value-counts")
+
+    aggs: list[Column] = []
+    for name, (kind, c) in measures.items():
+        v, mine = F.col(_slot(df, c)), F.col("__m") == c
+        if kind == "nunique":
+            n = F.when(v.isNull(), F.col("__c")).otherwise(F.lit(1))
+            aggs.append(F.sum(F.when(mine, n)).alias(name))
+        elif kind == "mode":
+            ranked = F.struct((-F.col("__c")).alias("c"), v.alias("v"))
+            best = F.min(F.when(mine & v.isNotNull(), ranked))["v"]
+            aggs.append(best.cast(df.schema[c].dataType).alias(name))
+    if aggs:
+        out = _left_on_key(out, counts.groupBy("__key").agg(*aggs), key)
+
+    numbers = list(dict.fromkeys(c for k, c in measures.values() if k in _SHARES))
+    if numbers:
+        rows = counts.filter(F.col("__m").isin(numbers)).withColumn("__v", F.coalesce("x", F.col("i").cast("double")))
+        found = exact_quantiles(rows, ["__key", "__m"], "__v", "__c", _SHARES, rows_per_cut)
+        wide = found.groupBy("__key").agg(
             *[
                 F.max(F.when(F.col("__m") == c, F.col(kind))).alias(n)
                 for n, (kind, c) in measures.items()
@@ -95,19 +121,6 @@ def _spread(df: DataFrame, key: str, measures: Mapping[str, Measure], rows_per_c
     return out.select(key, *measures)
 
 
-def _from_value_counts(df: DataFrame, key: str, column: str, wanted: Mapping[str, str]) -> DataFrame:
-    v = F.col("__v")
-    counts = df.select(key, F.col(column).alias("__v")).groupBy(key, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    aggs: list[Column] = []
-    for name, kind in wanted.items():
-        if kind == "nunique":
-            aggs.append(F.sum(F.when(v.isNull(), F.col("__c")).otherwise(F.lit(1))).alias(name))
-        else:
-            ranked = F.struct((-F.col("__c")).alias("c"), v.alias("v"))
-            aggs.append(F.min(F.when(v.isNotNull(), ranked))["v"].alias(name))
-    return counts.groupBy(key).agg(*aggs)
-
-
 def exact_quantiles(
     counts: DataFrame,
     keys: Sequence[str],
@@ -118,14 +131,10 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per key from rows of distinct values and their counts."""
     keys = list(keys)
-    known = counts.filter(F.col(value).isNotNull())
+    known = counts.filter(F.col(value).isNotNull()).select(*keys, value, count)
     upto = running(known, keys, [value], F.col(value), {"__upto": F.col(count)}, rows_per_cut=rows_per_cut)
     totals = known.groupBy(*keys).agg(F.sum(count).alias("__total"))
-    totals = totals.withColumnsRenamed({k: f"__t_{k}" for k in keys})
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__t_{k}"))
-    placed = upto.join(totals, same, "left")
+    placed = upto.join(totals.withColumnsRenamed({k: "__t_" + k for k in keys}), same_keys(keys, "__t_"), "left")
     aggs: list[Column] = []
     for n, s in shares.items():
         at = F.lit(s) * (F.col("__total") - 1)
@@ -134,16 +143,13 @@ def exact_quantiles(
             F.min(F.when(F.col("__upto") > F.ceil(at), F.col(value))).alias(f"__hi_{n}"),
             F.max(at - F.floor(at)).alias(f"__w_{n}"),
         ]
-    lo, hi, w = (lambda n: F.col(f"__lo_{n}")), (lambda n: F.col(f"__hi_{n}")), (lambda n: F.col(f"__w_{n}"))
-    return placed.groupBy(*keys).agg(*aggs).select(
-        *keys, *[(lo(n) + (hi(n) - lo(n)) * w(n)).cast("double").alias(n) for n in shares]
-    )
 
+    def between(n: str) -> Column:
+        lo, hi, w = F.col(f"__lo_{n}"), F.col(f"__hi_{n}"), F.col(f"__w_{n}")
+        return (lo + (hi - lo) * w).cast("double").alias(n)
 
-def _quantile_columns(measures: Mapping[str, Measure]) -> list[str]:
-    return list(dict.fromkeys(c for k, c in measures.values() if k in _SHARES))
+    return placed.groupBy(*keys).agg(*aggs).select(*keys, *[between(n) for n in shares])
 
 
 def _left_on_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    right = right.withColumnRenamed(key, "__rk")
-    return left.join(right, F.col(key).eqNullSafe(F.col("__rk")), "left").drop("__rk")
+    return left.join(right, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")

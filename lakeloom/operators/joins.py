@@ -27,6 +27,34 @@ def left_join_on(tables: Sequence[DataFrame], key: str) -> DataFrame:
     return left_join_all(tables[0], [(t, key) for t in tables[1:]])
 
 
+def left_join_many(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """Left join whose right side may hold a hot key.
+
+    Spark can neither broadcast the left side of a left join nor split a hot right partition. An inner join
+    allows both, so matched rows come from one, and unmatched left rows are added from an anti join against
+    the distinct keys.
+    """
+    matched = left.join(right, on, "inner")
+    keys = right.select(on).filter(F.col(on).isNotNull()).distinct()
+    alone = left.join(keys, on, "left_anti")
+    filled = alone.select(
+        *left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != on]
+    )
+    return matched.select(*filled.columns).unionByName(filled)
+
+
+def broadcast_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """The table marked for broadcast when it has at most ``max_rows`` rows, otherwise as it was.
+
+    The rows are counted from a kept copy of at most ``max_rows + 1`` rows, so they are computed once.
+    """
+    kept = df.limit(max_rows + 1).persist()
+    if kept.count() <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df
+
+
 def optional_left_join(left: DataFrame, right: DataFrame | None, on: str | Sequence[str]) -> DataFrame:
     return left if right is None else left.join(right, on, "left")
 

@@ -1,15 +1,16 @@
 """Running totals and ranks that stay parallel when one key holds most of the rows.
 
-A plain window sorts a whole key in one task. Here the order column is cut at quantiles, each
-(key, cut) is windowed on its own, and the totals of the earlier cuts are added. Cuts are only made
-when the table has more rows than one task should sort.
+A plain window sorts a whole key in one task. That is fine up to ``ROWS_PER_CUT`` rows. Larger keys are cut at
+quantiles of their order column, each (key, cut) is windowed on its own, and the totals of the earlier cuts
+are added. The rows of all other keys go through the plain window.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -19,8 +20,36 @@ from pyspark.sql import Window as W
 from lakeloom.functions.scalars import as_col
 
 ROWS_PER_CUT = 5_000_000
-MAX_CUTS = 4096
-_POS, _CUT, _OFF = "__pos", "__cut", "__off_"
+MAX_CUTS = 2048
+MAX_BROADCAST_KEYS = 2_000_000
+_POS, _CUT = "__pos", "__cut"
+
+
+def same_keys(keys: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of key columns with their prefixed copies."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys], F.lit(True))
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame | None:
+    """Keys with more than ``rows`` rows, their columns prefixed ``__hot_``; None when there are none.
+
+    There are never more than (all rows / rows) of them, which is checked before they are broadcast.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows)
+    found = counted.select([F.col(k).alias("__hot_" + k) for k in keys])
+    n = found.count()
+    if n == 0:
+        return None
+    return F.broadcast(found) if n <= MAX_BROADCAST_KEYS else found
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary keys and, apart, rows of hot ones (None when there are none)."""
+    hot = hot_keys(df, keys, rows)
+    if hot is None:
+        return df, None
+    same = same_keys(keys, "__hot_")
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
 
 @dataclass(frozen=True)
@@ -31,13 +60,12 @@ class Cuts:
 
     @classmethod
     def fit(cls, df: DataFrame, position: Column, rows_per_cut: int = ROWS_PER_CUT) -> Cuts:
-        rows = df.count()
-        wanted = min(MAX_CUTS, math.ceil(rows / rows_per_cut))
+        wanted = min(MAX_CUTS, math.ceil(df.count() / rows_per_cut))
         if wanted <= 1:
             return cls(())
         shares = [i / wanted for i in range(1, wanted)]
-        found = df.agg(F.percentile_approx(position.cast("double"), shares, 20_000).alias("p")).first()
-        return cls(tuple(sorted({float(v) for v in (found["p"] or [])})))
+        found = df.agg(F.percentile_approx(position.cast("double"), shares, 10_000).alias("p")).first()["p"]
+        return cls(tuple(sorted({float(v) for v in found or []})))
 
     def assign(self, df: DataFrame, position: Column) -> DataFrame:
         """Add the cut number; rows without a position come first, as NULL sorts first."""
@@ -52,6 +80,20 @@ class Cuts:
         )
 
 
+def _by_size(
+    df: DataFrame, keys: Sequence[str], position: Column, rows_per_cut: int,
+    plain: Callable[[DataFrame], DataFrame], cut: Callable[[DataFrame, Cuts], DataFrame],
+) -> DataFrame:
+    """Send ordinary keys through the plain window and hot ones through the cut one."""
+    if not keys:
+        cuts = Cuts.fit(df, position, rows_per_cut)
+        return cut(df, cuts) if cuts.points else plain(df)
+    cool, hot = split_hot(df, keys, rows_per_cut)
+    if hot is None:
+        return plain(df)
+    return plain(cool).unionByName(cut(hot, Cuts.fit(hot, position, rows_per_cut)))
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -59,119 +101,84 @@ def running(
     position: Column | str,
     sums: Mapping[str, Column | str],
     *,
-    cuts: Cuts | None = None,
     rows_per_cut: int = ROWS_PER_CUT,
 ) -> DataFrame:
     """Running sums from the first row of each key up to and including the current row.
 
-    ``order`` must be a total order within a key and ``position`` a number that never falls along it.
+    ``order`` must be a total order within a key and ``position`` a number that never falls along it. Equal
+    positions share a cut, so a position should also tell rows of one order value apart where there are many.
     """
-    position = as_col(position)
+    keys, position = list(keys), as_col(position)
     order = [as_col(o) for o in order]
-    keys = list(keys)
-    cuts = Cuts.fit(df, position, rows_per_cut) if cuts is None else cuts
     measures = {name: as_col(c) for name, c in sums.items()}
-    if not cuts.points and keys:
-        w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        return df.withColumns({name: F.sum(c).over(w) for name, c in measures.items()})
-
-    cut = cuts.assign(df, position)
-    within = W.partitionBy(*keys, _CUT).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    local = cut.withColumns({name: F.sum(c).over(within) for name, c in measures.items()})
-    if not cuts.points:
-        return local.drop(_CUT)
-    totals = cut.groupBy(*keys, _CUT).agg(*[F.sum(c).alias(_OFF + n) for n, c in measures.items()])
-    # at most MAX_CUTS rows per key reach one task here
-    before = W.partitionBy(*keys).orderBy(_CUT).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(*keys, _CUT, *[F.sum(_OFF + n).over(before).alias(_OFF + n) for n in measures])
-    renamed = offsets.select(*[F.col(k).alias("__k_" + k) for k in keys], F.col(_CUT).alias("__k_cut"),
-                             *[_OFF + n for n in measures])
-    match = F.col(_CUT) == F.col("__k_cut")
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col("__k_" + k))
-    # sum() skips missing values, and so does the offset: NULL only when nothing was seen at all
-    def joined(name: str) -> Column:
-        a, b = F.col(name), F.col(_OFF + name)
-        return F.when(a.isNull() & b.isNull(), a).otherwise(
-            F.coalesce(a, b - b) + F.coalesce(b, a - a)
+    names = [*df.columns, *[n for n in measures if n not in df.columns]]
+
+    def window(*parts: str):
+        return W.partitionBy(*parts).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+
+    def plain(part: DataFrame) -> DataFrame:
+        # without keys the one partition holds at most rows_per_cut rows
+        w = window(*keys)
+        return part.withColumns({name: F.sum(c).over(w) for name, c in measures.items()}).select(*names)
+
+    def cut(part: DataFrame, cuts: Cuts) -> DataFrame:
+        placed = cuts.assign(part, position)
+        totals = placed.groupBy(*keys, _CUT).agg(*[F.sum(c).alias("__o_" + n) for n, c in measures.items()])
+        # at most MAX_CUTS rows per key reach one task here
+        before = W.partitionBy(*keys).orderBy(_CUT).rowsBetween(W.unboundedPreceding, -1)
+        offsets = totals.select(
+            *[F.col(k).alias("__k_" + k) for k in (*keys, _CUT)],
+            *[F.sum("__o_" + n).over(before).alias("__o_" + n) for n in measures],
         )
+        w = window(*keys, _CUT)
+        local = placed.withColumns({name: F.sum(c).over(w) for name, c in measures.items()})
+
+        def total(name: str) -> Column:
+            # like sum(): missing values are skipped, and the result is missing only if nothing was seen
+            here, earlier = F.col(name), F.col("__o_" + name)
+            return F.coalesce(here + earlier, here, earlier)
+
+        joined = local.join(offsets, same_keys([*keys, _CUT], "__k_"), "left")
+        return joined.withColumns({n: total(n) for n in measures}).select(*names)
 
-    return (
-        local.join(renamed, match, "left")
-        .withColumns({n: joined(n) for n in measures})
-        .select(*df.columns, *[n for n in measures if n not in df.columns])
-    )
+    return _by_size(df, keys, position, rows_per_cut, plain, cut)
 
 
 def numbered(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column | str],
-    position: Column | str,
-    name: str = "row_id",
-    *,
-    cuts: Cuts | None = None,
-    rows_per_cut: int = ROWS_PER_CUT,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], position: Column | str,
+    name: str = "row_id", *, rows_per_cut: int = ROWS_PER_CUT,
 ) -> DataFrame:
     """Row numbers 1..n per key (or over the whole table when ``keys`` is empty)."""
-    return running(
-        df, keys, order, position, {name: F.lit(1).cast("long")}, cuts=cuts, rows_per_cut=rows_per_cut
-    )
+    return running(df, keys, order, position, {name: F.lit(1).cast("long")}, rows_per_cut=rows_per_cut)
 
 
 def next_known(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    position: Column | str,
-    value: str,
-    name: str,
-    *,
-    cuts: Cuts | None = None,
-    rows_per_cut: int = ROWS_PER_CUT,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], position: Column | str,
+    value: str, name: str, *, rows_per_cut: int = ROWS_PER_CUT,
 ) -> DataFrame:
     """Value of the row, or else of the next row of the key that has one (backfill)."""
-    position = as_col(position)
-    keys = list(keys)
-    cuts = Cuts.fit(df, position, rows_per_cut) if cuts is None else cuts
-    cut = cuts.assign(df, position)
-    # read backwards: a frame that only grows costs one pass, an unbounded-following one does not
-    back = (
-        W.partitionBy(*keys, _CUT)
-        .orderBy(*[F.col(o).desc() for o in order])
-        .rowsBetween(W.unboundedPreceding, 0)
-    )
-    local = cut.withColumn(name, F.last(value, ignorenulls=True).over(back))
-    if not cuts.points:
-        return local.drop(_CUT)
-    firsts = (
-        cut.filter(F.col(value).isNotNull())
-        .groupBy(*keys, _CUT)
-        .agg(F.min_by(F.col(value), F.struct(*order)).alias("__first"))
-    )
-    spots = cut.select(*keys, _CUT).distinct().join(
-        firsts.select(*[F.col(k).alias("__k_" + k) for k in keys], F.col(_CUT).alias("__k_cut"), "__first"),
-        _same(keys) & (F.col(_CUT) == F.col("__k_cut")),
-        "left",
-    )
-    later = W.partitionBy(*keys).orderBy(F.col(_CUT).desc()).rowsBetween(W.unboundedPreceding, -1)
-    ahead = spots.select(
-        *[F.col(k).alias("__a_" + k) for k in keys],
-        F.col(_CUT).alias("__a_cut"),
-        F.last("__first", ignorenulls=True).over(later).alias("__ahead"),
-    )
-    match = F.col(_CUT) == F.col("__a_cut")
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col("__a_" + k))
-    return (
-        local.join(ahead, match, "left")
-        .withColumn(name, F.coalesce(F.col(name), F.col("__ahead")))
-        .select(*df.columns, *([name] if name not in df.columns else []))
-    )
-
-
-def _same(keys: Sequence[str]) -> Column:
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col("__k_" + k))
-    return match
+    keys, position = list(keys), as_col(position)
+    names = [*df.columns, *([name] if name not in df.columns else [])]
+    backwards = [F.col(o).desc() for o in order]
+
+    def window(*parts: str):
+        # read backwards: a frame that only grows costs one pass, an unbounded-following one does not
+        return W.partitionBy(*parts).orderBy(*backwards).rowsBetween(W.unboundedPreceding, 0)
+
+    def plain(part: DataFrame) -> DataFrame:
+        return part.withColumn(name, F.last(value, ignorenulls=True).over(window(*keys))).select(*names)
+
+    def cut(part: DataFrame, cuts: Cuts) -> DataFrame:
+        placed = cuts.assign(part, position)
+        known = F.when(F.col(value).isNotNull(), F.struct(*order))
+        firsts = placed.groupBy(*keys, _CUT).agg(F.min_by(F.col(value), known).alias("__first"))
+        later = W.partitionBy(*keys).orderBy(F.col(_CUT).desc()).rowsBetween(W.unboundedPreceding, -1)
+        ahead = firsts.select(
+            *[F.col(k).alias("__k_" + k) for k in (*keys, _CUT)],
+            F.last("__first", ignorenulls=True).over(later).alias("__ahead"),
+        )
+        local = placed.withColumn(name, F.last(value, ignorenulls=True).over(window(*keys, _CUT)))
+        joined = local.join(ahead, same_keys([*keys, _CUT], "__k_"), "left")
+        return joined.withColumn(name, F.coalesce(F.col(name), F.col("__ahead"))).select(*names)
+
+    return _by_size(df, keys, position, rows_per_cut, plain, cut)

@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.operators.joins import broadcast_small
 from lakeloom.operators.rows import top_per_group
 
 QUERY_BLOCK = 2_048
+SLICE = 2_048
 
 
 def hashed_embedding(text: str, dim: int = 64) -> list[float]:
@@ -58,8 +60,8 @@ def knn_l2(
 ) -> DataFrame:
     """Exact ``k`` nearest vectors of every query: (query_id, vector_id, distance, rank).
 
-    Queries go out in blocks of at most ``block`` rows (2,048 x 1,536 floats are 25 MB). Each task keeps
-    ``k`` candidates per query and Arrow batch, so never a row per pair. The vectors are read once per block.
+    Queries go out in blocks of at most ``block`` rows (2,048 x 1,536 doubles are 25 MB). Each task emits ``k``
+    rows per query, never a row per pair. The vectors are read once per block.
     """
     qs = queries.select(F.col(query_id).cast("long"), query_vector).orderBy(query_id)
     rows = qs.limit(block + 1).collect()
@@ -87,33 +89,39 @@ def _nearest(vectors: DataFrame, queries: list, k: int, vector_id: str, query_id
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q_ids, q = sent.value
         q_norm = (q * q).sum(1)
+        # best rows so far as (query number, vector id, distance), k per query
+        best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            v_ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            v = _matrix(batch.column(1))
-            # squares and products pick the candidates, with a margin for rounding; the differences rank them
-            approx = q_norm[:, None] + (v * v).sum(1)[None, :] - 2.0 * (q @ v.T)
-            keep = min(k, len(v_ids))
-            border = np.partition(approx, keep - 1, axis=1)[:, keep - 1]
-            near_q, near_v = np.nonzero(approx <= (border + 1e-9 * (1.0 + np.abs(border)))[:, None])
-            gap = v[near_v] - q[near_q]
-            distance = np.sqrt((gap * gap).sum(1))
-            order = np.lexsort((v_ids[near_v], distance, near_q))
-            near_q, near_v, distance = near_q[order], near_v[order], distance[order]
-            starts = np.searchsorted(near_q, np.arange(len(q_ids)))
-            place = np.arange(len(near_q)) - starts[near_q]
-            top = place < k
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(q_ids[near_q[top]]), pa.array(v_ids[near_v[top]]), pa.array(distance[top])],
-                names=[query_id, vector_id, "distance"],
-            )
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                v_ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                v = _matrix(part.column(1))
+                # squares and products pick the candidates, with a margin for rounding; differences rank them
+                rough = q_norm[:, None] + (v * v).sum(1)[None, :] - 2.0 * (q @ v.T)
+                keep = min(k, len(v_ids)) - 1
+                border = np.partition(rough, keep, axis=1)[:, keep]
+                near_q, near_v = np.nonzero(rough <= (border + 1e-9 * (1.0 + np.abs(border)))[:, None])
+                gap = v[near_v] - q[near_q]
+                found = (near_q, v_ids[near_v], np.sqrt((gap * gap).sum(1)))
+                best = _first_k(*[np.concatenate(pair) for pair in zip(best, found)], k)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(q_ids[best[0]]), pa.array(best[1]), pa.array(best[2])], names=[query_id, vector_id, "distance"]
+        )
 
     return vectors.select(F.col(vector_id).cast("long"), vector).mapInArrow(
         search, f"`{query_id}` long, `{vector_id}` long, distance double"
     )
 
 
+def _first_k(group: np.ndarray, ids: np.ndarray, distance: np.ndarray, k: int) -> tuple:
+    """The ``k`` smallest distances of each group, smaller ids first among ties."""
+    order = np.lexsort((ids, distance, group))
+    group, ids, distance = group[order], ids[order], distance[order]
+    first = np.searchsorted(group, group, side="left")
+    top = np.arange(len(group)) - first < k
+    return group[top], ids[top], distance[top]
+
+
 @F.arrow_udf(T.DoubleType())
 def cosine(a: pa.Array, b: pa.Array) -> pa.Array:
     """Cosine similarity of two vector columns; NULL for a zero vector."""
@@ -131,9 +139,10 @@ def cosine_topk(
     """The ``k`` most similar documents of each query's own page with at least ``threshold`` similarity.
 
     The page is an equi-join key and each page has one query, so the result of the join is as long as the
-    documents. Each map task keeps ``k`` rows per page before the shuffle of the ranking.
+    documents. Few queries are broadcast; many are joined by shuffle, where Spark splits a hot page. Each map
+    task keeps ``k`` rows per page before the shuffle of the ranking.
     """
-    pairs = documents.join(queries.select(page, query_vector), page).select(
+    pairs = documents.join(broadcast_small(queries.select(page, query_vector)), page).select(
         page, document_id, cosine(F.col(vector), F.col(query_vector)).alias("similarity")
     )
     close = pairs.filter(F.col("similarity") >= threshold)

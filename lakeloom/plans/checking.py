@@ -9,7 +9,8 @@ from lakeloom.operators import allocation as A
 from lakeloom.operators import anomaly
 from lakeloom.operators import quality as Q
 from lakeloom.operators import summaries as S
-from lakeloom.plans.registry import Tables, near, near_all, near_sql, query
+from lakeloom.operators.rows import split_random
+from lakeloom.plans.registry import Tables, near, near_all, near_sql, query, train_sql
 
 RESULT = "'{suite}' AS suite, '{level}' AS level, '{kind}' AS expectation, '{column}' AS \"column\""
 
@@ -151,8 +152,8 @@ def dq_report(t: Tables) -> DataFrame:
 
 # --- losses and thresholds -------------------------------------------------------------------------------
 
-LOSS_SQL = """
-l AS (SELECT doc_id, quality = 1 AS is_normal, doc_id % 5 <> 0 AS is_train,
+LOSS_SQL = f"""
+l AS (SELECT doc_id, quality = 1 AS is_normal, {train_sql("doc_id", seed=1)} AS is_train,
              CASE WHEN n_chars > 0 THEN abs(ln(CAST(n_chars AS DOUBLE)) - 6.5e0) + CASE WHEN quality = 1 THEN 0e0 ELSE 0.75e0 END END AS loss
       FROM labels JOIN documents USING (doc_id)),
 st AS (SELECT avg(loss) AS m, stddev_pop(loss) AS s FROM l WHERE is_train AND is_normal)"""
@@ -163,7 +164,8 @@ def losses(t: Tables) -> DataFrame:
     joined = t.labels.join(t.documents.select("doc_id", "n_chars"), "doc_id")
     n = F.col("n_chars")
     loss = F.when(n > 0, F.abs(F.log(n.cast("double")) - 6.5) + F.when(F.col("quality") == 1, 0.0).otherwise(0.75))
-    return joined.select("doc_id", (F.col("quality") == 1).alias("is_normal"), (F.col("doc_id") % 5 != 0).alias("is_train"), loss.alias("loss"))
+    out = joined.select("doc_id", (F.col("quality") == 1).alias("is_normal"), loss.alias("loss"))
+    return split_random(out, ["doc_id"], 0.8, 1)
 
 
 def train_normal(rows: DataFrame) -> DataFrame:

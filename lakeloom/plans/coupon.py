@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions.scalars import days_between, flag_nonzero, safe_ratio, weekday_monday0
 from lakeloom.operators import columns as C
 from lakeloom.operators.features import group_features
-from lakeloom.operators.joins import left_join, left_join_all
+from lakeloom.operators.joins import left_join_all, left_join_many
 from lakeloom.plans.registry import Tables, near_all, near_sql, query
 
 
@@ -92,7 +92,7 @@ def customer_features(tx: DataFrame, **options: int) -> DataFrame:
 
 def coupon_features(coupon_items: DataFrame, tx: DataFrame, **options: int) -> DataFrame:
     """17 measures per coupon over all transactions of its items."""
-    joined = left_join(coupon_items, tx, "item_id")
+    joined = left_join_many(coupon_items, tx, "item_id")
     return C.prefix_columns(group_features(joined, "coupon_id", COUPON_MEASURES, **options), "coupon_", ["coupon_id"])
 
 

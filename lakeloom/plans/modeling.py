@@ -10,7 +10,7 @@ from lakeloom.operators import models as M
 from lakeloom.operators import scaling as Z
 from lakeloom.operators.anomaly import with_loss
 from lakeloom.operators.rows import split_random
-from lakeloom.plans.registry import Tables, near, near_all, near_sql, query
+from lakeloom.plans.registry import Tables, near, near_all, near_sql, query, train_sql
 from lakeloom.session import scratch_path
 
 PRICE_SQL = "FROM customer, (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi, avg(c_acctbal) AS mean, stddev_samp(c_acctbal) AS ss, stddev_pop(c_acctbal) AS sp FROM customer)"
@@ -45,7 +45,7 @@ def impute_mean(t: Tables) -> DataFrame:
 
 @query("fit_apply_preprocessor", f"""
 WITH a AS (SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS balance, CASE WHEN c_nationkey > 3 THEN c_nationkey END AS code FROM customer),
-s AS (SELECT min(balance) AS lo, max(balance) AS hi, avg(balance) AS mean, avg(code) AS code_mean FROM a WHERE c_custkey % 5 <> 0)
+s AS (SELECT min(balance) AS lo, max(balance) AS hi, avg(balance) AS mean, avg(code) AS code_mean FROM a WHERE {train_sql("c_custkey")})
 SELECT c_custkey, {near_sql('(coalesce(balance, mean) - lo) / (hi - lo)')} AS balance, {near_sql('coalesce(code, code_mean)')} AS code FROM a, s""")
 def fit_apply_preprocessor(t: Tables) -> DataFrame:
     """Parameters fitted on the train part, saved, loaded and applied to all rows."""
@@ -54,7 +54,8 @@ def fit_apply_preprocessor(t: Tables) -> DataFrame:
         F.when(F.col("c_nationkey") > 3, F.col("c_nationkey")).alias("code"),
     )
     path = scratch_path(t.spark, "preprocessor")
-    Z.Preprocessor.fit(some.filter("c_custkey % 5 <> 0"), ["balance"], ["code"]).save(t.spark, path)
+    train = split_random(some, ["c_custkey"], 0.8).filter("is_train")
+    Z.Preprocessor.fit(train, ["balance"], ["code"]).save(t.spark, path)
     return near_all(Z.Preprocessor.load(t.spark, path).apply(some))
 
 

@@ -62,3 +62,14 @@ def near_sql(expression: str, places: int = 6) -> str:
 def near_all(df: DataFrame, places: int = 6, skip: tuple[str, ...] = ()) -> DataFrame:
     """All double columns rounded by ``near``."""
     return df.withColumns({n: near(n, places) for n, k in df.dtypes if k == "double" and n not in skip})
+
+
+def hash_sql(*keys: str, seed: int = 0) -> str:
+    """SQL twin of ``stable_hash``."""
+    text = " || '|' || ".join([f"'{seed}'", *keys])
+    return f"CAST('0x' || substr(md5({text}), 1, 12) AS BIGINT)"
+
+
+def train_sql(*keys: str, seed: int = 0, fraction: float = 0.8) -> str:
+    """SQL twin of ``split_random``."""
+    return f"({hash_sql(*keys, seed=seed)} < {int(fraction * 2**48)})"

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from lakeloom.operators import text as X
 from lakeloom.operators import vectors as V
 from lakeloom.operators.columns import explode_list
+from lakeloom.operators.joins import broadcast_small
 from lakeloom.operators.rows import sample_rows
-from lakeloom.plans.registry import Tables, near, near_all, near_sql, query
-from lakeloom.plans.shaping import hash_sql
+from lakeloom.plans.registry import Tables, hash_sql, near_all, near_sql, query
 from lakeloom.session import scratch_path
 from lakeloom.sources import files
 
@@ -70,12 +70,12 @@ SELECT count(*) AS n_queries, {near_sql('avg(CASE WHEN truth = found THEN 1.0e0
 def recall_at_1(t: Tables) -> DataFrame:
     """Share of labels whose mean vector finds a vector of the same label first."""
     top = V.knn_l2(t.embeddings, label_centroids(t), 1, "vec_id", "label")
-    found = top.join(t.embeddings.select("vec_id", F.col("label").alias("found")), "vec_id")
+    found = broadcast_small(top).join(t.embeddings.select("vec_id", F.col("label").alias("found")), "vec_id")
     return near_all(V.retrieval_accuracy(found, "found", "label"))
 
 
 @query("retrieval_accuracy", f"""
-WITH q AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * 0.5e0) AS q FROM embeddings ORDER BY {hash_sql('vec_id', 3)}, vec_id LIMIT 20),
+WITH q AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * 0.5e0) AS q FROM embeddings ORDER BY {hash_sql('vec_id', seed=3)}, vec_id LIMIT 20),
 r AS (SELECT q.vec_id AS truth, e.vec_id AS found, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(CAST(e.embedding AS DOUBLE[]), q.q), e.vec_id) AS rn FROM embeddings e, q)
 SELECT count(*) AS n_queries, {near_sql('avg(CASE WHEN truth = found THEN 1.0e0 ELSE 0 END)')} AS accuracy FROM r WHERE rn = 1""")
 def retrieval_accuracy(t: Tables) -> DataFrame:

@@ -12,7 +12,7 @@ from lakeloom.functions.aggregates import exact_sum
 from lakeloom.operators import columns as C
 from lakeloom.operators import rows as R
 from lakeloom.operators.ordering import numbered
-from lakeloom.plans.registry import Tables, near_all, near_sql, query
+from lakeloom.plans.registry import Tables, hash_sql, near_all, near_sql, query, train_sql
 
 
 @query("drop_columns", "SELECT o_totalprice FROM orders")
@@ -267,11 +267,12 @@ def dedupe_keep_first(t: Tables) -> DataFrame:
     return R.keep_first(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", "o_orderpriority")
 
 
-@query("mask_split_counts", """
-SELECT CASE WHEN doc_id % 5 <> 0 THEN 'train' ELSE 'test' END || CASE WHEN quality = 1 THEN '_normal' ELSE '_other' END AS part, count(*) AS n
-FROM labels GROUP BY 1""")
+@query("mask_split_counts", f"""
+SELECT CASE WHEN is_train THEN 'train' ELSE 'test' END || CASE WHEN quality = 1 THEN '_normal' ELSE '_other' END AS part, count(*) AS n
+FROM (SELECT quality, {train_sql("doc_id", seed=1)} AS is_train FROM labels) GROUP BY 1""")
 def mask_split_counts(t: Tables) -> DataFrame:
-    parts = R.mask_split(t.labels, F.col("quality") == 1, F.col("doc_id") % 5 != 0)
+    marked = R.split_random(t.labels, ["doc_id"], 0.8, 1)
+    parts = R.mask_split(marked, F.col("quality") == 1, F.col("is_train"))
     sized = [df.select(F.lit(n).alias("part")) for n, df in parts.items()]
     return R.union_all(*sized).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
@@ -305,20 +306,13 @@ def top_k(t: Tables) -> DataFrame:
     return R.top_k(total, [F.desc("total"), F.col("p_brand")], 5)
 
 
-HASH_SQL = "CAST('0x' || substr(md5('{seed}|' || {key}), 1, 12) AS BIGINT)"
-
-
-def hash_sql(key: str, seed: int = 0) -> str:
-    return HASH_SQL.format(seed=seed, key=key)
-
-
-@query("sample_n", f"SELECT vec_id, label FROM embeddings ORDER BY {hash_sql('vec_id', 3)}, vec_id LIMIT 20")
+@query("sample_n", f"SELECT vec_id, label FROM embeddings ORDER BY {hash_sql('vec_id', seed=3)}, vec_id LIMIT 20")
 def sample_n(t: Tables) -> DataFrame:
     """Twenty evaluation rows."""
     return R.sample_rows(t.embeddings.select("vec_id", "label"), ["vec_id"], 20, 3)
 
 
-@query("sample_one", f"SELECT c_custkey, c_name FROM customer ORDER BY {hash_sql('c_custkey', 11)}, c_custkey LIMIT 1")
+@query("sample_one", f"SELECT c_custkey, c_name FROM customer ORDER BY {hash_sql('c_custkey', seed=11)}, c_custkey LIMIT 1")
 def sample_one(t: Tables) -> DataFrame:
     return R.sample_rows(t.customer.select("c_custkey", "c_name"), ["c_custkey"], 1, 11)
 
@@ -365,10 +359,13 @@ def pivot_types(t: Tables) -> DataFrame:
 def row_id(t: Tables) -> DataFrame:
     """One number per order over the whole table, without a single-task sort."""
     cols = t.orders.select("o_orderkey", "o_orderdate")
-    return numbered(cols, [], ["o_orderdate", "o_orderkey"], fn.seconds_of("o_orderdate")).select("o_orderkey", "row_id")
+    # the key, as a fraction of a second, tells orders of one day apart
+    position = fn.seconds_of("o_orderdate") + F.col("o_orderkey") / float(2**40)
+    out = numbered(cols, [], ["o_orderdate", "o_orderkey"], position, rows_per_cut=5_000)
+    return out.select("o_orderkey", "row_id")
 
 
-@query("split_random", f"SELECT o_orderkey, {hash_sql('o_orderkey', 5)} < {int(0.8 * 2**48)} AS is_train FROM orders")
+@query("split_random", f"SELECT o_orderkey, {train_sql('o_orderkey', seed=5)} AS is_train FROM orders")
 def split_random(t: Tables) -> DataFrame:
     return R.split_random(t.orders.select("o_orderkey"), ["o_orderkey"], 0.8, 5)
 

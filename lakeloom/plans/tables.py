@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.aggregates import exact_sum
 from lakeloom.operators import summaries as S
-from lakeloom.plans.registry import Tables, near_all, near_sql, query
+from lakeloom.operators.rows import filter_gt, split_random
+from lakeloom.plans.registry import Tables, near_all, near_sql, query, train_sql
 from lakeloom.session import scratch_path
 from lakeloom.sources import catalog, files, synthetic
 
@@ -200,23 +201,22 @@ SELECT o_orderpriority AS part, count(*) AS n, CAST(sum(CAST(o_totalprice AS DEC
 FROM orders WHERE o_totalprice > 200000 GROUP BY 1""")
 def partitioned_filter(t: Tables) -> DataFrame:
     """Rows above a bound, one output folder per input part."""
-    from lakeloom.operators.rows import filter_gt
-
     source, target = scratch_path(t.spark, "parts-in"), scratch_path(t.spark, "parts-out")
-    orders = t.orders.select("o_orderkey", F.col("o_totalprice").cast("string").alias("sales"), F.col("o_orderpriority").alias("part"))
-    files.write_by_part(orders, "part", source)
-    files.write_by_part(filter_gt(t.spark.read.parquet(source), "sales", 200000), "part", target)
-    done = t.spark.read.parquet(target)
+    orders = t.orders.select("o_orderkey", F.col("o_totalprice").cast("string").alias("sales"), F.col("o_orderpriority").alias("folder"))
+    files.write_by_part(orders, "folder", source)
+    files.partitioned_job(t.spark, source, target, lambda df: filter_gt(df, "sales", 200000))
+    done = t.spark.read.parquet(target).withColumn("part", F.substring_index("part", "=", -1))
     return done.groupBy("part").agg(F.count(F.lit(1)).alias("n"), exact_sum(F.col("sales").cast("double")).alias("total"))
 
 
-@query("monitoring_log", """
+@query("monitoring_log", f"""
 SELECT doc_id || '-b1' AS record_key, CAST(n_chars AS BIGINT) AS n_chars, quality AS actual, CASE WHEN n_chars > 500 THEN 1 ELSE 0 END AS output,
-       CASE WHEN doc_id % 5 = 0 THEN 'test' ELSE 'train' END AS dataset, 'b1' AS batch_id
+       CASE WHEN {train_sql("doc_id")} THEN 'train' ELSE 'test' END AS dataset, 'b1' AS batch_id
 FROM labels JOIN documents USING (doc_id)""")
 def monitoring_log(t: Tables) -> DataFrame:
     scored = t.labels.join(t.documents.select("doc_id", "n_chars"), "doc_id").withColumn(
         "predicted", F.when(F.col("n_chars") > 500, 1).otherwise(0)
     )
-    part = F.when(F.col("doc_id") % 5 == 0, "test").otherwise("train")
+    scored = split_random(scored, ["doc_id"], 0.8)
+    part = F.when(F.col("is_train"), "train").otherwise("test")
     return files.monitoring_log(scored, ["n_chars"], "quality", "predicted", ["doc_id"], part, "b1")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "lakeloom", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -46,3 +46,13 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, never reused between runs."""
     return f"{shared_folder(spark)}/lakeloom/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that several later steps read to the shared folder, and read it back.
+
+    This cuts the lineage: a lost executor costs its own tasks only, not the work before the write.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -178,9 +179,15 @@ def write_by_part(df: DataFrame, part: str, path: str) -> str:
     return path
 
 
-def part_of_path(column: Column, folder: str) -> Column:
-    """Folder of a file relative to the input folder."""
-    return F.regexp_extract(column, f"{folder.rstrip('/').split('/')[-1]}/(.*)/[^/]*$", 1)
+def partitioned_job(spark: SparkSession, source: str, target: str, job: Callable[[DataFrame], DataFrame]) -> str:
+    """Run a row-wise job over every subfolder at once; each keeps its own output folder.
+
+    The subfolder comes from the file path, so all of them are read and written by one plan.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").parquet(source)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), re.escape(source.rstrip("/").split("/")[-1]) + "/(.*)/[^/]*$", 1)
+    named = files.select("*", F.url_decode(folder).alias("part"))
+    return write_by_part(job(named), "part", target)
 
 
 def monitoring_log(
