@@ -40,7 +40,11 @@ def group_features(
 
 
 def _compact(df: DataFrame, key: str, measures: Mapping[str, Measure]) -> DataFrame:
-    """One aggregation; the three quantiles of a column share one buffer."""
+    """One aggregation; the three quantiles of a column share one buffer.
+
+    Rows are moved to their key's task as they are: value buffers of partly seen groups would be larger.
+    """
+    df = df.repartition(key)
     aggs: list[Column] = [
         F.percentile(F.col(c), F.array(*[F.lit(s) for s in _SHARES.values()])).alias(f"__q_{c}")
         for c in dict.fromkeys(c for k, c in measures.values() if k in _SHARES)

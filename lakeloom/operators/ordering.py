@@ -33,12 +33,14 @@ def same_keys(keys: Sequence[str], prefix: str) -> Column:
 def hot_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame | None:
     """Keys with more than ``rows`` rows, their columns prefixed ``__hot_``; None when there are none.
 
-    There are never more than (all rows / rows) of them, which is checked before they are broadcast.
+    There are never more than (all rows / rows) of them. They are kept, as several steps ask for them, and
+    broadcast when their number allows it.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows)
-    found = counted.select([F.col(k).alias("__hot_" + k) for k in keys])
+    found = counted.select([F.col(k).alias("__hot_" + k) for k in keys]).persist()
     n = found.count()
     if n == 0:
+        found.unpersist()
         return None
     return F.broadcast(found) if n <= MAX_BROADCAST_KEYS else found
 

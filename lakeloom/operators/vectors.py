@@ -22,10 +22,9 @@ SLICE = 2_048
 
 def hashed_embedding(text: str, dim: int = 64) -> list[float]:
     """Unit vector of signed word counts; a local stand-in for an embedding service."""
-    out = np.zeros(dim)
-    for word in (text or "").lower().split():
-        h = crc32(word.encode())
-        out[h % dim] += 1.0 if (h >> 16) & 1 else -1.0
+    words = (text or "").lower().encode().split()
+    h = np.fromiter(map(crc32, words), np.int64, len(words))
+    out = np.bincount(h % dim, weights=((h >> 16) & 1) * 2.0 - 1.0, minlength=dim)
     norm = np.sqrt((out * out).sum())
     return (out / norm if norm else out).tolist()
 

@@ -43,8 +43,9 @@ def assemble_records(t: Tables) -> DataFrame:
 
 
 def event_stream(t: Tables) -> DataFrame:
-    """The events file as a stream."""
-    return t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
+    """The events files as a stream, a bounded number of files per trigger."""
+    reader = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events*.parquet")
+    return reader.option("maxFilesPerTrigger", 64).parquet(t.folder)
 
 
 def drain(stream: DataFrame, spark, name: str) -> DataFrame:
@@ -87,6 +88,29 @@ def stream_assemble(t: Tables) -> DataFrame:
     return drain(assembled_stream(t), t.spark, "assembled")
 
 
+@query("stream_assemble_batches", f"WITH {ASSEMBLE_SQL} SELECT user_id, sepal_length, sepal_width, petal_length, petal_width, time FROM complete")
+def stream_assemble_batches(t: Tables) -> DataFrame:
+    """The same records from micro-batches that split a hot device and hand on the open records.
+
+    The events arrive as four drops in time order, each with as many files as it needs.
+    """
+    source, out, state, log = (scratch_path(t.spark, n) for n in ("events", "records", "open", "log"))
+    at = seconds_of("ts")
+    span = t.events.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
+    drop = F.least(F.floor((at - span["lo"]) * 4 / (span["hi"] - span["lo"])), F.lit(3))
+    t.events.limit(0).write.parquet(source)
+    stream = t.spark.readStream.schema(t.events.schema).parquet(source)
+    step = S.assemble_each_batch(out, state, "user_id", ORDER, at, "tag", "value", "time")
+    for i in range(4):
+        t.events.filter(drop == i).write.mode("append").parquet(source)
+        running = (
+            as_items(stream).writeStream.foreachBatch(step).option("checkpointLocation", log)
+            .trigger(availableNow=True).start()
+        )
+        running.awaitTermination()
+    return t.spark.read.parquet(out).drop("batch")
+
+
 WEIGHTS = {"sepal_length": 0.1, "sepal_width": -0.2, "petal_length": 0.3, "petal_width": 0.05}
 SCORE_SQL = near_sql("0.5e0 + sepal_length * 0.1e0 + sepal_width * -0.2e0 + petal_length * 0.3e0 + petal_width * 0.05e0")
 

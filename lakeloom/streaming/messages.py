@@ -39,29 +39,78 @@ def parse_items(messages: DataFrame, column: str, keep: Sequence[str] = ()) -> D
     )
 
 
-def assemble_batch(
+def number_records(
     items: DataFrame, device: str, order: Sequence[str], position: Column, tag: str, value: str, time: str,
     tags: Sequence[str] = TAGS, rows_per_cut: int = ROWS_PER_CUT,
 ) -> DataFrame:
-    """Complete records of a finished table of items.
+    """One row per device and record: the latest value of each tag, the closing time, whether it is closed.
 
-    The number of closing tags before an item is its record number, so records of a hot device spread out.
+    The number of closing tags before an item is its record number, so the records of a hot device spread
+    over the tasks.
     """
-    closing = tags[-1]
+    closing = F.col(tag) == tags[-1]
     known = items.filter(F.col(tag).isin(list(tags)))
-    closes = F.when(F.col(tag) == closing, 1).otherwise(0).cast("long")
+    closes = F.when(closing, 1).otherwise(0).cast("long")
     counted = running(known, [device], order, position, {"__closed": closes}, rows_per_cut=rows_per_cut)
-    numbered = counted.withColumn("__record", F.col("__closed") - closes)
     at = F.struct(*order)
-    latest = [F.max_by(F.when(F.col(tag) == t, F.col(value)), F.when(F.col(tag) == t, at)).alias(f)
-              for t, f in zip(tags, FIELDS)]
-    records = numbered.groupBy(device, "__record").agg(
-        *latest, F.max(F.when(F.col(tag) == closing, F.col(time))).alias("time")
+    latest = [
+        F.max_by(F.when(F.col(tag) == t, F.col(value)), F.when(F.col(tag) == t, at)).alias(f) for t, f in zip(tags, FIELDS)
+    ]
+    return (
+        counted.withColumn("__record", F.col("__closed") - closes)
+        .groupBy(device, "__record")
+        .agg(*latest, F.max(F.when(closing, F.col(time))).alias("time"), F.max(closing).alias("__ends"))
     )
-    complete = F.lit(True)
+
+
+def complete_records(records: DataFrame, device: str) -> DataFrame:
+    """Closed records with all values above 0."""
+    whole = F.col("__ends")
     for f in FIELDS:
-        complete = complete & (F.coalesce(F.col(f), F.lit(0.0)) > 0)
-    return records.filter(complete).select(device, *FIELDS, "time")
+        whole = whole & (F.coalesce(F.col(f), F.lit(0.0)) > 0)
+    return records.filter(whole).select(device, *FIELDS, "time")
+
+
+def assemble_batch(
+    items: DataFrame, device: str, order: Sequence[str], position: Column, tag: str, value: str, time: str,
+    tags: Sequence[str] = TAGS, rows_per_cut: int = ROWS_PER_CUT,
+) -> DataFrame:
+    """Complete records of a finished table of items."""
+    return complete_records(
+        number_records(items, device, order, position, tag, value, time, tags, rows_per_cut), device
+    )
+
+
+def assemble_each_batch(
+    out: str, state: str, device: str, order: Sequence[str], position: Column, tag: str, value: str, time: str,
+    tags: Sequence[str] = TAGS, rows_per_cut: int = ROWS_PER_CUT,
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function for streams where one device may send most items.
+
+    Every micro-batch is assembled like a table, in parallel within a device. The open records (at most one row
+    per device) go to a state folder and open the next batch. Both folders carry the batch number, so a repeated
+    batch writes the same again.
+    """
+    columns = [device, *order, tag, value, time]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.select(*columns, F.lit(1).alias("__new"))
+        if batch_id > 0:
+            kept = spark.read.parquet(f"{state}/batch={batch_id - 1}")
+            pairs = F.array(*[F.struct(F.lit(t).alias("t"), F.col(f).alias("v")) for t, f in zip(tags, FIELDS)])
+            old = kept.select(device, F.inline(pairs)).filter(F.col("v").isNotNull())
+            blank = {c: F.lit(None).cast(fresh.schema[c].dataType) for c in (*order, time)}
+            old = old.withColumnsRenamed({"t": tag, "v": value}).withColumns({**blank, "__new": F.lit(0)})
+            fresh = fresh.unionByName(old)
+        # what was open before comes first; a NULL position does so too
+        place = F.when(F.col("__new") == 1, position)
+        records = number_records(fresh, device, ["__new", *order], place, tag, value, time, tags, rows_per_cut).persist()
+        complete_records(records, device).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        records.filter(~F.col("__ends")).select(device, *FIELDS).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        records.unpersist()
+
+    return run
 
 
 _STATE = T.StructType([T.StructField(f, T.DoubleType()) for f in FIELDS])
@@ -91,7 +140,8 @@ def assemble_stream(
             state.remove()
             return
         open_record = dict(zip(FIELDS, state.get)) if state.exists else dict.fromkeys(FIELDS, 0.0)
-        # a trigger's share of one device, put in order; the trigger size bounds it
+        # a trigger's share of one device, put in order; the source's trigger limit bounds it.
+        # Streams with a hot device use assemble_each_batch instead
         rows = pd.concat(list(batches)).sort_values(list(order))
         done = []
         for t, v, when in zip(rows[tag], rows[value], rows[time]):
