@@ -92,6 +92,6 @@ def threshold_sweep(
 
 
 def threshold_select(sweep: DataFrame, min_tp: int) -> DataFrame:
-    """The sweep row with the largest scalar that still catches ``min_tp`` anomalies."""
+    """The sweep row with the largest scalar that still catches ``min_tp`` anomalies; no row if none does."""
     whole = F.struct("std_scalar", *[c for c in sweep.columns if c != "std_scalar"])
-    return sweep.filter(F.col("tp") >= min_tp).agg(F.max(whole).alias("r")).select("r.*")
+    return sweep.filter(F.col("tp") >= min_tp).agg(F.max(whole).alias("r")).filter("r IS NOT NULL").select("r.*")
