@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.functions.aggregates import exact_sum
 from lakeloom.operators.joins import full_outer_join, lookup_all
 
 
@@ -43,26 +42,31 @@ def stock_slacks(solution: DataFrame, limits: Limits = Limits()) -> DataFrame:
     )
 
 
+def _region_totals(solution: DataFrame) -> DataFrame:
+    """Share (f) and number (b) of bought stocks per region, and those of risky ones (rf, rb)."""
+    risky = F.col("is_risky") == 1
+    share = F.col("fraction").cast("decimal(28,9)")
+    return solution.groupBy("region").agg(
+        F.sum(share).alias("f"),
+        F.sum("buy").alias("b"),
+        F.coalesce(F.sum(F.when(risky, share)), F.lit(0)).alias("rf"),
+        F.coalesce(F.sum(F.when(risky, F.col("buy"))), F.lit(0)).alias("rb"),
+    )
+
+
 def region_slacks(solution: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Per region: slack of the smallest share and the smallest number of stocks."""
-    by_region = solution.groupBy("region").agg(exact_sum("fraction", 9).alias("f"), F.sum("buy").cast("double").alias("b"))
-    out = by_region.select(
+    out = _region_totals(solution).select(
         "region",
-        (F.lit(limits.min_ratio_per_region) - F.col("f")).alias("min_fraction_per_region"),
-        (F.lit(float(limits.min_stocks_per_region)) - F.col("b")).alias("min_number_per_region"),
+        (F.lit(limits.min_ratio_per_region) - F.col("f").cast("double")).alias("min_fraction_per_region"),
+        (F.lit(float(limits.min_stocks_per_region)) - F.col("b").cast("double")).alias("min_number_per_region"),
     )
     return out.drop("min_number_per_region") if limits.min_number_per_region == "off" else out
 
 
 def total_slacks(solution: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """The whole-portfolio constraints as rows (constraint_name, slack), from one pass."""
-    risky = F.col("is_risky") == 1
-    one = solution.agg(
-        exact_sum("fraction", 9).alias("f"),
-        F.sum("buy").cast("double").alias("b"),
-        F.coalesce(F.sum(F.when(risky, F.col("buy"))), F.lit(0)).cast("double").alias("rb"),
-        F.coalesce(exact_sum(F.when(risky, F.col("fraction")), 9), F.lit(0.0)).alias("rf"),
-    )
+    """The whole-portfolio constraints as rows (constraint_name, slack), added up from the region totals."""
+    one = _region_totals(solution).agg(*[F.sum(c).cast("double").alias(c) for c in ("f", "b", "rf", "rb")])
     named = {"invest_all": F.lit(1.0) - F.col("f")}
     if limits.max_number_risky != "off":
         named["max_number_risky_sum"] = F.lit(float(limits.max_risky_stocks)) - F.col("rb")
@@ -94,18 +98,15 @@ def penalty(shortfall: Column, weight: float, mode: str) -> Column:
 
 def objective(solution: DataFrame, limits: Limits = Limits(), risky_weight: float = 0.1, region_weight: float = 0.1) -> DataFrame:
     """Expected return of the allocation less the penalties of its soft constraints."""
-    earned = solution.agg(exact_sum(F.col("fraction") * F.col("expected_return"), 9).alias("expected_return"))
-    risky = solution.agg(
-        F.coalesce(F.sum(F.when(F.col("is_risky") == 1, F.col("buy"))), F.lit(0)).cast("double").alias("n")
-    ).select(penalty(F.col("n") - limits.max_risky_stocks, risky_weight, limits.max_number_risky).alias("p")).scalar()
-    regional = (
-        solution.groupBy("region").agg(F.sum("buy").cast("double").alias("n"))
-        .agg(F.sum(penalty(F.lit(float(limits.min_stocks_per_region)) - F.col("n"), region_weight, limits.min_number_per_region)).alias("p"))
-        .scalar()
-    )
-    return earned.withColumn("penalty", risky + regional).withColumn(
-        "objective", F.col("expected_return") - F.col("penalty")
+    by_region = solution.groupBy("region").agg(
+        F.sum((F.col("fraction") * F.col("expected_return")).cast("decimal(28,9)")).alias("earned"),
+        F.sum("buy").cast("double").alias("b"),
+        F.coalesce(F.sum(F.when(F.col("is_risky") == 1, F.col("buy"))), F.lit(0)).cast("double").alias("rb"),
     )
+    short = penalty(F.lit(float(limits.min_stocks_per_region)) - F.col("b"), region_weight, limits.min_number_per_region)
+    risky = penalty(F.sum("rb") - F.lit(float(limits.max_risky_stocks)), risky_weight, limits.max_number_risky)
+    one = by_region.agg(F.sum("earned").cast("double").alias("expected_return"), (risky + F.sum(short)).alias("penalty"))
+    return one.withColumn("objective", F.col("expected_return") - F.col("penalty"))
 
 
 def merge_slacks(per_stock_lb: DataFrame, per_stock_ub: DataFrame, min_fraction: DataFrame, min_number: DataFrame | None, totals: DataFrame) -> DataFrame:

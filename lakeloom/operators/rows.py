@@ -106,26 +106,25 @@ def split_stratified(
     after are all out, and only the border slot (about 1/slots of a stratum) is ranked row by row.
     """
     h = stable_hash(*key, seed=seed)
-    slotted = df.withColumn("__h", h).withColumn("__slot", F.floor(F.col("__h") / (HASH_RANGE // slots)))
+    slotted = df.withColumns({"__h": h, "__slot": F.floor(h / (HASH_RANGE // slots))})
     counts = slotted.groupBy(stratum, "__slot").agg(F.count(F.lit(1)).alias("__c"))
-    upto = W.partitionBy(stratum).orderBy("__slot").rowsBetween(W.unboundedPreceding, 0)
+    # at most ``slots`` rows per stratum reach one task here
     whole = W.partitionBy(stratum)
-    ranked = counts.select(
+    upto = whole.orderBy("__slot").rowsBetween(W.unboundedPreceding, 0)
+    placed = counts.select(
         F.col(stratum).alias("__s"),
-        F.col("__slot").alias("__sl"),
+        F.col("__slot").alias("__border"),
+        F.bround(F.sum("__c").over(whole) * F.lit(fraction)).alias("__want"),
         (F.sum("__c").over(upto) - F.col("__c")).alias("__before"),
         F.sum("__c").over(upto).alias("__upto"),
-        F.bround(F.sum("__c").over(whole) * F.lit(fraction)).alias("__want"),
     )
-    marked = slotted.join(
-        ranked, F.col(stratum).eqNullSafe(F.col("__s")) & (F.col("__slot") == F.col("__sl")), "left"
-    )
-    border = (F.col("__before") < F.col("__want")) & (F.col("__upto") > F.col("__want"))
-    sure = marked.filter(~border).withColumn(name, F.col("__upto") <= F.col("__want"))
+    # one row per stratum: the slot in which its share ends
+    border = placed.filter((F.col("__before") < F.col("__want")) & (F.col("__upto") >= F.col("__want")))
+    marked = slotted.join(border.drop("__upto"), F.col(stratum).eqNullSafe(F.col("__s")), "left")
+    at_border = F.coalesce(F.col("__slot") == F.col("__border"), F.lit(False))
+    sure = marked.filter(~at_border).withColumn(name, F.coalesce(F.col("__slot") < F.col("__border"), F.lit(False)))
     w = W.partitionBy(stratum, "__slot").orderBy("__h", *key)
-    edge = marked.filter(border).withColumn(
-        name, F.col("__before") + F.row_number().over(w) <= F.col("__want")
-    )
+    edge = marked.filter(at_border).withColumn(name, F.row_number().over(w) <= F.col("__want") - F.col("__before"))
     return sure.unionByName(edge).select(*df.columns, name)
 
 

@@ -18,10 +18,13 @@ def resample_month(df: DataFrame, keys: Sequence[str], ts: str, value: Column |
     """Month-start mean per series; months without rows are kept as missing."""
     month = F.trunc(F.col(ts), "month")
     monthly = df.groupBy(*keys, month.alias("month")).agg(F.avg(as_col(value)).alias(name))
-    # what follows works on one row per series and month
-    span = monthly.groupBy(*keys).agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
-    calendar = span.select(*keys, F.explode(F.expr("sequence(lo, hi, interval 1 month)")).alias("month"))
-    return calendar.join(monthly, [*keys, "month"], "left")
+    # from here on there is one row per series and month: each fills the gap up to the next one
+    following = F.lead("month").over(W.partitionBy(*keys).orderBy("month"))
+    gap = monthly.withColumn("__until", F.coalesce(F.add_months(following, -1), F.col("month")))
+    filled = gap.select(*keys, "month", name, F.explode(F.expr("sequence(month, __until, interval 1 month)")).alias("__m"))
+    return filled.select(
+        *keys, F.col("__m").alias("month"), F.when(F.col("__m") == F.col("month"), F.col(name)).alias(name)
+    )
 
 
 def backfill(df: DataFrame, keys: Sequence[str], order: str, value: str) -> DataFrame:
@@ -62,8 +65,8 @@ def select_best(df: DataFrame, keys: Sequence[str], score: str, position: str, i
 
 def seasonal_naive(df: DataFrame, keys: Sequence[str], month: str, value: str, steps: int, season: int = 12) -> DataFrame:
     """Each future month repeats the same month of the last full season."""
-    last = df.groupBy(*keys).agg(F.max(month).alias("__last"))
-    tail = df.join(last, list(keys)).filter(F.months_between("__last", month) < season)
+    last = F.max(month).over(W.partitionBy(*keys))
+    tail = df.withColumn("__last", last).filter(F.months_between("__last", month) < season)
     reps = -(-steps // season)
     ahead = tail.select(
         *keys, "__last", F.explode(F.transform(F.sequence(F.lit(1), F.lit(reps)), lambda r: r * season)).alias("__by"),

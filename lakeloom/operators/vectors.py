@@ -141,8 +141,10 @@ def cosine_topk(
     documents. Few queries are broadcast; many are joined by shuffle, where Spark splits a hot page. Each map
     task keeps ``k`` rows per page before the shuffle of the ranking.
     """
+    # marked so, the function runs once per row although both the filter and the output use it
+    similarity = cosine.asNondeterministic()
     pairs = documents.join(broadcast_small(queries.select(page, query_vector)), page).select(
-        page, document_id, cosine(F.col(vector), F.col(query_vector)).alias("similarity")
+        page, document_id, similarity(F.col(vector), F.col(query_vector)).alias("similarity")
     )
     close = pairs.filter(F.col("similarity") >= threshold)
     return top_per_group(close, [page], [F.col("similarity").desc(), F.col(document_id)], k)

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.functions.aggregates import exact_sum
 from lakeloom.operators import allocation as A
 from lakeloom.operators import anomaly
 from lakeloom.operators import quality as Q
 from lakeloom.operators import summaries as S
 from lakeloom.operators.rows import split_random
 from lakeloom.plans.registry import Tables, near, near_all, near_sql, query, train_sql
+from lakeloom.session import materialize
 
 RESULT = "'{suite}' AS suite, '{level}' AS level, '{kind}' AS expectation, '{column}' AS \"column\""
 
@@ -224,10 +226,8 @@ sol AS (SELECT name, region, is_risky, expected_return, greatest(s_acctbal, 0) /
                CASE WHEN s_acctbal > 0 THEN 1 ELSE 0 END AS buy FROM model JOIN stocks USING (name, region, is_risky))"""
 
 
-def portfolio(t: Tables) -> dict[str, DataFrame]:
-    """Suppliers as stocks, nations as industries; an allocation in proportion to positive balances."""
-    from lakeloom.functions.aggregates import exact_sum
-
+def stock_tables(t: Tables) -> dict[str, DataFrame]:
+    """Suppliers as stocks, nations as industries."""
     nations = t.nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("industry"), F.col("n_regionkey").alias("rk"))
     named = t.region.select(F.col("r_regionkey").alias("rk"), F.col("r_name").alias("region"))
     stocks = (
@@ -236,11 +236,19 @@ def portfolio(t: Tables) -> dict[str, DataFrame]:
     )
     regions = t.region.select(F.col("r_name").alias("region"), (F.lit(0.9) + F.col("r_regionkey") * 0.05).alias("region_index"))
     industries = t.nation.select(F.col("n_name").alias("industry"), (F.col("n_nationkey") + 1).alias("avg_return"))
-    model = A.model_table(stocks, regions, industries)
+    return {"stocks": stocks, "regions": regions, "industries": industries, "model": A.model_table(stocks, regions, industries)}
+
+
+def portfolio(t: Tables) -> dict[str, DataFrame]:
+    """The stock tables and an allocation in proportion to positive balances.
+
+    The allocation is a table of its own, as a solver would leave it.
+    """
+    p = stock_tables(t)
     gain = F.greatest(F.col("s_acctbal"), F.lit(0.0))
     total = t.supplier.agg(exact_sum(gain).alias("total")).scalar()
-    shares = stocks.select("name", (gain / total).alias("fraction"), F.when(F.col("s_acctbal") > 0, 1).otherwise(0).alias("buy"))
-    return {"stocks": stocks, "regions": regions, "industries": industries, "model": model, "solution": model.join(shares, "name")}
+    shares = p["stocks"].select("name", (gain / total).alias("fraction"), F.when(F.col("s_acctbal") > 0, 1).otherwise(0).alias("buy"))
+    return {**p, "solution": materialize(p["model"].join(shares, "name"), "solution")}
 
 
 LIMITS = A.Limits(max_total_stocks=80, max_risky_stocks=15)
@@ -248,7 +256,7 @@ LIMITS = A.Limits(max_total_stocks=80, max_risky_stocks=15)
 
 @query("portfolio_model", f"WITH {STOCK_SQL} SELECT name, region, is_risky, {near_sql('expected_return')} AS expected_return FROM model")
 def portfolio_model(t: Tables) -> DataFrame:
-    return near_all(portfolio(t)["model"])
+    return near_all(stock_tables(t)["model"])
 
 
 SLACK_SQL = f"""
