@@ -29,6 +29,15 @@ def chunk_recursive(t: Tables) -> DataFrame:
     return X.chunk_documents(t.documents, "text", "doc_id", metadata=["lang", "source"])
 
 
+@query("chunk_coverage", """
+SELECT doc_id, CAST(length(regexp_replace(text, '\\s', '', 'g')) AS BIGINT) AS n FROM documents WHERE length(trim(text)) > 0""")
+def chunk_coverage(t: Tables) -> DataFrame:
+    """Chunks without overlap hold every visible character of a document once."""
+    chunks = X.chunk_documents(t.documents, "text", "doc_id", 900, 0, metadata=["doc_id"])
+    visible = F.length(F.regexp_replace("chunk", r"\s", "")).cast("long")
+    return chunks.groupBy("doc_id").agg(F.sum(visible).alias("n"))
+
+
 @query("keyword_documents", """
 SELECT p_partkey AS page, string_split(p_name, ' ')[i] AS keyword
 FROM part, unnest(range(1, len(string_split(p_name, ' ')) + 1)) AS u(i)""")
