@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions.aggregates import exact_sum
 from lakeloom.functions.scalars import as_col
 from lakeloom.operators.ordering import ROWS_PER_CUT, running
+from lakeloom.session import materialize
 
 
 def results_table(df: DataFrame, predicted: Column | str, actual: Column | str, *keep: str) -> DataFrame:
@@ -69,6 +70,7 @@ def score_steps(df: DataFrame, score: str, actual: str, rows_per_cut: int = ROWS
         .groupBy(F.col(score).cast("double").alias("threshold"))
         .agg(F.count_if(F.col(actual) == 1).alias("pos"), F.count_if(F.col(actual) != 1).alias("neg"))
     )
+    counted = materialize(counted, "score-counts")
     return running(
         counted, [], [F.col("threshold").desc()], -F.col("threshold"), {"tp": "pos", "fp": "neg"},
         rows_per_cut=rows_per_cut,

@@ -43,10 +43,11 @@ def left_join_many(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     return matched.select(*filled.columns).unionByName(filled)
 
 
-def broadcast_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+def broadcast_small(df: DataFrame, max_rows: int = 8_192) -> DataFrame:
     """The table marked for broadcast when it has at most ``max_rows`` rows, otherwise as it was.
 
-    The rows are counted from a kept copy of at most ``max_rows + 1`` rows, so they are computed once.
+    The rows are counted from a kept copy of at most ``max_rows + 1`` rows, so they are computed once. The
+    default holds for rows of up to a 1,536-d vector (100 MB).
     """
     kept = df.limit(max_rows + 1).persist()
     if kept.count() <= max_rows:

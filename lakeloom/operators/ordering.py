@@ -21,7 +21,7 @@ from lakeloom.functions.scalars import as_col
 
 ROWS_PER_CUT = 5_000_000
 MAX_CUTS = 2048
-MAX_BROADCAST_KEYS = 2_000_000
+MAX_BROADCAST_KEYS = 500_000
 _POS, _CUT = "__pos", "__cut"
 
 

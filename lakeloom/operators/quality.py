@@ -86,18 +86,23 @@ _KNOWN: dict[str, set[str]] = {
 }
 
 
-def validate(df: DataFrame, suite: Suite) -> DataFrame:
-    """One result row per expectation; nothing runs until the result is used."""
+def validate(df: DataFrame, *suites: Suite) -> DataFrame:
+    """One result row per expectation; nothing runs until the result is used.
+
+    All expectations of all given suites share one pass. Only uniqueness and exact distinct counts add a
+    grouped pass of their own.
+    """
     parts: list[Column] = []
-    rows: list[Callable[[], Column]] = []
+    rows: list[Column] = []
 
     def measure(c: Column) -> Column:
         name = f"m{len(parts)}"
         parts.append(c.alias(name))
         return F.col(name)
 
-    for e in suite.expectations:
-        rows.append(_row(df, suite, e, measure))
+    for suite in suites:
+        for e in suite.expectations:
+            rows.append(_row(df, suite, e, measure))
     one = df.agg(F.count(F.lit(1)).alias("__rows"), *parts)
     return one.select(F.inline(F.array(*rows)))
 

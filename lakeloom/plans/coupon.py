@@ -14,6 +14,7 @@ from lakeloom.operators import columns as C
 from lakeloom.operators.features import group_features
 from lakeloom.operators.joins import left_join_all, left_join_many
 from lakeloom.plans.registry import Tables, near_all, near_sql, query
+from lakeloom.session import materialize
 
 
 def transactions(t: Tables) -> DataFrame:
@@ -240,7 +241,8 @@ def training_table(redemption: DataFrame, coupons: DataFrame, campaign: DataFram
 
 
 def build_training_table(t: Tables) -> DataFrame:
-    tx = with_date_parts(with_unit_prices(transactions(t)))
+    # five later steps read the transactions
+    tx = materialize(with_date_parts(with_unit_prices(transactions(t))), "transactions")
     labelled = redemptions(t).na.drop(subset=["redemption_status"])
     demo = C.LabelEncoder.fit(demographics(t), ["age_range"]).apply(demographics(t))
     return training_table(labelled, coupon_features(coupon_items(t), tx), campaign_days(campaigns(t)), demo, customer_features(tx))

@@ -112,3 +112,11 @@ def test_preprocessor_roundtrip(spark, make, tmp_path):
     assert sorted(loaded.parameters) == sorted(fitted.parameters)
     new = make("n double, c int, empty double", (20.0, None, 1.0), (None, 2, 1.0))
     assert [tuple(r) for r in loaded.apply(new).collect()] == [(2.0, 2.0, None), (0.5, 2.0, None)]
+
+
+def test_suites_share_one_pass(make):
+    df = make("a int", (1,), (None,))
+    suites = [Q.Suite(f"s.{lvl}", lvl, (Q.Expectation("column_values_to_not_be_null", {"column": "a"}),)) for lvl in ("critical", "warning")]
+    out = Q.validate(df, *suites)
+    assert [(r["suite"], r["success"]) for r in out.collect()] == [("s.critical", False), ("s.warning", False)]
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
