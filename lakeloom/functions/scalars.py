@@ -35,7 +35,7 @@ def remove_newlines_lower(c: Column | str) -> Column:
 
 
 def strip_lower(c: Column | str) -> Column:
-    return F.lower(F.regexp_replace(as_col(c), r"^\s+|\s+$", ""))
+    return F.lower(F.regexp_replace(as_col(c), r"(?U)^\s+|\s+$", ""))
 
 
 def dash_to_space(c: Column | str) -> Column:

@@ -167,7 +167,8 @@ def _text_position(c: Column) -> Column:
 
 
 def one_hot(df: DataFrame, exclude: Sequence[str] = (), limit: int = 1_000) -> DataFrame:
-    """Text columns become ``column_value`` columns of 0.0 / 1.0, other columns pass through."""
+    """Text columns become ``column_value`` columns of 0.0 / 1.0; numbers pass through as doubles, ahead of them."""
+    numbers: list[Column] = []
     out: list[Column] = []
     tail: list[Column] = []
     for f in df.schema:
@@ -180,8 +181,8 @@ def one_hot(df: DataFrame, exclude: Sequence[str] = (), limit: int = 1_000) -> D
             hit = F.col(f.name)
             out += [F.when(hit.eqNullSafe(v), 1.0).otherwise(0.0).alias(f"{f.name}_{v}") for v in values]
         else:
-            out.append(F.col(f.name))
-    return df.select(*out, *tail)
+            numbers.append(F.col(f.name).cast("double").alias(f.name))
+    return df.select(*numbers, *out, *tail)
 
 
 def one_hot_vector(df: DataFrame, column: str, name: str) -> DataFrame:

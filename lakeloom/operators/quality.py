@@ -238,20 +238,44 @@ def check_minimum_rows(df: DataFrame, minimum: int) -> DataFrame:
 
 def enforce_group_minimum(low: DataFrame, group: str, shown: int = 100) -> None:
     """Raise when any group is listed; the message names the first ones, the table keeps them all."""
-    rows = low.orderBy(group).limit(shown + 1).collect()
-    if rows:
-        text = "; ".join(str(r[group]) for r in rows[:shown])
-        raise CriticalQualityError(f"too few rows in: {text}" + (" and more" if len(rows) > shown else ""))
+    text = _few_rows_message(low, group, shown)
+    if text:
+        raise CriticalQualityError(text)
+
+
+def _few_rows_message(low: DataFrame, group: str, shown: int) -> str:
+    names = [str(r[group]) for r in low.select(group).orderBy(group).limit(shown + 1).collect()]
+    if not names:
+        return ""
+    more = ", and more" if len(names) > shown else ""
+    return f"Too few rows for {group}: {', '.join(names[:shown])}{more}"
+
+
+def enforce_size(df: DataFrame, minimum: int, low: DataFrame, group: str, shown: int = 100) -> None:
+    """Both size checks of the model table; all errors are raised together."""
+    errors = []
+    if not check_minimum_rows(df, minimum).first()["success"]:
+        errors.append("Too few rows to meet max fraction constraints")
+    few = _few_rows_message(low, group, shown)
+    if few:
+        errors.append(few)
+    if errors:
+        raise CriticalQualityError("; ".join(errors))
 
 
 def soft_warnings(df: DataFrame, risky: str, group: str) -> DataFrame:
-    """Rows for the two soft checks: no risky row at all, and only one group."""
-    one = df.agg(F.max(F.col(risky)).alias("r"), F.min(group).alias("lo"), F.max(group).alias("hi"))
+    """Rows for the two soft checks: no risky row at all, and only one group (a missing group is one, too)."""
+    one = df.agg(
+        F.count_if(~F.col(risky).eqNullSafe(F.lit(0))).alias("r"),
+        F.count(F.lit(1)).alias("n"), F.count(group).alias("known"), F.min(group).alias("lo"), F.max(group).alias("hi"),
+    )
+    all_known, none_known = F.col("known") == F.col("n"), F.col("known") == 0
+    single = (F.col("n") > 0) & (none_known | (all_known & (F.col("lo") == F.col("hi"))))
     return one.select(
         F.inline(
             F.array(
-                F.struct(F.lit("no_risky_row").alias("check"), (F.coalesce("r", F.lit(0)) == 0).alias("warn")),
-                F.struct(F.lit("single_group").alias("check"), F.coalesce(F.col("lo") == F.col("hi"), F.lit(True)).alias("warn")),
+                F.struct(F.lit("no_risky_row").alias("check"), (F.col("r") == 0).alias("warn")),
+                F.struct(F.lit("single_group").alias("check"), single.alias("warn")),
             )
         )
     )

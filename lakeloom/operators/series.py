@@ -58,9 +58,15 @@ def regret(p_selected: Column | str, p_available: Sequence[Column | str]) -> Col
     return top - as_col(p_selected)
 
 
-def select_best(df: DataFrame, keys: Sequence[str], score: str, position: str, item: str, name: str = "best") -> DataFrame:
-    """Item with the highest score of each key; the last listed one wins a tie."""
-    return df.groupBy(*keys).agg(F.max(F.struct(score, position, item)).alias("b")).select(*keys, F.col(f"b.{item}").alias(name))
+def select_best(
+    df: DataFrame, keys: Sequence[str], score: str, position: str, item: str, name: str = "best", floor: float = 0.0
+) -> DataFrame:
+    """Item with the highest score of each key; the last listed one wins a tie.
+
+    Scores below ``floor`` never win; a key without any other score has no best item.
+    """
+    best = F.max(F.when(F.col(score) >= floor, F.struct(score, position, item))).alias("b")
+    return df.groupBy(*keys).agg(best).select(*keys, F.col(f"b.{item}").alias(name))
 
 
 def seasonal_naive(df: DataFrame, keys: Sequence[str], month: str, value: str, steps: int, season: int = 12) -> DataFrame:

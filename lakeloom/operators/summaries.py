@@ -14,7 +14,7 @@ from lakeloom.functions.scalars import as_col
 
 def groups_below(df: DataFrame, group: str, columns: Sequence[str], minimum: int) -> DataFrame:
     """Non-missing counts per group, for the groups where one of them is below the minimum."""
-    counted = df.groupBy(group).agg(*[F.count(c).alias(c) for c in columns])
+    counted = df.filter(F.col(group).isNotNull()).groupBy(group).agg(*[F.count(c).alias(c) for c in columns])
     return counted.filter(F.least(*[F.col(c) for c in columns], F.lit(2**62)) < minimum)
 
 
@@ -24,7 +24,8 @@ def add_group_sums(base: DataFrame, df: DataFrame, group: str, sums: Mapping[str
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    """How often each value occurs; missing values are not counted."""
+    return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
 
 def distinct_count(df: DataFrame, column: str, precise: bool = True) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -111,16 +112,18 @@ def enrich(
 
 
 def split_answer_lines(lines: DataFrame, names: Sequence[str], delimiter: str = ";", column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Delimited lines to named columns (short lines pad with NULL) and, apart, lines with too many parts."""
-    parts = F.split(F.col(column), delimiter, -1)
+    """Delimited lines to named columns (short lines pad with NULL) and, apart, lines with too many parts.
+
+    White space is cut off the line's ends only.
+    """
+    parts = F.split(F.regexp_replace(column, r"(?U)^\s+|\s+$", ""), re.escape(delimiter), -1)
     cut = lines.withColumn("__p", parts)
     good = cut.filter(F.size("__p") <= len(names)).select(
-        *[F.trim(F.try_element_at(F.col("__p"), F.lit(i + 1))).alias(n) for i, n in enumerate(names)]
+        *[F.try_element_at(F.col("__p"), F.lit(i + 1)).alias(n) for i, n in enumerate(names)]
     )
     return good, cut.filter(F.size("__p") > len(names)).select(column)
 
 
 def merge_responses(answers: DataFrame, originals: DataFrame, key: str) -> DataFrame:
-    """Answers with the originals' columns; answers without an original stay."""
-    right = originals.withColumn(key, F.col(key).cast("string"))
-    return answers.join(right, key, "left")
+    """Originals with their answers; originals without an answer stay. Keys compare as text."""
+    return originals.withColumn(key, F.col(key).cast("string")).join(answers, key, "left")

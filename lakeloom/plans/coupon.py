@@ -88,12 +88,13 @@ COUPON_MEASURES = {
 
 def customer_features(tx: DataFrame, **options: int) -> DataFrame:
     """18 measures per customer; ``tx`` has unit prices and date parts."""
-    return C.prefix_columns(group_features(tx, "customer_id", CUSTOMER_MEASURES, **options), "customer_", ["customer_id"])
+    known = tx.filter(F.col("customer_id").isNotNull())
+    return C.prefix_columns(group_features(known, "customer_id", CUSTOMER_MEASURES, **options), "customer_", ["customer_id"])
 
 
 def coupon_features(coupon_items: DataFrame, tx: DataFrame, **options: int) -> DataFrame:
     """17 measures per coupon over all transactions of its items."""
-    joined = left_join_many(coupon_items, tx, "item_id")
+    joined = left_join_many(coupon_items.filter(F.col("coupon_id").isNotNull()), tx, "item_id")
     return C.prefix_columns(group_features(joined, "coupon_id", COUPON_MEASURES, **options), "coupon_", ["coupon_id"])
 
 

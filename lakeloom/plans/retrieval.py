@@ -133,20 +133,20 @@ def enrich_rows(t: Tables) -> DataFrame:
     return X.enrich(rows, ["page_id", "url", "language"], answer, on_error="no answer").drop("url")
 
 
-ANSWER = ("id", "product", "usage", "pros", "cons", "recommend")
+ANSWER = ("id", "product", "usage", "pros", "cons", "recommendation")
 
 
 def answer_lines(t: Tables) -> DataFrame:
     """Answers as delimited lines, some short and some with too many parts."""
-    text = F.concat_ws("; ", F.col("p_partkey").cast("string"), "p_name", "p_type", "p_brand")
+    text = F.concat_ws(";", F.col("p_partkey").cast("string"), "p_name", "p_type", "p_brand")
     k = F.col("p_partkey") % 10
-    line = F.when(k == 0, F.concat(text, F.lit(";x;y;z"))).when(k < 6, F.concat(text, F.lit("; none; yes"))).otherwise(text)
+    line = F.when(k == 0, F.concat(text, F.lit(";x;y;z"))).when(k < 6, F.concat(text, F.lit(";none;yes"))).otherwise(text)
     return t.part.select(line.alias("value"))
 
 
 @query("scan_lines_split", """
 SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS product, p_type AS usage, p_brand AS pros, CASE WHEN p_partkey % 10 < 6 THEN 'none' END AS cons,
-       CASE WHEN p_partkey % 10 < 6 THEN 'yes' END AS recommend FROM part WHERE p_partkey % 10 > 0""")
+       CASE WHEN p_partkey % 10 < 6 THEN 'yes' END AS recommendation FROM part WHERE p_partkey % 10 > 0""")
 def scan_lines_split(t: Tables) -> DataFrame:
     """Lines written to text files and split back into six columns."""
     path = scratch_path(t.spark, "lines")
@@ -155,14 +155,15 @@ def scan_lines_split(t: Tables) -> DataFrame:
     return good
 
 
-@query("rejected_lines", "SELECT p_partkey || '; ' || p_name || '; ' || p_type || '; ' || p_brand || ';x;y;z' AS value FROM part WHERE p_partkey % 10 = 0")
+@query("rejected_lines", "SELECT p_partkey || ';' || p_name || ';' || p_type || ';' || p_brand || ';x;y;z' AS value FROM part WHERE p_partkey % 10 = 0")
 def rejected_lines(t: Tables) -> DataFrame:
     return X.split_answer_lines(answer_lines(t), ANSWER)[1]
 
 
 @query("merge_responses", """
-SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS product, p_retailprice AS price FROM part WHERE p_partkey % 10 > 0""")
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_retailprice AS price, CASE WHEN p_partkey % 10 > 0 THEN p_name END AS product FROM part""")
 def merge_responses(t: Tables) -> DataFrame:
     good, _ = X.split_answer_lines(answer_lines(t), ANSWER)
+    # lines with too many parts gave no answer, so those originals stay without one
     originals = t.part.select(F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("price"))
     return X.merge_responses(good.select("id", "product"), originals, "id")

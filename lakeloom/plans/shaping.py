@@ -168,7 +168,7 @@ def label_encode(t: Tables) -> DataFrame:
 
 
 @query("one_hot", """
-SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1.0e0 ELSE 0.0e0 END AS "o_orderstatus_F",
+SELECT CAST(o_orderkey AS DOUBLE) AS o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1.0e0 ELSE 0.0e0 END AS "o_orderstatus_F",
        CASE WHEN o_orderstatus = 'O' THEN 1.0e0 ELSE 0.0e0 END AS "o_orderstatus_O",
        CASE WHEN o_orderstatus = 'P' THEN 1.0e0 ELSE 0.0e0 END AS "o_orderstatus_P", o_orderpriority FROM orders""")
 def one_hot(t: Tables) -> DataFrame:

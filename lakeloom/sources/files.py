@@ -148,7 +148,9 @@ def save_csv(df: DataFrame, path: str, sep: str = ",") -> str:
 
 def save_values(spark: SparkSession, values: Mapping[str, object], path: str) -> str:
     """A flat JSON record of scalars; sets become text."""
-    clean = {k: (str(sorted(v)) if isinstance(v, (set, frozenset)) else getattr(v, "item", lambda v=v: v)()) for k, v in values.items()}
+    # numpy scalars and arrays know tolist()
+    plain = {k: str(sorted(v)) if isinstance(v, (set, frozenset)) else v for k, v in values.items()}
+    clean = {k: v.tolist() if hasattr(v, "tolist") else v for k, v in plain.items()}
     spark.range(1).select(*[F.lit(v).alias(k) for k, v in clean.items()]).coalesce(1).write.mode("overwrite").json(path)
     return path
 
@@ -173,6 +175,12 @@ def convert_to_parquet(spark: SparkSession, source: str, target: str, schema: T.
     return target
 
 
+def convert_files(spark: SparkSession, sources: Sequence[str], folder: str, schemas: Mapping[str, str] = {}) -> list[str]:
+    """Several files to parquet below a folder, named by their stems; ``schemas`` by stem for CSV files."""
+    stems = [PurePosixPath(p).stem for p in sources]
+    return [convert_to_parquet(spark, p, f"{folder}/{s}.parquet", schemas.get(s)) for p, s in zip(sources, stems)]
+
+
 def write_by_part(df: DataFrame, part: str, path: str) -> str:
     """One output folder per part; a hot part is spread over several files by Spark's write balancing."""
     df.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(path)
@@ -191,16 +199,16 @@ def partitioned_job(spark: SparkSession, source: str, target: str, job: Callable
 
 
 def monitoring_log(
-    df: DataFrame, features: Sequence[str], actual: str, predicted: str, key: Sequence[str], dataset: Column, batch_id: str
+    df: DataFrame, features: Sequence[str], actual: str, predicted: str, key: Sequence[str], dataset: Column, batch_id: str | None = None
 ) -> DataFrame:
     """Prediction log: unique key, features, actual and predicted value, data set and batch."""
     return df.select(
-        F.concat_ws("-", *[F.col(k).cast("string") for k in key], F.lit(batch_id)).alias("record_key"),
+        F.concat_ws("-", *[F.col(k).cast("string") for k in key], F.lit(batch_id).cast("string")).alias("record_key"),
         *features,
         F.col(actual).alias("actual"),
         F.col(predicted).alias("output"),
         dataset.alias("dataset"),
-        F.lit(batch_id).alias("batch_id"),
+        F.lit(batch_id).cast("string").alias("batch_id"),
     )
 
 

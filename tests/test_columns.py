@@ -43,8 +43,8 @@ def test_label_encode_beyond_the_driver_limit(make, column):
 def test_one_hot(make):
     df = make("occupation string, age int, education string", ("?", 20, "x"), ("clerk", 30, "y"), (None, 40, "z"))
     out = C.one_hot(df, exclude=["education"])
-    assert out.columns == ["occupation_?", "occupation_clerk", "age", "education"]
-    assert got(out) == [(1.0, 0.0, 20, "x"), (0.0, 1.0, 30, "y"), (0.0, 0.0, 40, "z")]
+    assert out.columns == ["age", "occupation_?", "occupation_clerk", "education"]
+    assert got(out) == [(20.0, 1.0, 0.0, "x"), (30.0, 0.0, 1.0, "y"), (40.0, 0.0, 0.0, "z")]
     with pytest.raises(ValueError):
         C.one_hot(df, limit=1)
     wide = C.one_hot_vector(df, "occupation", "v").collect()

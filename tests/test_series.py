@@ -41,8 +41,8 @@ def test_regret(make):
 
 
 def test_last_of_ties_is_selected(make):
-    df = make("i int, ad string, pos int, score double", (1, "a", 0, 0.5), (1, "b", 1, 0.7), (1, "c", 2, 0.7), (2, "d", 0, 0.1))
-    assert sorted(got(S.select_best(df, ["i"], "score", "pos", "ad"))) == [(1, "c"), (2, "d")]
+    df = make("i int, ad string, pos int, score double", (1, "a", 0, 0.5), (1, "b", 1, 0.7), (1, "c", 2, 0.7), (2, "d", 0, 0.0), (3, "e", 0, -0.1))
+    assert sorted(got(S.select_best(df, ["i"], "score", "pos", "ad")), key=str) == [(1, "c"), (2, "d"), (3, None)]
 
 
 def test_seasonal_naive_repeats_the_last_year(make):

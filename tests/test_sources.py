@@ -1,5 +1,6 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -60,8 +61,9 @@ def test_json_values_last_wins(spark, tmp_path):
     a.write_text(json.dumps({"x": 1, "y": 2.5}, indent=1))
     b.write_text(json.dumps({"x": 3}))
     assert sorted(got(S.scan_json_values(spark, [str(a), str(b)], ["x", "y"]))) == [("x", 3.0), ("y", 2.5)]
-    out = S.save_values(spark, {"n": 2, "s": {"b", "a"}}, str(tmp_path / "v"))
-    assert got(spark.read.json(out), "n", "s") == [(2, "['a', 'b']")]
+    values = {"n": np.int64(2), "s": {"b", "a"}, "l": np.array([1.5, 2.0])}
+    out = S.save_values(spark, values, str(tmp_path / "v"))
+    assert got(spark.read.json(out), "n", "s", "l") == [(2, "['a', 'b']", [1.5, 2.0])]
 
 
 def test_payload(make):
@@ -84,6 +86,9 @@ def test_convert(spark, tmp_path):
     assert got(spark.read.parquet(out)) == [("NA", 1)]
     with pytest.raises(AnalysisException):
         S.convert_to_parquet(spark, str(src), out, "k string, v int")
+    (tmp_path / "b.csv").write_text("k\nx\n")
+    made = S.convert_files(spark, [str(tmp_path / "b.csv"), out], str(tmp_path / "made"), {"b": "k string"})
+    assert [p.split("/")[-1] for p in made] == ["b.parquet", "a.parquet"]
     for bad in ("x.xlsx", "x.csv"):
         with pytest.raises(ValueError):
             S.convert_to_parquet(spark, str(tmp_path / bad), str(tmp_path / "z"))

@@ -61,13 +61,13 @@ def test_enrich_keeps_going(make):
 
 
 def test_answers(make):
-    names = ["id", "product", "usage", "pros", "cons", "recommend"]
-    lines = make("value string", ("1;product_1;usage_1;pros_1;cons_1;recommend_1",), ("2; p",), ("3;a;b;c;d;e;f",))
+    names = ["id", "product", "usage", "pros", "cons", "recommendation"]
+    lines = make("value string", (" 1;product_1;usage_1;pros_1;cons_1;recommend_1\n",), ("2; p",), ("3;a;b;c;d;e;f",))
     good, bad = X.split_answer_lines(lines, names)
-    assert got(good) == [("1", "product_1", "usage_1", "pros_1", "cons_1", "recommend_1"), ("2", "p", None, None, None, None)]
+    assert got(good) == [("1", "product_1", "usage_1", "pros_1", "cons_1", "recommend_1"), ("2", " p", None, None, None, None)]
     assert got(bad) == [("3;a;b;c;d;e;f",)]
-    merged = X.merge_responses(good.select("id", "product"), make("id int, video string", (1, "v1")), "id")
-    assert sorted(got(merged)) == [("1", "product_1", "v1"), ("2", "p", None)]
+    merged = X.merge_responses(good.select("id", "product"), make("id int, video string", (1, "v1"), (9, "v9")), "id")
+    assert sorted(got(merged), key=str) == [("1", "v1", "product_1"), ("9", "v9", None)]
 
 
 @pytest.fixture(scope="module")
