@@ -248,14 +248,14 @@ def _few_rows_message(low: DataFrame, group: str, shown: int) -> str:
     if not names:
         return ""
     more = ", and more" if len(names) > shown else ""
-    return f"Too few rows for {group}: {', '.join(names[:shown])}{more}"
+    return f"not enough rows for {group}: {', '.join(names[:shown])}{more}"
 
 
 def enforce_size(df: DataFrame, minimum: int, low: DataFrame, group: str, shown: int = 100) -> None:
     """Both size checks of the model table; all errors are raised together."""
     errors = []
     if not check_minimum_rows(df, minimum).first()["success"]:
-        errors.append("Too few rows to meet max fraction constraints")
+        errors.append("not enough rows for the share limits")
     few = _few_rows_message(low, group, shown)
     if few:
         errors.append(few)

@@ -119,7 +119,7 @@ def sql_query(t: Tables) -> DataFrame:
 
 @query("head_n", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
 def head_n(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", "o_custkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(10)
+    return catalog.table_head(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), [F.desc("o_totalprice"), "o_orderkey"], 10)
 
 
 @query("file_inventory")

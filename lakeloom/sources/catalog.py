@@ -5,9 +5,8 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 MODES = {"EMPTY": "errorifexists", "TRUNCATE": "overwrite", "APPEND": "append"}
 # fixed values: warehouse type names
@@ -115,12 +114,12 @@ def backup_tables(spark: SparkSession, tables: Sequence[tuple[str, str]], path:
             copy = spark.table(f"{source}.{name}")
             copy.write.mode("overwrite").format("parquet").option("path", f"{path}/{target}/{name}").saveAsTable(f"{target}.{name}")
             status.append((db, name, "copied"))
-        except AnalysisException as problem:
+        except Exception as problem:  # whatever stops one table must not stop the others
             status.append((db, name, f"failed: {type(problem).__name__}"))
     return status
 
 
-def table_head(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+def table_head(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
     """First rows in a stated order."""
     return df.orderBy(*order).limit(n)
 
