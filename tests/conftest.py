@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 def spark():
     from lakeloom.session import build_session
 
-    session = build_session("tests", "4", 4)
+    session = build_session("tests", "8", 4)
     yield session
     session.stop()
 
