@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from lakeloom.functions.scalars import HASH_RANGE, as_col, stable_hash
+from lakeloom.operators.ordering import ROWS_PER_CUT, split_hot
 
 
 def dropna_subset(df: DataFrame, *columns: str) -> DataFrame:
@@ -98,14 +99,25 @@ def split_random(df: DataFrame, key: Sequence[str], fraction: float, seed: int =
 
 def split_stratified(
     df: DataFrame, stratum: str, key: Sequence[str], fraction: float, seed: int = 0,
-    name: str = "is_train", slots: int = 4096,
+    name: str = "is_train", hot_rows: int = ROWS_PER_CUT, slots: int = 4096,
 ) -> DataFrame:
-    """Mark exactly ``round(fraction * n)`` rows of every stratum.
+    """Mark exactly ``round(fraction * n)`` rows of every stratum, those with the lowest hashes.
 
-    Rows fall into hash slots. Slots are counted per stratum, slots before the border are all in, those
-    after are all out, and only the border slot (about 1/slots of a stratum) is ranked row by row.
+    A stratum above ``hot_rows`` rows is not sorted: its rows are counted by hash slot. Slots before the one in
+    which its share ends are all in, later ones all out, and only that slot (about 1/slots) is ranked.
     """
     h = stable_hash(*key, seed=seed)
+    cool, hot = split_hot(df, [stratum], hot_rows)
+    whole = W.partitionBy(stratum)
+    rank = F.row_number().over(whole.orderBy("__h", *key))
+    want = F.bround(F.count(F.lit(1)).over(whole) * F.lit(fraction))
+    out = cool.withColumn("__h", h).withColumn(name, rank <= want).select(*df.columns, name)
+    return out if hot is None else out.unionByName(_split_by_slots(hot, stratum, key, fraction, h, name, slots))
+
+
+def _split_by_slots(
+    df: DataFrame, stratum: str, key: Sequence[str], fraction: float, h: Column, name: str, slots: int
+) -> DataFrame:
     slotted = df.withColumns({"__h": h, "__slot": F.floor(h / (HASH_RANGE // slots))})
     counts = slotted.groupBy(stratum, "__slot").agg(F.count(F.lit(1)).alias("__c"))
     # at most ``slots`` rows per stratum reach one task here

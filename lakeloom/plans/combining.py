@@ -59,9 +59,12 @@ def natural_inner_join(t: Tables) -> DataFrame:
     return J.natural_inner_join(t.labels, t.documents.select("doc_id", "lang", "n_chars"))
 
 
-@query("optional_join", "SELECT o_orderkey, o_orderstatus FROM orders")
+@query("optional_join", "SELECT o_custkey AS c_custkey, o_orderkey, o_orderstatus, c_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
 def optional_join(t: Tables) -> DataFrame:
-    return J.optional_left_join(t.orders.select("o_orderkey", "o_orderstatus"), None, "o_orderkey")
+    """One optional table is there, the other is not."""
+    orders = t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderstatus")
+    named = J.optional_left_join(orders, t.customer.select("c_custkey", "c_name"), "c_custkey")
+    return J.optional_left_join(named, None, "c_custkey")
 
 
 @query("cross_grid", f"""

@@ -378,6 +378,15 @@ def split_stratified(t: Tables) -> DataFrame:
     return R.split_stratified(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderpriority", ["o_orderkey"], 0.9)
 
 
+@query("split_stratified_hot", f"""
+SELECT o_orderkey, o_orderstatus, rn <= round_even(n * 0.9e0, 0) AS is_train FROM (
+  SELECT o_orderkey, o_orderstatus, count(*) OVER (PARTITION BY o_orderstatus) AS n,
+         row_number() OVER (PARTITION BY o_orderstatus ORDER BY {hash_sql('o_orderkey')}, o_orderkey) AS rn FROM orders)""")
+def split_stratified_hot(t: Tables) -> DataFrame:
+    """Three strata with a third of all rows each, split by counting hash slots instead of sorting."""
+    return R.split_stratified(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderstatus", ["o_orderkey"], 0.9, hot_rows=1_000)
+
+
 # --- scalar functions ------------------------------------------------------------------------------------
 
 

@@ -64,10 +64,10 @@ def test_split_random_share(spark):
     assert 0.78 < share < 0.82
 
 
-@pytest.mark.parametrize("slots", [1, 8, 4096])
-def test_split_stratified_is_exact_with_a_hot_stratum(spark, slots):
+@pytest.mark.parametrize("slots,hot_rows", [(1, 0), (8, 500), (4096, 1500), (4096, 10_000)])
+def test_split_stratified_is_exact_with_a_hot_stratum(spark, slots, hot_rows):
     df = spark.range(3000).withColumn("s", F.when(F.col("id") < 2000, "hot").when(F.col("id") < 2995, "mid").when(F.col("id") < 2999, "few"))
-    out = R.split_stratified(df, "s", ["id"], 0.9, slots=slots)
+    out = R.split_stratified(df, "s", ["id"], 0.9, slots=slots, hot_rows=hot_rows)
     assert out.count() == 3000
     sizes = {r["s"]: (r["n"], r["k"]) for r in out.groupBy("s").agg(F.count("id").alias("n"), F.count_if("is_train").alias("k")).collect()}
     assert sizes == {"hot": (2000, 1800), "mid": (995, 896), "few": (4, 4), None: (1, 1)}

@@ -177,3 +177,12 @@ def test_synthetic_is_stable(spark):
     assert 4 <= r["lo"] < 4.1 and 7.8 < r["hi"] < 7.9 and 0.45 < r["m"] < 0.55
     picks = spark.range(300).select(Y.choice_column(["id"], ["a", "b"], 1).alias("c"), Y.integer_column(["id"], -100, 100, 2).alias("n"))
     assert {r["c"] for r in picks.collect()} == {"a", "b"} and all(-100 <= r["n"] < 100 for r in picks.collect())
+
+
+def test_shared_folder_follows_the_session(spark):
+    from lakeloom.session import shared_folder
+
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    folder = shared_folder(spark)
+    assert folder == named.rstrip("/") if named else folder
+    assert scratch_path(spark, "x") != scratch_path(spark, "x") and scratch_path(spark, "x").startswith(folder)
