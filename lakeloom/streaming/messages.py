@@ -41,7 +41,7 @@ def parse_items(messages: DataFrame, column: str, keep: Sequence[str] = ()) -> D
 
 def number_records(
     items: DataFrame, device: str, order: Sequence[str], position: Column, tag: str, value: str, time: str,
-    tags: Sequence[str] = TAGS, rows_per_cut: int = ROWS_PER_CUT,
+    tags: Sequence[str] = TAGS, rows_per_cut: int = ROWS_PER_CUT, also: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per device and record: the latest value of each tag, the closing time, whether it is closed.
 
@@ -59,7 +59,7 @@ def number_records(
     return (
         counted.withColumn("__record", F.col("__closed") - closes)
         .groupBy(device, "__record")
-        .agg(*latest, F.max(F.when(closing, F.col(time))).alias("time"), F.max(closing).alias("__ends"))
+        .agg(*latest, F.max(F.when(closing, F.col(time))).alias("time"), F.max(closing).alias("__ends"), *also)
     )
 
 
@@ -83,31 +83,39 @@ def assemble_batch(
 
 def assemble_each_batch(
     out: str, state: str, device: str, order: Sequence[str], position: Column, tag: str, value: str, time: str,
-    tags: Sequence[str] = TAGS, rows_per_cut: int = ROWS_PER_CUT,
+    tags: Sequence[str] = TAGS, rows_per_cut: int = ROWS_PER_CUT, idle: float | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function for streams where one device may send most items.
 
     Every micro-batch is assembled like a table, in parallel within a device. The open records (at most one row
     per device) go to a state folder and open the next batch. Both folders carry the batch number, so a repeated
-    batch writes the same again.
+    batch writes the same again. With ``idle``, a device whose last item lies further back than that (in units of
+    the position) loses its open record, so the state cannot grow without end.
     """
     columns = [device, *order, tag, value, time]
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.select(*columns, F.lit(1).alias("__new"))
+        fresh = batch.select(*columns, F.lit(1).alias("__new"), position.cast("double").alias("__seen"))
         if batch_id > 0:
             kept = spark.read.parquet(f"{state}/batch={batch_id - 1}")
             pairs = F.array(*[F.struct(F.lit(t).alias("t"), F.col(f).alias("v")) for t, f in zip(tags, FIELDS)])
-            old = kept.select(device, F.inline(pairs)).filter(F.col("v").isNotNull())
+            old = kept.select(device, "__seen", F.inline(pairs)).filter(F.col("v").isNotNull())
             blank = {c: F.lit(None).cast(fresh.schema[c].dataType) for c in (*order, time)}
             old = old.withColumnsRenamed({"t": tag, "v": value}).withColumns({**blank, "__new": F.lit(0)})
             fresh = fresh.unionByName(old)
         # what was open before comes first; a NULL position does so too
         place = F.when(F.col("__new") == 1, position)
-        records = number_records(fresh, device, ["__new", *order], place, tag, value, time, tags, rows_per_cut).persist()
+        seen = F.max("__seen").alias("__seen")
+        records = number_records(
+            fresh, device, ["__new", *order], place, tag, value, time, tags, rows_per_cut, also=[seen]
+        ).persist()
         complete_records(records, device).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        records.filter(~F.col("__ends")).select(device, *FIELDS).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        still_open = records.filter(~F.col("__ends"))
+        if idle is not None:
+            newest = records.agg(seen).scalar()
+            still_open = still_open.filter(F.col("__seen") >= newest - F.lit(float(idle)))
+        still_open.select(device, *FIELDS, "__seen").write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
         records.unpersist()
 
     return run

@@ -87,6 +87,20 @@ def test_micro_batches_hand_on_open_records(spark):
     assert values(spark.read.parquet(out)) == WANT
 
 
+def test_silent_devices_lose_their_open_record(spark, make):
+    out, state = scratch_path(spark, "idle-out"), scratch_path(spark, "idle-state")
+    step = S.assemble_each_batch(out, state, "d", ["i"], F.col("i"), "tag", "v", "at", idle=10)
+    schema = "d string, i int, tag string, v double, at string"
+    step(make(schema, ("old", 1, SL, 1.0, "t"), ("new", 5, SL, 2.0, "t")), 0)
+    step(make(schema, ("new", 14, SW, 3.0, "t")), 1)
+    assert [tuple(r) for r in spark.read.parquet(f"{state}/batch=1").select("d", *S.FIELDS).collect()] == [("new", 2.0, 3.0, None, None)]
+    step(make(schema, ("new", 15, PL, 4.0, "t"), ("new", 16, PW, 5.0, "end"), ("old", 17, PW, 5.0, "t")), 2)
+    assert [tuple(r) for r in spark.read.parquet(f"{out}/batch=2").collect()] == [("new", 2.0, 3.0, 4.0, 5.0, "end")]
+    # a repeated batch writes the same again
+    step(make(schema, ("new", 15, PL, 4.0, "t"), ("new", 16, PW, 5.0, "end"), ("old", 17, PW, 5.0, "t")), 2)
+    assert spark.read.parquet(f"{out}/batch=2").count() == 1
+
+
 def test_bad_time_is_a_dead_letter(make):
     df = make("sepal_length double, time string", (1.0, "2024-01-01T00:00:01Z"), (2.0, "yesterday"))
     rows = S.scored_records(df, F.col("sepal_length") * 2).collect()
