@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -16,7 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-SF = "/root/testdata/sf0.01"
+SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
 
 def connect(folder: str = SF):
