@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import ann, mixing, urls, vafile
+from lakeloom.llm import ann, mixing, packing, urls, vafile, warc
+from lakeloom.session import scratch_path
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +81,28 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on every url by the rules of the query."""
     rules = spark.createDataFrame([(k, v) for v, k in urls.RULES], "key string, verdict string")
     return urls.judge(table(spark, folder, "pages"), rules)
+
+
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM f
+"""
+
+
+@query("op2_warc_round_trip", OP2_SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of all pages as read back from the archives."""
+    place = scratch_path(spark, "warc")
+    return warc.read_warc(spark, warc.write_warc(table(spark, folder, "pages"), place), place).drop("url")
+
+
+@query("op6_pack_sequences")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in sequences of 4096 ids."""
+    docs = table(spark, folder, "documents")
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json")).drop("copy")
