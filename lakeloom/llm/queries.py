@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import ann, mixing, packing, urls, vafile, warc
+from lakeloom.llm import ann, mixing, packing, quality, urls, vafile, warc
 from lakeloom.session import scratch_path
 
 QUERIES: dict = {}
@@ -106,3 +106,10 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 ids."""
     docs = table(spark, folder, "documents")
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json")).drop("copy")
+
+
+@query("op8_resample_quality")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that importance resampling keeps, with their weights."""
+    kept = quality.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))[1]
+    return kept.select("doc_id", "log_weight")
