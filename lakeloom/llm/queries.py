@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import ann, mixing, packing, quality, urls, vafile, warc
+from lakeloom.llm import ann, jaccard, mixing, packing, quality, urls, vafile, warc
 from lakeloom.session import scratch_path
 
 QUERIES: dict = {}
@@ -113,3 +113,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that importance resampling keeps, with their weights."""
     kept = quality.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))[1]
     return kept.select("doc_id", "log_weight")
+
+
+@query("op5_jaccard_join")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingle counts and components of near copies."""
+    return jaccard.jaccard_components(table(spark, folder, "documents"))
