@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import ann, jaccard, mixing, packing, quality, urls, vafile, warc
+from lakeloom.llm import ann, htmltext, jaccard, mixing, packing, quality, urls, vafile, warc
 from lakeloom.session import scratch_path
 
 QUERIES: dict = {}
@@ -119,3 +119,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Shingle counts and components of near copies."""
     return jaccard.jaccard_components(table(spark, folder, "documents"))
+
+
+@query("op9_host_suffix_text")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(table(spark, folder, "pages"))
