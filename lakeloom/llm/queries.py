@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import ann, htmltext, jaccard, mixing, packing, quality, urls, vafile, warc
+from lakeloom.llm import ann, htmltext, jaccard, mixing, packing, pii, quality, urls, vafile, warc
 from lakeloom.session import scratch_path
 
 QUERIES: dict = {}
@@ -125,3 +125,9 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     return htmltext.extract(table(spark, folder, "pages"))
+
+
+@query("op4_crf_personal_data")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.detect(table(spark, folder, "documents"))
