@@ -86,27 +86,62 @@ class Tree:
         return found
 
 
-def cosine(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Cosine of one vector with rows of ``x``; equal rows get equal scores."""
-    return (x * q).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * math.sqrt(float((q * q).sum())))
-
-
-def nearest(qids, qs, ids, xs, k: int, chunk: int = 128):
-    """Best ``k`` rows per query, (query ids, ids, scores): a matrix product picks candidates, ``cosine`` scores them."""
+def spare_copies(ids: np.ndarray, xs: np.ndarray, k: int) -> np.ndarray:
+    """Rows that can be among the ``k`` nearest of some query: of equal vectors those with the k + 1 smallest ids."""
+    order = np.argsort(ids, kind="stable")
+    _, names = np.unique(xs[order], axis=0, return_inverse=True)
+    names = names.ravel()
+    by_name = np.argsort(names, kind="stable")
+    starts = np.searchsorted(names[by_name], np.arange(names.max() + 1)) if len(names) else np.zeros(0, np.int64)
+    place = np.arange(len(names)) - starts[names[by_name]]
+    return np.sort(order[by_name[place <= k]])
+
+
+def nearest(qids, qs, ids, xs, k: int, chunk: int = 128, leaves=None, visited=None):
+    """Best ``k`` rows per query, (query ids, ids, scores): a matrix product picks candidates, ``cosine`` scores them.
+
+    With ``leaves`` (of the rows) and ``visited`` (a list of leaves per query) each query meets its leaves' rows only."""
+    kept = spare_copies(ids, xs, k)
+    ids, xs = ids[kept], xs[kept]
     unit = xs / np.linalg.norm(xs, axis=1)[:, None]
     unit_q = qs / np.linalg.norm(qs, axis=1)[:, None]
-    out = []
-    for start in range(0, len(qids), chunk):
-        rough = unit_q[start : start + chunk] @ unit.T
-        for j, scores in enumerate(rough):
-            qid = qids[start + j]
-            scores = np.where(ids == qid, -np.inf, scores)
-            kth = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) > k else -np.inf
-            near = np.flatnonzero((scores >= kth - 1e-9) & (scores > -np.inf))
-            exact = cosine(qs[start + j], xs[near])
-            order = np.lexsort((ids[near], -exact))[:k]
-            out.append((np.full(len(order), qid, np.int64), ids[near][order], exact[order]))
-    return [np.concatenate([o[i] for o in out]) if out else np.zeros(0) for i in range(3)]
+    if leaves is None:
+        blocks = [(np.arange(a, min(a + chunk, len(qids))), np.arange(len(ids))) for a in range(0, len(qids), chunk)]
+    else:
+        leaves = leaves[kept]
+        asked = np.repeat(np.arange(len(qids)), [len(v) for v in visited])
+        wanted = np.concatenate(visited) if len(visited) else np.zeros(0, np.int64)
+        blocks = []
+        for leaf in np.unique(leaves):
+            q, r = asked[wanted == leaf], np.flatnonzero(leaves == leaf)
+            blocks += [(q[a : a + chunk], r) for a in range(0, len(q), chunk)]
+    pairs_q, pairs_r, rough = [], [], []
+    for q, r in blocks:
+        if not len(q) or not len(r):
+            continue
+        scores = unit_q[q] @ unit[r].T
+        scores[qids[q][:, None] == ids[r][None, :]] = -np.inf
+        kth = np.partition(scores, len(r) - k, axis=1)[:, len(r) - k] if len(r) > k else np.full(len(q), -np.inf)
+        a, b = np.nonzero((scores >= kth[:, None] - 1e-9) & (scores > -np.inf))
+        pairs_q.append(q[a]), pairs_r.append(r[b]), rough.append(scores[a, b])
+    if not pairs_q:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    q, r, rough = np.concatenate(pairs_q), np.concatenate(pairs_r), np.concatenate(rough)
+    order = np.lexsort((-rough, q))
+    q, r, rough = q[order], r[order], rough[order]
+    first = np.searchsorted(q, np.arange(len(qids)))
+    last = np.minimum(first + k - 1, np.searchsorted(q, np.arange(len(qids)), side="right") - 1)
+    near = rough >= rough[np.maximum(last, 0)][q] - 1e-9
+    q, r = q[near], r[near]
+    exact = np.empty(len(q))
+    for a in range(0, len(q), 1 << 15):
+        x, y = xs[r[a : a + (1 << 15)]], qs[q[a : a + (1 << 15)]]
+        exact[a : a + (1 << 15)] = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
+    order = np.lexsort((ids[r], -exact, q))
+    q, r, exact = q[order], r[order], exact[order]
+    place = np.arange(len(q)) - np.searchsorted(q, q)
+    top = place < k
+    return qids[q[top]], ids[r[top]], exact[top]
 
 
 def directed(vectors: DataFrame) -> DataFrame:
@@ -154,16 +189,34 @@ def calibrate(indexed: DataFrame, tree: Tree, width: int, asked: int, k: int, go
     return visits, recall
 
 
+def shards(sizes: dict[int, int], leaves: int, group: int) -> tuple[dict[int, int], dict[int, int]]:
+    """First shard and number of shards of each leaf: neighbouring leaves share a shard of about ``group`` rows, larger
+    leaves are spread over several of their own."""
+    first, parts, at, held = {}, {}, 0, 0
+    for leaf in range(leaves):
+        n = sizes.get(leaf, 0)
+        if not n:
+            continue
+        if held and held + n > group:
+            at, held = at + 1, 0
+        first[leaf], parts[leaf] = at, max(1, -(-n // group))
+        if n > group:
+            at, held = at + parts[leaf], 0
+        else:
+            held += n
+    return first, parts
+
+
 def tree_search(
-    vectors: DataFrame, every: int = 50, k: int = 5, goal: float = 0.97, sample: int = 20_000, asked: int = 256, leaf_size: int = 250, branches: int = 8, group: int = 4096
+    vectors: DataFrame, every: int = 50, k: int = 5, goal: float = 0.95, sample: int = 20_000, asked: int = 256, leaf_size: int = 250, branches: int = 8, group: int = 2048
 ) -> DataFrame:
     """``k`` nearest rows by cosine for every row whose ``vec_id`` is divisible by ``every``: ``query_id``, ``rank``, ``vec_id``, ``score``.
 
     The tree is fitted on at most ``sample`` rows; every row is put into its leaf. The number of leaves visited is
     calibrated: for ``asked`` rows brute force over all rows tells the leaves of the true neighbours, and visits widen
-    until ``goal`` of them are covered. Leaves are cut into groups of about ``group`` rows by hash, so that a leaf with a
-    third of all rows spreads out; each query goes to all groups of the leaves it visits, and the exact cosine (double
-    precision, original vectors) ranks what they hold. Where the visited leaves hold fewer than k candidates, the query
+    until ``goal`` of them are covered. Neighbouring leaves form shards of about ``group`` rows, and a leaf with more rows is
+    spread over several by hash; a query goes once to each shard that holds leaves it visits, and the exact cosine (double
+    precision, original vectors) ranks the rows of these leaves. Where the visited leaves hold fewer than k candidates, the query
     visits all leaves. Ties go to the smaller id. Null ids, vectors that are null, zero, empty or hold null or
     non-finite components, and vectors of another length than most, take no part; a repeated query id is asked once. Empty
     tables give no rows.
@@ -186,40 +239,46 @@ def tree_search(
     indexed = materialize(rows.mapInArrow(index, "vec_id long, vector array<double>, leaf long"), "tree-index")
     visits, _ = calibrate(indexed, tree, width, asked, k, goal)
     sizes = {r["leaf"]: r["n"] for r in indexed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # one row per leaf
-    groups = {leaf: -(-n // group) for leaf, n in sizes.items()}
-    bins = F.create_map(*[F.lit(x) for kv in groups.items() for x in kv])
-    placed = indexed.withColumn("_bin", F.pmod(F.xxhash64("vec_id"), bins[F.col("leaf")]))
+    first, parts = shards(sizes, tree.leaves, group)
+    places = F.create_map(*[F.lit(x) for leaf in sizes for x in (leaf, first[leaf])])
+    spread = F.create_map(*[F.lit(x) for leaf in sizes for x in (leaf, parts[leaf])])
+    leaf = F.col("leaf")
+    placed = indexed.withColumn("shard", places[leaf] + F.pmod(F.xxhash64("vec_id"), spread[leaf])).select("shard", "vec_id", "vector", "leaf")
 
     def route(batches):
         for batch in batches:
             ids, x = batch.column(0).to_numpy(zero_copy_only=False), matrix(batch.column(1), width)
-            at, leaf, part = [], [], []
+            at, shard, lists = [], [], []
             for i, q in enumerate(x):
-                held, seen = 0, 0
+                held, seen, to = 0, 0, {}
                 for one in tree.visits(q / np.linalg.norm(q), tree.leaves):
                     if seen >= visits and held > k:
                         break
                     seen, held = seen + 1, held + sizes.get(one, 0)
-                    for g in range(groups.get(one, 0)):
-                        at.append(i), leaf.append(one), part.append(g)
+                    for s in range(first.get(one, 0), first.get(one, 0) + parts.get(one, 0)):
+                        to.setdefault(s, []).append(one)
+                at += [i] * len(to)
+                shard += to.keys()
+                lists += to.values()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[at], pa.int64()), batch.column(1).take(pa.array(at, pa.int64())), pa.array(leaf, pa.int64()), pa.array(part, pa.int64())],
-                names=["vec_id", "vector", "leaf", "_bin"],
+                [pa.array(shard, pa.int64()), pa.array(ids[at], pa.int64()), batch.column(1).take(pa.array(at, pa.int64())), pa.array(lists, pa.list_(pa.int64()))],
+                names=["shard", "vec_id", "vector", "leaves"],
             )
 
     queries = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    queries = queries.mapInArrow(route, "vec_id long, vector array<double>, leaf long, _bin long")
+    queries = queries.mapInArrow(route, "shard long, vec_id long, vector array<double>, leaves array<long>")
 
     def match(asked_rows: pa.Table, held: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not asked_rows.num_rows or not held.num_rows:
-            return empty
+            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        visited = [np.array(x, np.int64) for x in asked_rows["leaves"].to_pylist()]
         q, i, s = nearest(
-            asked_rows["vec_id"].to_numpy(), matrix(asked_rows["vector"].combine_chunks(), width), held["vec_id"].to_numpy(), matrix(held["vector"].combine_chunks(), width), k
-        )
+            asked_rows["vec_id"].to_numpy(), matrix(asked_rows["vector"].combine_chunks(), width), held["vec_id"].to_numpy(), matrix(held["vector"].combine_chunks(), width), k,
+            leaves=held["leaf"].to_numpy(), visited=visited,
+        )
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(i, pa.int64()), "score": pa.array(s, pa.float64())})
 
-    found = queries.groupBy("leaf", "_bin").cogroup(placed.groupBy("leaf", "_bin")).applyInArrow(match, "query_id long, vec_id long, score double")
+    found = queries.groupBy("shard").cogroup(placed.groupBy("shard")).applyInArrow(match, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -29,10 +29,10 @@ def slices(batches, column: str, most_bytes: int = 4 << 20) -> Iterator[pa.Recor
 def split(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of every text, flattened, and the offsets of each text in them. Null is empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    if lower:
-        texts = pc.ascii_lower(texts)
     lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts))
     flat = pc.list_flatten(lists)
+    if lower:  # of a slice of texts, ascii_lower reads beyond the end; the words are an array of their own
+        flat = pc.ascii_lower(flat)
     sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     blank = pc.equal(flat, "")
     if pc.any(blank).as_py():
