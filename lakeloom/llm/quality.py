@@ -91,45 +91,56 @@ def labelled_sample(labels: DataFrame, most: int) -> tuple[np.ndarray, np.ndarra
     return got["doc_id"].to_numpy(np.int64), got["good"].to_numpy(np.int64)
 
 
-def _counts(docs: DataFrame, ids: np.ndarray, good: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts per bucket over all documents and over the target's; each task hands on one array, cut into segments."""
-    wanted, size = ids[good == 1], 2 << bits
+PARTS = ("raw", "target", "rejected")
+
+
+def _counts(docs: DataFrame, ids: np.ndarray, good: np.ndarray, bits: int) -> dict[str, np.ndarray]:
+    """Counts per bucket over all documents, the target's and the labelled others; each task hands on one array of each,
+    cut into segments."""
+    wanted, others, size = ids[good == 1], ids[good == 0], 2 << bits
 
     def count(batches):
-        raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        sums = {p: np.zeros(size, np.int64) for p in PARTS}
         for batch in slices(batches, "text"):
             at, owner = grams(batch.column("text"), bits)
             names = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
-            known = np.isin(names, wanted) & batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-            raw += np.bincount(at.ravel(), minlength=size)
-            target += np.bincount(at[:, known[owner]].ravel(), minlength=size)
+            valid = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            sums["raw"] += np.bincount(at.ravel(), minlength=size)
+            for part, some in (("target", wanted), ("rejected", others)):
+                known = np.isin(names, some) & valid
+                sums[part] += np.bincount(at[:, known[owner]].ravel(), minlength=size)
         starts = np.arange(0, size, SEGMENT)
-        packed = [pa.array([zlib.compress(x[s : s + SEGMENT].tobytes(), 1) for s in starts], pa.binary()) for x in (raw, target)]
-        yield pa.RecordBatch.from_arrays([pa.array(starts // SEGMENT), *packed], names=["segment", "raw", "target"])
+        packed = [pa.array([zlib.compress(sums[p][s : s + SEGMENT].tobytes(), 1) for s in starts], pa.binary()) for p in PARTS]
+        yield pa.RecordBatch.from_arrays([pa.array(starts // SEGMENT), *packed], names=["segment", *PARTS])
 
     def add(held: pa.Table) -> pa.Table:
-        raw, target = np.zeros(SEGMENT, np.int64), np.zeros(SEGMENT, np.int64)
-        for a, b in zip(held["raw"], held["target"], strict=True):
-            raw += np.frombuffer(zlib.decompress(a.as_py()), np.int64)
-            target += np.frombuffer(zlib.decompress(b.as_py()), np.int64)
-        return pa.table({"segment": held["segment"].slice(0, 1), "raw": pa.array([raw.tobytes()], pa.binary()), "target": pa.array([target.tobytes()], pa.binary())})
-
-    kind = "segment long, raw binary, target binary"
-    sums = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(count, kind)
-    rows = sums.groupBy("segment").applyInArrow(add, kind).collect()  # the model: 2 x 2^bits numbers, whatever the input
-    raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        out = {"segment": held["segment"].slice(0, 1)}
+        for p in PARTS:
+            total = np.zeros(SEGMENT, np.int64)
+            for x in held[p]:
+                total += np.frombuffer(zlib.decompress(x.as_py()), np.int64)
+            out[p] = pa.array([total.tobytes()], pa.binary())
+        return pa.table(out)
+
+    kind = "segment long, " + ", ".join(f"{p} binary" for p in PARTS)
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(count, kind)
+    rows = found.groupBy("segment").applyInArrow(add, kind).collect()  # the model: 3 x 2 x 2^bits numbers, whatever the input
+    out = {p: np.zeros(size, np.int64) for p in PARTS}
     for r in rows:
         at = slice(r["segment"] * SEGMENT, (r["segment"] + 1) * SEGMENT)
-        raw[at], target[at] = np.frombuffer(r["raw"], np.int64), np.frombuffer(r["target"], np.int64)
-    return raw, target
+        for p in PARTS:
+            out[p][at] = np.frombuffer(r[p], np.int64)
+    return out
 
 
-def log_ratios(raw: np.ndarray, target: np.ndarray, pseudo: float = 0.5, least: float = 1.0, sigmas: float = 2.5) -> np.ndarray:
+def log_ratios(raw: np.ndarray, target: np.ndarray, rejected: np.ndarray, pseudo: float = 0.5, least: float = 1.0, sigmas: float = 2.5) -> np.ndarray:
     """log p(bucket | target) - log p(bucket | raw), smoothed by ``pseudo`` counts on the target's scale.
 
     The ratio is centred on what a typical n-gram of target text has (raw text holds other text too, which lowers
     all its shares alike). Buckets whose two models differ by less than ``least`` or ``sigmas`` deviations of the expected
-    count count as equal, so that long documents do not gather noise.
+    count count as equal, so that long documents do not gather noise. So do buckets whose difference the labelled
+    documents outside the target don't bear out: a group of copies without labels is common in raw text and missing in the
+    target, but says nothing about quality.
     """
     if not raw.sum() or not target.sum():
         return np.zeros(len(raw), np.float32)
@@ -139,7 +150,9 @@ def log_ratios(raw: np.ndarray, target: np.ndarray, pseudo: float = 0.5, least:
     mass = np.cumsum(target[order])
     ratio -= ratio[order][np.searchsorted(mass, mass[-1] / 2)]
     unsure = (np.abs(ratio) < least) | (np.abs(target - expected) < sigmas * np.sqrt(expected + 1))
-    return np.where(unsure, 0.0, ratio).astype(np.float32)
+    share = np.log((rejected + pseudo) / (max(rejected.sum(), 1)) / ((target + pseudo) / target.sum()))
+    borne = np.where(ratio < 0, (rejected >= 2) & (share > least), share < -least)
+    return np.where(unsure | ~borne, 0.0, ratio).astype(np.float32)
 
 
 def gram_ratios(ratio: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -212,8 +225,8 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 100_000, bits: in
     ids, good = labelled_sample(labels, most_labels)
     if not len(ids):
         return Model(np.zeros(2 << bits, np.float32), float("-inf"), bits)
-    raw, target = _counts(docs, ids, good, bits)
-    model = Model(log_ratios(raw, target), 0.0, bits)
+    counts = _counts(docs, ids, good, bits)
+    model = Model(log_ratios(*(counts[p] for p in PARTS)), 0.0, bits)
 
     def known(batches):
         for batch in slices(batches, "text"):
