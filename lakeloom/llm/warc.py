@@ -65,7 +65,7 @@ class _Roller:
             temporary = f"_temporary/{self.shard:06d}-{self.attempt}"
             self.store.create_dir(f"{self.folder}/{temporary}", recursive=True)
             self.temporary = f"{temporary}/{self.name}"
-            self.out = self.store.open_output_stream(f"{self.folder}/{self.temporary}")
+            self.out = self.store.open_output_stream(f"{self.folder}/{self.temporary}", compression=None)
             self.records, self.bytes, self.sha, self.first = 0, 0, hashlib.sha256(), page_id
             self._put(_info(self.name, self.level))
         self._put(data)
@@ -231,7 +231,7 @@ def read_warc(spark: SparkSession, manifest: DataFrame, folder: str, with_payloa
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 rows, held = [], 0
-                with store.open_input_stream(f"{top}/{name}") as f:
+                with store.open_input_stream(f"{top}/{name}", compression=None) as f:
                     for names, block in records(f):
                         if names["warc-type"] == "warcinfo":
                             continue
