@@ -6,9 +6,9 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from lakeloom.llm.components import stars
 from lakeloom.llm.words import MIX, hashed, mixed, rolled, slices, split
@@ -157,12 +157,12 @@ def voronoi(d: np.ndarray, radius: float) -> list[np.ndarray]:
 # --- signatures and candidate regions over all documents -----------------------------------------------------------------
 
 
-def common_shingles(docs: DataFrame, sample: int = 8192, least: int = 4, most: int = 200_000, words: int = WORDS) -> np.ndarray:
-    """Shingles that many documents share, from a bounded sample (documents by hash): they are put last in the order of
-    shingles. The order decides how much is compared, never what is found."""
-    count = docs.count()
+def common_shingles(rows: DataFrame, sample: int, least: int = 4, most: int = 1 << 20, words: int = WORDS) -> np.ndarray:
+    """Shingles that many of the sets share, from a sample of at most about ``sample`` sets (by hash): they are put last in
+    the order of shingles. The order decides how much is compared, never what is found."""
+    count = rows.count()
     share = min(1.0, sample / count) if count else 1.0
-    picked = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    picked = rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
     def count_up(batches):
         seen = []
@@ -186,25 +186,99 @@ def common_shingles(docs: DataFrame, sample: int = 8192, least: int = 4, most: i
         return pa.table({"token": names[keep].view(np.int64), "n": sums[keep]})
 
     found = picked.select("text").mapInArrow(count_up, "part long, tokens binary, counts binary").groupBy("part").applyInArrow(often, "token long, n long")
-    rows = found.orderBy(F.col("n").desc(), "token").limit(most).toPandas()  # at most ``most`` numbers
-    return np.sort(rows["token"].to_numpy(np.int64).view(np.uint64))
+    top = found.orderBy(F.col("n").desc(), "token").limit(most).toPandas()  # at most ``most`` numbers
+    return np.sort(top["token"].to_numpy(np.int64).view(np.uint64))
 
 
-def signatures(docs: DataFrame, common: np.ndarray, percent: int, words: int) -> DataFrame:
-    """``doc_id``, ``n``, ``key`` and ``prefix`` of every document: of its shingles, rare ones first and by hash, as many as
-    any linked document must share at least one of."""
+def signatures(docs: DataFrame, words: int) -> DataFrame:
+    """``doc_id``, ``n`` (size of the set) and ``key`` (the same for equal sets) of every document."""
 
     def sign(batches):
         for batch in slices(batches, "text"):
-            ns, keys, prefixes = [], [], []
+            sets = shingle_sets(batch.column("text"), words)
+            arrays = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_key(s) for s in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "key"])
+
+    return docs.mapInArrow(sign, "doc_id long, n long, key long")
+
+
+def _small(numbers: np.ndarray) -> bytes:
+    """Counts in one byte each, or four where one is too few."""
+    wide = len(numbers) and numbers.max() > 255
+    return bytes([4 if wide else 1]) + numbers.astype(np.uint32 if wide else np.uint8).tobytes()
+
+
+def _counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, np.uint32 if packed[0] == 4 else np.uint8, offset=1).astype(np.int64)
+
+
+def sharing_classes(docs: DataFrame, percent: int, words: int, buckets: int) -> DataFrame:
+    """``key`` of the sets of which at least ``percent`` of the shingles occur in other documents too.
+
+    A set with fewer of them can't be linked to any other, as it can't share more than them. Shingles go to buckets as
+    three bytes each, about a million to a bucket, so that chance may make a few of them look shared, never the other way.
+    Each slice of documents sends a set once, however many copies it holds, and gets back one count per set and bucket.
+    """
+
+    def spread(batches):
+        part = TaskContext.get().partitionId()
+        for number, batch in enumerate(slices(batches, "text")):
+            sets = {class_key(s): s for s in shingle_sets(batch.column("text"), words) if len(s)}
+            if not sets:
+                continue
+            keys, sizes = np.array(list(sets), np.int64), np.array([len(s) for s in sets.values()], np.int64)
+            codes = mixed(np.concatenate(list(sets.values())))
+            bucket = ((codes >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            owner = np.repeat(np.arange(len(keys)), sizes)[order]
+            three = (codes[order] & np.uint64(0xFFFFFF)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            chunk = (part << 32) | number
+            rows = [(b, three[x:y].tobytes(), _small(np.bincount(owner[x:y], minlength=len(keys))), b == chunk % buckets) for b, x, y in zip(range(buckets), edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+            rows = [r for r in rows if r[1] or r[3]]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([r[0] for r in rows], pa.int64()), pa.array([chunk] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary()),
+                    pa.array([keys.tobytes() if r[3] else None for r in rows], pa.binary()), pa.array([sizes.tobytes() if r[3] else None for r in rows], pa.binary()),
+                ],
+                names=["bucket", "chunk", "codes", "counts", "keys", "sizes"],
+            )
+
+    def flag(held: pa.Table) -> pa.Table:
+        raw = np.frombuffer(b"".join(held["codes"].to_pylist()), np.uint8).reshape(-1, 3).astype(np.uint32)
+        codes = raw[:, 0] | raw[:, 1] << 8 | raw[:, 2] << 16
+        _, at, times = np.unique(codes, return_inverse=True, return_counts=True)
+        shared = np.concatenate([[0], np.cumsum(times[at] > 1)])
+        out, start = [], 0
+        for packed in held["counts"].to_pylist():
+            ends = start + np.cumsum(_counts(packed))
+            out.append(_small(np.diff(shared[np.concatenate([[start], ends])])))
+            start = int(ends[-1])
+        return pa.table({"chunk": held["chunk"], "counts": pa.array(out, pa.binary()), "keys": held["keys"], "sizes": held["sizes"]})
+
+    def total(held: pa.Table) -> pa.Table:
+        shared = sum(_counts(c) for c in held["counts"].to_pylist())
+        keys, sizes = (np.frombuffer(next(x for x in held[c].to_pylist() if x is not None), np.int64) for c in ("keys", "sizes"))
+        return pa.table({"key": pa.array(keys[100 * shared >= percent * sizes])})
+
+    kind = "bucket long, chunk long, codes binary, counts binary, keys binary, sizes binary"
+    flagged = docs.select("text").mapInArrow(spread, kind).groupBy("bucket").applyInArrow(flag, "chunk long, counts binary, keys binary, sizes binary")
+    return flagged.groupBy("chunk").applyInArrow(total, "key long").distinct()
+
+
+def prefixed(rows: DataFrame, common: np.ndarray, percent: int, words: int) -> DataFrame:
+    """``key``, ``n`` and ``prefix`` of every set: of its shingles, rare ones first and by hash, as many as any linked set
+    must share at least one of."""
+
+    def sign(batches):
+        for batch in slices(batches, "text"):
+            prefixes = []
             for s in shingle_sets(batch.column("text"), words):
-                ns.append(len(s))
-                keys.append(class_key(s))
-                often = _member(s, common) if len(common) and len(s) else np.zeros(len(s), bool)
-                prefixes.append(np.concatenate([s[~often], s[often]])[: prefix_size(len(s), percent)].tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ns, pa.int64()), pa.array(keys, pa.int64()), pa.array(prefixes, pa.binary())], names=["doc_id", "n", "key", "prefix"])
+                often = _member(s, common) if len(common) else np.zeros(len(s), bool)
+                prefixes.append(np.concatenate([s[~often], s[often]])[: prefix_size(len(s), percent)].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("n"), pa.array(prefixes, pa.binary())], names=["key", "n", "prefix"])
 
-    return docs.mapInArrow(sign, "doc_id long, n long, key long, prefix binary")
+    return rows.select("key", "n", "text").mapInArrow(sign, "key long, n long, prefix binary")
 
 
 def candidate_links(classes: DataFrame, percent: int, buckets: int) -> DataFrame:
@@ -262,7 +336,7 @@ def _sets_of(held: pa.Table, words: int) -> tuple[np.ndarray, list[np.ndarray]]:
     keys, sets, seen = [], [], set()
     for batch in slices(held.to_batches(), "text"):
         for k, s in zip(batch.column("key").to_pylist(), shingle_sets(batch.column("text"), words), strict=True):
-            if k not in seen and class_key(s) == k:  # a repeated doc_id brings other texts along
+            if k not in seen:
                 seen.add(k)
                 keys.append(k)
                 sets.append(s)
@@ -373,29 +447,31 @@ def _block_pairs(rows: DataFrame, percent: int, words: int, bound: int) -> DataF
     return pairs.select("region", "_a", "_b", "key", "text").groupBy("region", "_a", "_b").applyInArrow(_joiner(percent, words), "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, bound: int = 8 << 20, bucket: int = 500_000, sample: int = 8192) -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, bound: int = 8 << 20, bucket: int = 500_000, sample: int = 32_768) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` of every document (``doc_id``, ``text``).
 
     Documents link when their sets of ``words``-word shingles have a Jaccard similarity of at least ``percent`` per cent;
     the component is the smallest doc_id reachable by links. Documents with the same set are one class, so copies are
-    never compared. Sets of classes are compared by 64-bit hashes of shingles. Every linked pair of classes shares a shingle
-    pivot's region; connected candidate regions are joined exactly, see ``region_links``.
+    never compared. Sets of classes are compared by 64-bit hashes of shingles. Sets that share too few shingles with any
+    other drop out first. Every linked pair of the rest shares a shingle pivot's region; connected candidate regions are
+    joined exactly, see ``region_links``.
 
     Null texts and texts without words have an empty set and link with nothing; documents with null ids link nobody and
     have a null component; rows that repeat an id with another text are documents of that id. Empty tables give no rows.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    common = common_shingles(texts, sample, words=words)
-    signed = materialize(signatures(texts, common, percent, words), "jaccard-signatures")
+    signed = materialize(signatures(texts, words), "jaccard-signatures")
     real = signed.where("key is not null and doc_id is not null")
     classes = materialize(real.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n")), "jaccard-classes")
-    total = classes.agg(F.sum(F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1)).first()[0] or 0
-    prefixes = real.groupBy("key").agg(F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
-    near = stars(candidate_links(prefixes, percent, max(1, -(-int(total) // bucket))))
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    sharing = sharing_classes(texts.where("doc_id is not null"), percent, words, max(1, -(-int(total) // (1 << 20))))
+    wanted = materialize(classes.join(sharing, "key"), "jaccard-sharing")
+    rows = materialize(of_class(wanted.join(texts.where("doc_id is not null"), "doc_id"), words), "jaccard-texts")
+    common = common_shingles(rows, sample, words=words)
+    held = wanted.agg(F.sum("n")).first()[0] or 0
+    near = stars(candidate_links(prefixed(rows, common, percent, words), percent, max(1, int(held) * (100 - percent) // 100 // bucket + 1)))
     members = near.select(F.col("hi").alias("key"), F.col("lo").alias("region")).union(near.select("lo", "lo").distinct())
-    wanted = members.join(classes, "key").select("doc_id", "key", "region", "n")
-    rows = materialize(wanted.join(texts.where("doc_id is not null"), "doc_id").select("region", "key", "n", "text"), "jaccard-regions")
-    links, whole = region_links(rows, percent, words, bound)
+    links, whole = region_links(rows.join(members, "key").select("region", "key", "n", "text"), percent, words, bound)
     found = materialize(links.select(F.col("a").alias("hi"), F.col("b").alias("lo")), "jaccard-links") if whole else stars(links)
     placed = classes.join(found, classes["key"] == found["hi"], "left").select("key", "doc_id", F.coalesce("lo", "key").alias("root"))
     placed = materialize(placed, "jaccard-placed")
@@ -404,3 +480,14 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     out = signed.join(named, (signed["key"] == F.col("_key")) & signed["doc_id"].isNotNull(), "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def of_class(rows: DataFrame, words: int) -> DataFrame:
+    """``key``, ``n``, ``text`` of the rows whose text has the set ``key``: a repeated doc_id brings other texts along."""
+
+    def keep(batches):
+        for batch in slices(batches, "text"):
+            same = [class_key(s) == k if len(s) else False for s, k in zip(shingle_sets(batch.column("text"), words), batch.column("key").to_pylist(), strict=True)]
+            yield batch.filter(pa.array(same, pa.bool_()))
+
+    return rows.select("key", "n", "text").mapInArrow(keep, "key long, n long, text string")

@@ -98,6 +98,7 @@ def _counts(docs: DataFrame, ids: np.ndarray, good: np.ndarray, bits: int) -> di
     """Counts per bucket over all documents, the target's and the labelled others; each task hands on one array of each,
     cut into segments."""
     wanted, others, size = ids[good == 1], ids[good == 0], 2 << bits
+    width = min(SEGMENT, size)
 
     def count(batches):
         sums = {p: np.zeros(size, np.int64) for p in PARTS}
@@ -109,14 +110,14 @@ def _counts(docs: DataFrame, ids: np.ndarray, good: np.ndarray, bits: int) -> di
             for part, some in (("target", wanted), ("rejected", others)):
                 known = np.isin(names, some) & valid
                 sums[part] += np.bincount(at[:, known[owner]].ravel(), minlength=size)
-        starts = np.arange(0, size, SEGMENT)
-        packed = [pa.array([zlib.compress(sums[p][s : s + SEGMENT].tobytes(), 1) for s in starts], pa.binary()) for p in PARTS]
-        yield pa.RecordBatch.from_arrays([pa.array(starts // SEGMENT), *packed], names=["segment", *PARTS])
+        starts = np.arange(0, size, width)
+        packed = [pa.array([zlib.compress(sums[p][s : s + width].tobytes(), 1) for s in starts], pa.binary()) for p in PARTS]
+        yield pa.RecordBatch.from_arrays([pa.array(starts // width), *packed], names=["segment", *PARTS])
 
     def add(held: pa.Table) -> pa.Table:
         out = {"segment": held["segment"].slice(0, 1)}
         for p in PARTS:
-            total = np.zeros(SEGMENT, np.int64)
+            total = np.zeros(width, np.int64)
             for x in held[p]:
                 total += np.frombuffer(zlib.decompress(x.as_py()), np.int64)
             out[p] = pa.array([total.tobytes()], pa.binary())
@@ -127,7 +128,7 @@ def _counts(docs: DataFrame, ids: np.ndarray, good: np.ndarray, bits: int) -> di
     rows = found.groupBy("segment").applyInArrow(add, kind).collect()  # the model: 3 x 2 x 2^bits numbers, whatever the input
     out = {p: np.zeros(size, np.int64) for p in PARTS}
     for r in rows:
-        at = slice(r["segment"] * SEGMENT, (r["segment"] + 1) * SEGMENT)
+        at = slice(r["segment"] * width, (r["segment"] + 1) * width)
         for p in PARTS:
             out[p][at] = np.frombuffer(r[p], np.int64)
     return out
@@ -164,7 +165,7 @@ def gram_ratios(ratio: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _weights(batch: pa.RecordBatch, model: Model) -> np.ndarray:
     at, owner = grams(batch.column("text"), model.bits)
-    return np.bincount(owner, weights=gram_ratios(model.ratio, at), minlength=batch.num_rows)
+    return np.bincount(owner, weights=gram_ratios(model.ratio, at), minlength=batch.num_rows).astype(np.float64)
 
 
 def gumbel(ids: np.ndarray, seed: int = 0) -> np.ndarray:
