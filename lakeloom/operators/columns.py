@@ -167,7 +167,14 @@ def _text_position(c: Column) -> Column:
 
 
 def one_hot(df: DataFrame, exclude: Sequence[str] = (), limit: int = 1_000) -> DataFrame:
-    """Text columns become ``column_value`` columns of 0.0 / 1.0; numbers pass through as doubles, ahead of them."""
+    """Text columns become ``column_value`` columns of 0.0 / 1.0; numbers pass through as doubles, ahead of them.
+
+    A column with more than ``limit`` values becomes one sparse vector column ``column_onehot`` of the same zeros and
+    ones, in the order of its values, and a last place for a missing one.
+    """
+    for f in df.schema:
+        if f.name not in exclude and isinstance(f.dataType, T.StringType) and few_values(df, f.name, limit) is None:
+            df = one_hot_vector(df, f.name, f.name + "_onehot", missing="last").drop(f.name)
     numbers: list[Column] = []
     out: list[Column] = []
     tail: list[Column] = []
@@ -176,17 +183,26 @@ def one_hot(df: DataFrame, exclude: Sequence[str] = (), limit: int = 1_000) -> D
             tail.append(F.col(f.name))
         elif isinstance(f.dataType, T.StringType):
             values = few_values(df, f.name, limit)
-            if values is None:
-                raise ValueError(f"{f.name} has over {limit} values, too many for one column each")
             hit = F.col(f.name)
             out += [F.when(hit.eqNullSafe(v), 1.0).otherwise(0.0).alias(f"{f.name}_{v}") for v in values]
-        else:
+        elif isinstance(f.dataType, T.NumericType):
             numbers.append(F.col(f.name).cast("double").alias(f.name))
+        else:
+            out.append(F.col(f.name))
     return df.select(*numbers, *out, *tail)
 
 
-def one_hot_vector(df: DataFrame, column: str, name: str) -> DataFrame:
-    """A sparse 0/1 vector of any number of categories, for columns too wide for one column each."""
-    coded = LabelEncoder.fit(df, [column]).apply(df, "__code").na.drop(subset=[column])
+def one_hot_vector(df: DataFrame, column: str, name: str, missing: str = "drop") -> DataFrame:
+    """A sparse 0/1 vector of any number of categories, for columns too wide for one column each.
+
+    Rows without a value are dropped; with ``missing="last"`` they stay and have the last place.
+    """
+    coded = LabelEncoder.fit(df, [column]).apply(df, "__code")
+    if missing == "last":
+        top = coded.filter(F.col(column).isNotNull()).agg(F.max(column + "__code")).first()[0]
+        code = F.when(F.col(column).isNull(), F.lit(-1 if top is None else top) + 1).otherwise(F.col(column + "__code"))
+        coded = coded.withColumn(column + "__code", code)
+    else:
+        coded = coded.na.drop(subset=[column])
     encoder = OneHotEncoder(inputCol=column + "__code", outputCol=name, dropLast=False)
     return encoder.fit(coded).transform(coded).drop(column + "__code")

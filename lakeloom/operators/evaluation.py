@@ -132,12 +132,16 @@ def regression_metrics(df: DataFrame, predicted: str, actual: str) -> DataFrame:
     )
 
 
-def bar_chart(df: DataFrame, column: str, name: str, limit: int = 1_000) -> DataFrame:
-    """JSON series of value counts, most frequent first, for a column with few values."""
+def bar_points(df: DataFrame, column: str, name: str) -> DataFrame:
+    """A bar chart's bars as rows, for any number of values."""
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("y"))
+    return counts.select(F.lit("bar").alias("type"), F.lit(name).alias("name"), F.col(column).alias("x"), "y")
+
+
+def bar_chart(df: DataFrame, column: str, name: str) -> DataFrame:
+    """JSON series of value counts, most frequent first. The document holds every value; ``bar_points`` has them as rows."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     ranked = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), F.col(column).alias("v"), "n")))
-    if counts.limit(limit + 1).count() > limit:
-        raise ValueError(f"{column} has over {limit} values, too many for a bar chart")
     return counts.agg(ranked.alias("r")).select(
         F.to_json(
             F.struct(

@@ -71,13 +71,21 @@ _VALUE_TYPES = {"i": "long", "x": "double", "s": "string"}
 
 
 def _slot(df: DataFrame, column: str) -> str:
-    """Which of the three value columns of the long form holds this column."""
+    """Which value column of the long form holds this column; each decimal type has one of its own."""
     kind = df.schema[column].dataType
     if isinstance(kind, T.IntegralType):
         return "i"
+    if isinstance(kind, T.DecimalType):
+        return f"d{kind.precision}_{kind.scale}"
     return "x" if isinstance(kind, (T.DoubleType, T.FloatType)) else "s"
 
 
+def _slots(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """Value columns of the long form and their types."""
+    decimals = [df.schema[c].dataType for c in columns if isinstance(df.schema[c].dataType, T.DecimalType)]
+    return _VALUE_TYPES | {f"d{d.precision}_{d.scale}": d.simpleString() for d in decimals}
+
+
 def _spread(df: DataFrame, key: str, measures: Mapping[str, Measure], rows_per_cut: int) -> DataFrame:
     """The same measures from value counts, for groups too large for one task.
 
@@ -89,13 +97,15 @@ def _spread(df: DataFrame, key: str, measures: Mapping[str, Measure], rows_per_c
     if not counted:
         return out.select(key, *measures)
 
+    types = _slots(df, list(counted))
+
     def row(c: str) -> Column:
         slot = _slot(df, c)
-        values = [(F.col(c) if s == slot else F.lit(None)).cast(t).alias(s) for s, t in _VALUE_TYPES.items()]
+        values = [(F.col(c) if s == slot else F.lit(None)).cast(t).alias(s) for s, t in types.items()]
         return F.struct(F.lit(c).alias("__m"), *values)
 
     long = df.select(F.col(key).alias("__key"), F.inline(F.array(*[row(c) for c in counted])))
-    counts = materialize(long.groupBy("__key", "__m", *_VALUE_TYPES).agg(F.count(F.lit(1)).alias("__c")), "value-counts")
+    counts = materialize(long.groupBy("__key", "__m", *types).agg(F.count(F.lit(1)).alias("__c")), "value-counts")
 
     aggs: list[Column] = []
     for name, (kind, c) in measures.items():
@@ -112,7 +122,7 @@ def _spread(df: DataFrame, key: str, measures: Mapping[str, Measure], rows_per_c
 
     numbers = list(dict.fromkeys(c for k, c in measures.values() if k in _SHARES))
     if numbers:
-        rows = counts.filter(F.col("__m").isin(numbers)).withColumn("__v", F.coalesce("x", F.col("i").cast("double")))
+        rows = counts.filter(F.col("__m").isin(numbers)).withColumn("__v", F.coalesce(*[F.col(s).cast("double") for s in types if s != "s"]))
         found = exact_quantiles(rows, ["__key", "__m"], "__v", "__c", _SHARES, rows_per_cut)
         wide = found.groupBy("__key").agg(
             *[

@@ -88,9 +88,12 @@ def feature_importance(df: DataFrame, model: PipelineModel, features: Sequence[s
 
 def sweep(
     train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
-    rates: Sequence[float] = (0.1, 0.3), depths: Sequence[int] = (3,), max_trials: int = 3, trees: int = 10, seed: int = 0,
+    rates: Sequence[float] = (0.1, 0.3), depths: Sequence[int] = (3,), max_trials: int | None = None, trees: int = 10, seed: int = 0,
 ) -> list[tuple[dict, PipelineModel, float]]:
-    """Boosted trees over a small grid; trials with their log loss on the test part, best first."""
+    """Boosted trees over a grid; trials with their log loss on the test part, best first.
+
+    The whole grid is tried unless ``max_trials`` names how many of its points are, in order.
+    """
     stage = assemble(features)
     trials = []
     for rate, depth in list(product(rates, depths))[:max_trials]:

@@ -236,22 +236,23 @@ def check_minimum_rows(df: DataFrame, minimum: int) -> DataFrame:
     )
 
 
-def enforce_group_minimum(low: DataFrame, group: str, shown: int = 100) -> None:
-    """Raise when any group is listed; the message names the first ones, the table keeps them all."""
+def enforce_group_minimum(low: DataFrame, group: str, shown: int | None = None) -> None:
+    """Raise when any group is listed; the message names them all, or the first ``shown``."""
     text = _few_rows_message(low, group, shown)
     if text:
         raise CriticalQualityError(text)
 
 
-def _few_rows_message(low: DataFrame, group: str, shown: int) -> str:
-    names = [str(r[group]) for r in low.select(group).orderBy(group).limit(shown + 1).collect()]
+def _few_rows_message(low: DataFrame, group: str, shown: int | None) -> str:
+    listed = low.select(group).orderBy(group)
+    names = [str(r[group]) for r in (listed if shown is None else listed.limit(shown + 1)).collect()]
     if not names:
         return ""
-    more = ", and more" if len(names) > shown else ""
+    more = ", and more" if shown is not None and len(names) > shown else ""
     return f"not enough rows for {group}: {', '.join(names[:shown])}{more}"
 
 
-def enforce_size(df: DataFrame, minimum: int, low: DataFrame, group: str, shown: int = 100) -> None:
+def enforce_size(df: DataFrame, minimum: int, low: DataFrame, group: str, shown: int | None = None) -> None:
     """Both size checks of the model table; all errors are raised together."""
     errors = []
     if not check_minimum_rows(df, minimum).first()["success"]:
@@ -295,6 +296,13 @@ def above_share(df: DataFrame, column: str, bound: float, allowed: int) -> DataF
     )
 
 
+def rows_above(df: DataFrame, name: str, column: str, bound: float, allowed: int) -> DataFrame:
+    """Names and values of the rows above a bound where more than ``allowed`` are, else no row."""
+    above = df.filter(F.col(column) > bound)
+    many = above.agg(F.count(F.lit(1)).alias("n")).scalar() > allowed
+    return above.filter(many).select(name, column)
+
+
 def report_json(results: DataFrame) -> DataFrame:
     """One JSON document per result row."""
     return results.select(F.to_json(F.struct(*[F.col(c) for c in RESULT_COLUMNS])).alias("report"))

@@ -63,8 +63,16 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def mask_parts(df: DataFrame, label: Column, split: Column, name: str = "part") -> DataFrame:
+    """The part of each row (``train_normal``, ``test_normal``, ``train_other``, ``test_other``), in one pass; rows without
+    a split have none."""
+    side = F.when(split, "train").when(~split, "test")
+    return df.withColumn(name, F.concat(side, F.when(F.coalesce(label, F.lit(False)), "_normal").otherwise("_other")))
+
+
 def mask_split(df: DataFrame, label: Column, split: Column) -> dict[str, DataFrame]:
-    """Normal and other rows of the train and test parts as four lazy filters over one table."""
+    """Normal and other rows of the train and test parts as four lazy filters; where all four are wanted, ``mask_parts``
+    reads the table once."""
     normal = F.coalesce(label, F.lit(False))
     return {
         "train_normal": df.filter(split & normal),

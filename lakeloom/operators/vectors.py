@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 from zlib import crc32
 
 import numpy as np
@@ -15,6 +14,8 @@ from pyspark.sql import types as T
 
 from lakeloom.operators.joins import broadcast_small
 from lakeloom.operators.rows import top_per_group
+from lakeloom.session import scratch_path
+from lakeloom.sources.shared import parquet_blocks
 
 QUERY_BLOCK = 2_048
 SLICE = 2_048
@@ -45,7 +46,7 @@ def embed(df: DataFrame, text: str, name: str = "embedding", call: Callable[[Seq
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Arrow list column to a 2-D array without a Python loop; all vectors have one length."""
+    """Arrow list column without NULL vectors to a 2-D array without a Python loop; all vectors have one length."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
@@ -57,59 +58,65 @@ def knn_l2(
     vectors: DataFrame, queries: DataFrame, k: int, vector_id: str, query_id: str,
     vector: str = "embedding", query_vector: str = "embedding", block: int = QUERY_BLOCK,
 ) -> DataFrame:
-    """Exact ``k`` nearest vectors of every query: (query_id, vector_id, distance, rank).
+    """Exact ``k`` nearest vectors of every query row: (query_id, vector_id, distance, rank).
 
-    Queries go out in blocks of at most ``block`` rows (2,048 x 1,536 doubles are 25 MB). Each task emits ``k``
-    rows per query, never a row per pair. The vectors are read once per block.
+    Every query row is asked by itself, also where ids repeat or are NULL; NULL vectors are neither asked nor found.
+    The queries are written to the shared folder once. The vectors are scanned once; each task holds ``SLICE`` x 16 of
+    them, reads the queries in blocks of ``block`` rows and emits ``k`` rows per query, never a row per pair.
     """
-    qs = queries.select(F.col(query_id).cast("long"), query_vector).orderBy(query_id)
-    rows = qs.limit(block + 1).collect()
-    if not rows:
+    asked = queries.filter(F.col(query_vector).isNotNull()).select(
+        F.monotonically_increasing_id().alias("__q"), F.col(query_id).cast("long").alias("__id"), F.col(query_vector).cast("array<double>").alias("__v")
+    )
+    if asked.isEmpty():
         raise ValueError("no queries")
-    if len(rows) <= block:
-        found = [_nearest(vectors, rows, k, vector_id, query_id, vector)]
-    else:
-        found, last = [], None
-        while True:
-            part = (qs if last is None else qs.filter(F.col(query_id) > last)).limit(block).collect()
-            if not part:
-                break
-            found.append(_nearest(vectors, part, k, vector_id, query_id, vector))
-            last = part[-1][0]
-    best = reduce(DataFrame.unionByName, found)
-    return top_per_group(best, [query_id], [F.col("distance"), F.col(vector_id)], k)
-
-
-def _nearest(vectors: DataFrame, queries: list, k: int, vector_id: str, query_id: str, vector: str) -> DataFrame:
-    ids = np.array([r[0] for r in queries], dtype=np.int64)
-    matrix = np.array([r[1] for r in queries], dtype=np.float64)
-    sent = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
+    path = scratch_path(vectors.sparkSession, "knn-queries")
+    asked.write.parquet(path)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_ids, q = sent.value
-        q_norm = (q * q).sum(1)
-        # best rows so far as (query number, vector id, distance), k per query
-        best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                v_ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                v = _matrix(part.column(1))
-                # squares and products pick the candidates, with a margin for rounding; differences rank them
-                rough = q_norm[:, None] + (v * v).sum(1)[None, :] - 2.0 * (q @ v.T)
-                keep = min(k, len(v_ids)) - 1
-                border = np.partition(rough, keep, axis=1)[:, keep]
-                near_q, near_v = np.nonzero(rough <= (border + 1e-9 * (1.0 + np.abs(border)))[:, None])
-                gap = v[near_v] - q[near_q]
-                found = (near_q, v_ids[near_v], np.sqrt((gap * gap).sum(1)))
-                best = _first_k(*[np.concatenate(pair) for pair in zip(best, found)], k)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(q_ids[best[0]]), pa.array(best[1]), pa.array(best[2])], names=[query_id, vector_id, "distance"]
-        )
-
-    return vectors.select(F.col(vector_id).cast("long"), vector).mapInArrow(
-        search, f"`{query_id}` long, `{vector_id}` long, distance double"
+        for v_ids, v in _held(batches, SLICE * 16):
+            for rows in parquet_blocks(path, ["__q", "__id", "__v"], block):
+                if not rows.num_rows:
+                    continue
+                numbers, names, q = rows.column(0).to_numpy(), rows.column(1), _matrix(rows.column(2))
+                best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+                q_norm = (q * q).sum(1)
+                for at in range(0, len(v_ids), SLICE):
+                    ids, x = v_ids[at:at + SLICE], v[at:at + SLICE]
+                    # squares and products pick the candidates, with a margin for rounding; differences rank them
+                    rough = q_norm[:, None] + (x * x).sum(1)[None, :] - 2.0 * (q @ x.T)
+                    keep = min(k, len(ids)) - 1
+                    border = np.partition(rough, keep, axis=1)[:, keep]
+                    near_q, near_v = np.nonzero(rough <= (border + 1e-9 * (1.0 + np.abs(border)))[:, None])
+                    gap = x[near_v] - q[near_q]
+                    found = (near_q, ids[near_v], np.sqrt((gap * gap).sum(1)))
+                    best = _first_k(*[np.concatenate(pair) for pair in zip(best, found)], k)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(numbers[best[0]]), names.take(pa.array(best[0])), pa.array(best[1]), pa.array(best[2])],
+                    names=["__q", query_id, vector_id, "distance"],
+                )
+
+    found = vectors.filter(F.col(vector).isNotNull()).select(F.col(vector_id).cast("long"), vector).mapInArrow(
+        search, f"__q long, `{query_id}` long, `{vector_id}` long, distance double"
     )
+    return top_per_group(found, ["__q"], [F.col("distance"), F.col(vector_id)], k).drop("__q")
+
+
+def _held(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of a task's rows, about ``most`` at a time."""
+    parts: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            parts.append(batch)
+        if sum(p.num_rows for p in parts) >= most:
+            yield _together(parts)
+            parts = []
+    if parts:
+        yield _together(parts)
+
+
+def _together(parts: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.concatenate([p.column(0).to_numpy(zero_copy_only=False).astype(np.int64) for p in parts])
+    return ids, np.concatenate([_matrix(p.column(1)) for p in parts])
 
 
 def _first_k(group: np.ndarray, ids: np.ndarray, distance: np.ndarray, k: int) -> tuple:
@@ -123,12 +130,14 @@ def _first_k(group: np.ndarray, ids: np.ndarray, distance: np.ndarray, k: int) -
 
 @F.arrow_udf(T.DoubleType())
 def cosine(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Cosine similarity of two vector columns; NULL for a zero vector."""
-    x, y = _matrix(a), _matrix(b)
-    size = np.sqrt((x * x).sum(1) * (y * y).sum(1))
+    """Cosine similarity of two vector columns; NULL for a zero or a missing vector."""
+    known = np.flatnonzero(a.is_valid().to_numpy(zero_copy_only=False) & b.is_valid().to_numpy(zero_copy_only=False))
+    x, y = _matrix(a.take(pa.array(known))), _matrix(b.take(pa.array(known)))
+    out, size = np.zeros(len(a)), np.zeros(len(a))
+    size[known] = np.sqrt((x * x).sum(1) * (y * y).sum(1))
     with np.errstate(invalid="ignore", divide="ignore"):
-        value = (x * y).sum(1) / size
-    return pa.array(value, mask=size == 0)
+        out[known] = (x * y).sum(1) / size[known]
+    return pa.array(out, mask=size == 0)
 
 
 def cosine_topk(

@@ -113,6 +113,19 @@ def quantiles_hot_groups(t: Tables) -> DataFrame:
     return near_all(group_features(t.lineitem, "l_returnflag", measures, hot_rows=1_000, rows_per_cut=10_000))
 
 
+@query("quantiles_hot_decimal", f"""
+WITH l AS (SELECT l_returnflag, CAST(l_extendedprice AS DECIMAL(12,2)) AS p, CAST(l_quantity AS DECIMAL(6,1)) AS q FROM lineitem),
+m AS (SELECT l_returnflag, q, row_number() OVER (PARTITION BY l_returnflag ORDER BY count(*) DESC, q) AS rn FROM l GROUP BY l_returnflag, q)
+SELECT l.l_returnflag, {near_sql("quantile_cont(CAST(p AS DOUBLE), 0.25)")} AS q1, {near_sql("quantile_cont(CAST(p AS DOUBLE), 0.5)")} AS median,
+       {near_sql("quantile_cont(CAST(p AS DOUBLE), 0.75)")} AS q3, CAST(max(m.q) AS DOUBLE) AS often FROM l JOIN m ON l.l_returnflag = m.l_returnflag AND m.rn = 1 GROUP BY 1""")
+def quantiles_hot_decimal(t: Tables) -> DataFrame:
+    """The same path on decimal columns."""
+    lines = t.lineitem.select("l_returnflag", F.col("l_extendedprice").cast("decimal(12,2)").alias("p"), F.col("l_quantity").cast("decimal(6,1)").alias("q"))
+    measures = {**{k: (k, "p") for k in ("q1", "median", "q3")}, "often": ("mode", "q")}
+    found = group_features(lines, "l_returnflag", measures, hot_rows=1_000, rows_per_cut=10_000)
+    return near_all(found.withColumn("often", F.col("often").cast("double")), skip=("often",))
+
+
 @query("distinct_with_nulls", """
 SELECT o_orderpriority, count(DISTINCT k) + count(*) FILTER (WHERE k IS NULL) AS n
 FROM (SELECT o_orderpriority, CASE WHEN o_custkey % 3 <> 0 THEN o_custkey END AS k FROM orders) GROUP BY 1""")

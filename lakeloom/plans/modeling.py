@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators import evaluation as E
@@ -64,10 +64,10 @@ def fit_apply_preprocessor(t: Tables) -> DataFrame:
 LINE_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
-def returned_lines(t: Tables) -> DataFrame:
+def returned_lines(t: Tables, *also: Column) -> DataFrame:
     """Line items with a 0/1 target, keyed and split by their whole row."""
     lines = t.lineitem.select(
-        "l_orderkey", "l_partkey", "l_linenumber", *LINE_FEATURES, F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("label")
+        "l_orderkey", "l_partkey", "l_linenumber", *LINE_FEATURES, F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("label"), *also
     )
     scaled = Z.minmax_scale(lines, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
     return split_random(scaled, ["l_orderkey", "l_partkey", "l_linenumber"], 0.8)
@@ -91,12 +91,32 @@ def random_forest_importance(t: Tables) -> DataFrame:
 
 @query("svm_score")
 def svm_score(t: Tables) -> DataFrame:
-    """Counts of a three-class linear separation of the return flag."""
-    rows = returned_lines(t).withColumn("kind", F.when(F.col("l_quantity") < 0.33, 0.0).when(F.col("l_quantity") < 0.66, 1.0).otherwise(2.0))
+    """Counts of a three-class linear separation of the return flag (A, N, R)."""
+    kind = F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 1.0).otherwise(2.0)
+    rows = returned_lines(t, kind.alias("kind"))
     model = M.train_svm(rows.filter("is_train"), LINE_FEATURES, "kind")
     return E.confusion_matrix(M.score(model, rows.filter("NOT is_train"), "kind"), "prediction", "kind", (0.0, 1.0, 2.0))
 
 
+@query("separable_accuracy", "SELECT true AS logistic_above_floor, true AS forest_above_floor, true AS svm_above_floor, true AS importances_sum_to_one")
+def separable_accuracy(t: Tables) -> DataFrame:
+    """Models on a class that their features tell apart: each must pass a floor of held-out accuracy."""
+    rows = returned_lines(t).withColumn("high", F.when(F.col("l_quantity") + F.col("l_discount") > 1.0, 1.0).otherwise(0.0))
+    train, test = rows.filter("is_train"), rows.filter("NOT is_train")
+
+    def right(model, label: str = "high") -> float:
+        return M.score(model, test, label).agg(F.avg((F.col("prediction") == F.col(label)).cast("double"))).first()[0]
+
+    forest = M.train_random_forest(train, LINE_FEATURES, "high", trees=10)
+    total = M.feature_importance(rows, forest, LINE_FEATURES).agg(F.sum("importance")).first()[0]
+    found = (
+        right(M.train_logistic(train, LINE_FEATURES, "high")) > 0.95, right(forest) > 0.85,
+        right(M.train_svm(train, LINE_FEATURES, "high")) > 0.9, abs(total - 1) < 1e-9,
+    )
+    names = ("logistic_above_floor", "forest_above_floor", "svm_above_floor", "importances_sum_to_one")
+    return t.lineitem.limit(1).select(*[F.lit(bool(v)).alias(n) for n, v in zip(names, found)])
+
+
 @query("sweep_trials")
 def sweep_trials(t: Tables) -> DataFrame:
     rows = returned_lines(t)

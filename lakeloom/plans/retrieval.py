@@ -95,6 +95,27 @@ def retrieval_accuracy(t: Tables) -> DataFrame:
     return near_all(V.retrieval_accuracy(top, "vec_id", "truth"))
 
 
+@query("retrieval_accuracy_all", f"""
+WITH r AS (SELECT q.vec_id AS truth, e.vec_id AS found, row_number() OVER (PARTITION BY q.vec_id
+  ORDER BY list_distance(CAST(e.embedding AS DOUBLE[]), list_transform(CAST(q.embedding AS DOUBLE[]), lambda x: x * 0.5e0)), e.vec_id) AS rn FROM embeddings e, embeddings q)
+SELECT count(*) AS n_queries, {near_sql('avg(CASE WHEN truth = found THEN 1.0e0 ELSE 0 END)')} AS accuracy FROM r WHERE rn = 1""")
+def retrieval_accuracy_all(t: Tables) -> DataFrame:
+    """The same for every vector of the table."""
+    queries = t.embeddings.select(F.col("vec_id").alias("truth"), F.transform("embedding", lambda x: x.cast("double") * 0.5).alias("embedding"))
+    top = V.knn_l2(t.embeddings, queries, 1, "vec_id", "truth")
+    return near_all(V.retrieval_accuracy(top, "vec_id", "truth"))
+
+
+@query("knn_all", f"""
+WITH r AS (SELECT q.vec_id AS query_id, e.vec_id, list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS distance FROM embeddings e, embeddings q)
+SELECT query_id, vec_id, {near_sql('distance')} AS distance, CAST(rn AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rn FROM r) WHERE rn <= 4""")
+def knn_all(t: Tables) -> DataFrame:
+    """The four nearest vectors of every vector, in several blocks of queries."""
+    queries = t.embeddings.select(F.col("vec_id").alias("query_id"), "embedding")
+    return near_all(V.knn_l2(t.embeddings, queries, 4, "vec_id", "query_id", block=128))
+
+
 @query("cosine_topk", f"""
 WITH {CENTROID_SQL},
 s AS (SELECT e.label, vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), q) AS similarity FROM embeddings e JOIN c ON e.label = c.label)

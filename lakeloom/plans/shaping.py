@@ -272,9 +272,8 @@ SELECT CASE WHEN is_train THEN 'train' ELSE 'test' END || CASE WHEN quality = 1
 FROM (SELECT quality, {train_sql("doc_id", seed=1)} AS is_train FROM labels) GROUP BY 1""")
 def mask_split_counts(t: Tables) -> DataFrame:
     marked = R.split_random(t.labels, ["doc_id"], 0.8, 1)
-    parts = R.mask_split(marked, F.col("quality") == 1, F.col("is_train"))
-    sized = [df.select(F.lit(n).alias("part")) for n, df in parts.items()]
-    return R.union_all(*sized).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    parts = R.mask_parts(marked, F.col("quality") == 1, F.col("is_train"))
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("date_slice", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'")

@@ -43,9 +43,10 @@ def assemble_records(t: Tables) -> DataFrame:
 
 
 def event_stream(t: Tables) -> DataFrame:
-    """The events files as a stream, a bounded number of files per trigger."""
-    reader = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events*.parquet")
-    return reader.option("maxFilesPerTrigger", 64).parquet(t.folder)
+    """The events table, one file or a folder of files, as a stream; a bounded number of files per trigger."""
+    # as a pattern the path may be either; by itself a stream takes a folder only
+    path = t.path("events").removesuffix("t") + "[t]"
+    return t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 64).parquet(path)
 
 
 def drain(stream: DataFrame, spark, name: str) -> DataFrame:
@@ -77,31 +78,23 @@ def stream_items(t: Tables) -> DataFrame:
     return drain(items, t.spark, "items")
 
 
-def assembled_stream(t: Tables) -> DataFrame:
-    items = as_items(event_stream(t)).withColumn("at", F.col("ts").cast("timestamp"))
-    return S.assemble_stream(items, "user_id", ORDER, "at", "tag", "value", "time")
+def assembled_drops(t: Tables, drops: int) -> DataFrame:
+    """Records assembled from micro-batches that split a hot device and hand on the open records.
 
-
-@query("stream_assemble", f"WITH {ASSEMBLE_SQL} SELECT user_id, sepal_length, sepal_width, petal_length, petal_width, time FROM complete")
-def stream_assemble(t: Tables) -> DataFrame:
-    """The same records as the batch twin, from keyed state."""
-    return drain(assembled_stream(t), t.spark, "assembled")
-
-
-@query("stream_assemble_batches", f"WITH {ASSEMBLE_SQL} SELECT user_id, sepal_length, sepal_width, petal_length, petal_width, time FROM complete")
-def stream_assemble_batches(t: Tables) -> DataFrame:
-    """The same records from micro-batches that split a hot device and hand on the open records.
-
-    The events arrive as four drops in time order, each with as many files as it needs.
+    Assembly follows the order of arrival, as messages do, and a table's files are in no order of time. So the events
+    arrive as ``drops`` drops in time order, each with as many files as it needs; no item is ever late.
     """
     source, out, state, log = (scratch_path(t.spark, n) for n in ("events", "records", "open", "log"))
     at = seconds_of("ts")
     span = t.events.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
-    drop = F.least(F.floor((at - span["lo"]) * 4 / (span["hi"] - span["lo"])), F.lit(3))
+    if span["lo"] is None:
+        return t.events.select("user_id", *[F.lit(0.0).alias(f) for f in S.FIELDS], F.lit("").alias("time")).limit(0)
+    share = F.coalesce(F.try_divide((at - span["lo"]) * drops, F.lit(float(span["hi"] - span["lo"]))), F.lit(0.0))
+    drop = F.least(F.floor(share), F.lit(drops - 1))
     t.events.limit(0).write.parquet(source)
     stream = t.spark.readStream.schema(t.events.schema).parquet(source)
     step = S.assemble_each_batch(out, state, "user_id", ORDER, at, "tag", "value", "time")
-    for i in range(4):
+    for i in range(drops):
         t.events.filter(drop == i).write.mode("append").parquet(source)
         running = (
             as_items(stream).writeStream.foreachBatch(step).option("checkpointLocation", log)
@@ -111,6 +104,18 @@ def stream_assemble_batches(t: Tables) -> DataFrame:
     return t.spark.read.parquet(out).drop("batch")
 
 
+@query("stream_assemble", f"WITH {ASSEMBLE_SQL} SELECT user_id, sepal_length, sepal_width, petal_length, petal_width, time FROM complete")
+def stream_assemble(t: Tables) -> DataFrame:
+    """The same records as the batch twin, all events in one trigger."""
+    return assembled_drops(t, 1)
+
+
+@query("stream_assemble_batches", f"WITH {ASSEMBLE_SQL} SELECT user_id, sepal_length, sepal_width, petal_length, petal_width, time FROM complete")
+def stream_assemble_batches(t: Tables) -> DataFrame:
+    """The same records over four triggers."""
+    return assembled_drops(t, 4)
+
+
 WEIGHTS = {"sepal_length": 0.1, "sepal_width": -0.2, "petal_length": 0.3, "petal_width": 0.05}
 SCORE_SQL = near_sql("0.5e0 + sepal_length * 0.1e0 + sepal_width * -0.2e0 + petal_length * 0.3e0 + petal_width * 0.05e0")
 
@@ -119,9 +124,9 @@ SCORE_SQL = near_sql("0.5e0 + sepal_length * 0.1e0 + sepal_width * -0.2e0 + peta
 WITH {ASSEMBLE_SQL} SELECT user_id, {SCORE_SQL} AS iris_type, replace(left(time, 26), 'T', ' ') AS posted_at, false AS dead_letter FROM complete""")
 def stream_scored(t: Tables) -> DataFrame:
     """Assembled records with a score, as they would be posted."""
-    scored = S.scored_records(assembled_stream(t), near(linear_score(WEIGHTS, 0.5)))
+    scored = S.scored_records(assembled_drops(t, 2), near(linear_score(WEIGHTS, 0.5)))
     posted = F.date_format("posted_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("posted_at")
-    return drain(scored.select("user_id", "iris_type", posted, "dead_letter"), t.spark, "scored")
+    return scored.select("user_id", "iris_type", posted, "dead_letter")
 
 
 @query("stream_batch_metrics", """

@@ -73,29 +73,30 @@ def scan_csv_delim(t: Tables) -> DataFrame:
 
 
 @query("scan_documents", """
-SELECT doc_id // 100 AS bundle, CAST(sum(length(text)) + count(*) AS BIGINT) AS n FROM documents GROUP BY 1""")
+SELECT p_size AS folder, md5(string_agg(p_name || chr(10), '' ORDER BY p_partkey)) AS digest, CAST(count(*) AS BIGINT) AS n FROM part GROUP BY 1""")
 def scan_documents(t: Tables) -> DataFrame:
-    """Text files of a hundred documents each, read back whole; the path tells which is which."""
+    """One text file per part size, read back whole: the path tells which it is, the digest that the text is the same."""
     root = scratch_path(t.spark, "documents")
-    bundled = t.documents.select(F.floor(F.col("doc_id") / 100).alias("bundle"), "text")
-    bundled.repartition("bundle").write.partitionBy("bundle").text(root)
-    # the writer ends every document with a line break
+    lines = t.part.select("p_size", "p_partkey", F.col("p_name").alias("text")).repartition("p_size")
+    lines.sortWithinPartitions("p_size", "p_partkey").drop("p_partkey").write.partitionBy("p_size").text(root)
     return files.scan_documents(t.spark, root, ".txt").select(
-        F.regexp_extract("source", r"bundle=(\d+)", 1).cast("long").alias("bundle"), F.length("text").cast("long").alias("n")
+        F.regexp_extract("source", r"p_size=(\d+)", 1).cast("int").alias("folder"), F.md5("text").alias("digest"),
+        F.regexp_count("text", F.lit("\n")).cast("long").alias("n"),
     )
 
 
 @query("json_values", """
-SELECT 'customers' AS name, CAST(count(*) AS DOUBLE) AS value FROM customer
-UNION ALL SELECT 'orders', CAST(count(*) AS DOUBLE) FROM orders
-UNION ALL SELECT 'parts', CAST(count(*) AS DOUBLE) * 2 FROM part""")
+SELECT 'customers' AS name, CAST(count(*) AS VARCHAR) AS text, CAST(count(*) AS DOUBLE) AS value FROM customer
+UNION ALL SELECT 'orders', CAST(count(*) AS VARCHAR), CAST(count(*) AS DOUBLE) FROM orders
+UNION ALL SELECT 'first_nation', min(n_name), NULL FROM nation
+UNION ALL SELECT 'parts', CAST(count(*) * 2 AS VARCHAR), CAST(count(*) AS DOUBLE) * 2 FROM part""")
 def json_values(t: Tables) -> DataFrame:
     """Scalars kept in two JSON files; the second file's value wins."""
     first, second = scratch_path(t.spark, "values"), scratch_path(t.spark, "values")
     n = {k: df.count() for k, df in (("customers", t.customer), ("orders", t.orders), ("parts", t.part))}
-    files.save_values(t.spark, n, first)
+    files.save_values(t.spark, n | {"first_nation": t.nation.agg(F.min("n_name")).first()[0]}, first)
     files.save_values(t.spark, {"parts": n["parts"] * 2}, second)
-    return files.scan_json_values(t.spark, [first, second], ["customers", "orders", "parts"])
+    return files.scan_json_values(t.spark, [first, second])
 
 
 @query("json_props", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL")
@@ -105,6 +106,16 @@ def json_props(t: Tables) -> DataFrame:
     return files.parse_payload(t.events.select("event_id", payload.alias("payload")), "payload", ["k"], ["event_id"])
 
 
+@query("json_rejected", """
+SELECT event_id, '{"data": [' || props || ']}' AS payload, 'missing k' AS reason FROM events WHERE event_id % 3 > 0 AND try_cast(json_extract_string(props, '$.k') AS DOUBLE) IS NULL
+UNION ALL SELECT event_id, 'cut off: ' || props, 'unreadable' FROM events WHERE event_id % 3 = 0""")
+def json_rejected(t: Tables) -> DataFrame:
+    """Payloads without the field, and every third one cut off, with the reason why they can't be used."""
+    whole = F.concat(F.lit('{"data": ['), F.col("props"), F.lit("]}"))
+    payload = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("cut off: "), F.col("props"))).otherwise(whole)
+    return files.rejected_payloads(t.events.select("event_id", payload.alias("payload")), "payload", ["k"], ["event_id"])
+
+
 @query("sql_query", """
 SELECT n_name, count(*) AS n, CAST(sum(CAST(c_acctbal AS DECIMAL(28,4))) AS DOUBLE) AS balance
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
@@ -122,6 +133,15 @@ def head_n(t: Tables) -> DataFrame:
     return catalog.table_head(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), [F.desc("o_totalprice"), "o_orderkey"], 10)
 
 
+@query("file_inventory_kinds", "SELECT '.parquet' AS kind, true AS every_table_there, (SELECT count(*) FROM region) > 0 AS any_rows")
+def file_inventory_kinds(t: Tables) -> DataFrame:
+    """The inventory of the data folder lists a file for every table."""
+    found = files.file_inventory(t.spark, t.folder, [".parquet"])
+    kind, count = found.columns[0], found.columns[1]
+    some = t.region.limit(1).count() > 0
+    return found.select(F.col(kind).alias("kind"), (F.col(count) >= 14).alias("every_table_there"), F.lit(some).alias("any_rows"))
+
+
 @query("file_inventory")
 def file_inventory(t: Tables) -> DataFrame:
     return files.file_inventory(t.spark, t.folder, [".parquet", ".csv"])

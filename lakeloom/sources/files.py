@@ -78,27 +78,52 @@ def scan_documents(spark: SparkSession, folder: str, suffix: str = ".md") -> Dat
     )
 
 
-def scan_json_values(spark: SparkSession, paths: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Flat JSON files of numbers merged to (name, value) rows; the last listed file wins."""
-    schema = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+def scan_json_values(spark: SparkSession, paths: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
+    """Flat JSON files merged to (name, text, value) rows, every key there is or the listed ones; the last file wins.
+
+    ``text`` is the value as text (strings as they are, anything else as JSON), ``value`` the number where it is one.
+    """
     parts = []
     for i, p in enumerate(paths):
-        one = spark.read.schema(schema).option("multiLine", "true").json(p)
-        parts.append(
-            one.unpivot([], list(names), "name", "value").filter(F.col("value").isNotNull()).withColumn("at", F.lit(i))
-        )
+        whole = spark.read.text(p, wholetext=True).filter(F.trim("value") != "")
+        # one record per line, or one over the whole file; an unreadable file stops the job
+        lines = whole.select(F.explode(F.split("value", r"\n(?=\s*\{)")).alias("line")).filter(F.trim("line") != "")
+        read = F.from_json("line", "map<string,string>", {"mode": "FAILFAST"})
+        parts.append(lines.select(F.explode(read).alias("name", "text")).withColumn("at", F.lit(i)))
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)
-    return merged.groupBy("name").agg(F.max_by("value", "at").alias("value"))
+    merged = merged.filter(F.col("text").isNotNull())
+    if names is not None:
+        merged = merged.filter(F.col("name").isin(list(names)))
+    last = merged.groupBy("name").agg(F.max_by("text", "at").alias("text"))
+    return last.withColumn("value", F.col("text").try_cast("double"))
 
 
-def parse_payload(df: DataFrame, column: str, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """``{"data": [{...}, ...]}`` text to one row per record; a record lacking a field is dropped."""
+def payload_records(df: DataFrame, column: str, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """``{"data": [{...}, ...]}`` text to one row per record, with ``reason`` where it can't be used.
+
+    Reasons: ``unreadable`` (the payload as a whole has no such list; one row), ``missing <field>`` (the first field that is
+    absent or no number). An empty list has no record and no row.
+    """
     record = ", ".join(f"`{f}`: double" for f in fields)
-    parsed = F.from_json(F.col(column), f"data array<struct<{record}>>")
-    rows = df.select(*keep, F.explode(parsed["data"]).alias("r")).select(*keep, "r.*")
-    return rows.na.drop(subset=list(fields))
+    parsed = df.select(*keep, F.col(column).alias("payload"), F.from_json(F.col(column), f"data array<struct<{record}>>")["data"].alias("__data"))
+    nobody = F.array(F.lit(None).cast(f"struct<{record}>"))
+    rows = parsed.withColumn("__r", F.explode(F.coalesce("__data", nobody)))
+    reason = F.when(F.col("__data").isNull(), "unreadable")
+    for f in fields:
+        reason = reason.when(F.col("__r")[f].isNull(), f"missing {f}")
+    return rows.select(*keep, *[F.col("__r")[f].alias(f) for f in fields], "payload", reason.alias("reason"))
+
+
+def parse_payload(df: DataFrame, column: str, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """The usable records of ``payload_records``; ``rejected_payloads`` has the others."""
+    return payload_records(df, column, fields, keep).filter("reason IS NULL").select(*keep, *fields)
+
+
+def rejected_payloads(df: DataFrame, column: str, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Payload and reason of every record that ``parse_payload`` leaves out."""
+    return payload_records(df, column, fields, keep).filter("reason IS NOT NULL").select(*keep, "payload", "reason")
 
 
 def sql_query(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:

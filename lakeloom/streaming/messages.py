@@ -126,12 +126,14 @@ _STATE = T.StructType([T.StructField(f, T.DoubleType()) for f in FIELDS])
 
 def assemble_stream(
     items: DataFrame, device: str, order: Sequence[str], event_time: str, tag: str, value: str, time: str,
-    tags: Sequence[str] = TAGS, close_on: str = "last_tag", watermark: str = "1 hour", idle: str = "1 hour",
+    tags: Sequence[str] = TAGS, close_on: str = "last_tag", idle: str | None = None, watermark: str = "1 hour",
 ) -> DataFrame:
     """Complete records of a stream; the open record of each device is kept as state.
 
-    ``close_on="all_present"`` ends a record once all tags are set instead of at the last tag. A device that
-    stays silent past the watermark by ``idle`` loses its open record, so state cannot grow without end.
+    Items count in the order of their triggers, within a trigger in ``order``; none is dropped as late.
+    ``close_on="all_present"`` ends a record once all tags are set instead of at the last tag. Only with ``idle``
+    there is a watermark: items behind it are dropped, and a device that stays silent past it by ``idle`` loses its open
+    record, so that state cannot grow without end.
     """
     if close_on not in ("last_tag", "all_present"):
         raise ValueError(f"unknown close_on {close_on!r}")
@@ -141,7 +143,7 @@ def assemble_stream(
     out = T.StructType(
         [T.StructField(device, kind), *_STATE.fields, T.StructField("time", T.StringType())]
     )
-    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
+    idle_ms = None if idle is None else int(pd.Timedelta(idle).total_seconds() * 1000)
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -163,16 +165,17 @@ def assemble_stream(
                     done.append((key[0], *[open_record[f] for f in FIELDS], str(when)))
                 open_record = dict.fromkeys(FIELDS, 0.0)
         state.update(tuple(open_record[f] for f in FIELDS))
-        last = pd.Timestamp(rows[event_time].max()).value // 1_000_000
-        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs() + 1) + idle_ms)
+        if idle_ms is not None:
+            last = pd.Timestamp(rows[event_time].max()).value // 1_000_000
+            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs() + 1) + idle_ms)
         if done:
             yield pd.DataFrame(done, columns=out.names)
 
-    return (
-        items.withWatermark(event_time, watermark)
-        .groupBy(device)
-        .applyInPandasWithState(step, out, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
-    )
+    if idle is None:
+        timeout = GroupStateTimeout.NoTimeout
+    else:
+        items, timeout = items.withWatermark(event_time, watermark), GroupStateTimeout.EventTimeTimeout
+    return items.groupBy(device).applyInPandasWithState(step, out, _STATE, "append", timeout)
 
 
 def scored_records(records: DataFrame, score: Column, time: str = "time") -> DataFrame:

@@ -45,8 +45,9 @@ def test_one_hot(make):
     out = C.one_hot(df, exclude=["education"])
     assert out.columns == ["age", "occupation_?", "occupation_clerk", "education"]
     assert got(out) == [(20.0, 1.0, 0.0, "x"), (30.0, 0.0, 1.0, "y"), (40.0, 0.0, 0.0, "z")]
-    with pytest.raises(ValueError):
-        C.one_hot(df, limit=1)
+    vectors = C.one_hot(df, exclude=["education"], limit=1)
+    assert vectors.columns == ["age", "occupation_onehot", "education"]
+    assert {r["age"]: tuple(r["occupation_onehot"].toArray()) for r in vectors.collect()} == {20.0: (1.0, 0.0, 0.0), 30.0: (0.0, 1.0, 0.0), 40.0: (0.0, 0.0, 1.0)}
     wide = C.one_hot_vector(df, "occupation", "v").collect()
     assert sorted(tuple(r["v"].toArray()) for r in wide) == [(0.0, 1.0), (1.0, 0.0)]
 
@@ -76,16 +77,12 @@ def test_fill_cases(make):
     def run(*rows):
         return got(fill_families(make(schema, *rows)), "relationship_status", "no_of_children")
 
-    assert [s for s, _ in run(("Married", "9", "1"), ("Single", "9", "1"), ("Married", "9", "1"), (None, "9", "1"))] == [
-        "In relationship", "Single", "In relationship", None,
-    ]
-    assert [s for s, _ in run((None, "1", None), (None, "2", None), ("Married", "3", "1"))] == [
-        "Single", "In relationship", "In relationship",
-    ]
+    # a stated status is only renamed
+    assert [s for s, _ in run(("Single", "7", "2"), (None, "8", "3"), ("Married", "6", "4"))] == ["Single", None, "In relationship"]
+    # a missing one follows from the size of the family
+    assert [s for s, _ in run((None, "2", None), ("Married", "5", "2"), (None, "1", None))] == ["In relationship", "In relationship", "Single"]
     # size - children = 1 looks at the size only, so "1+" children still count there
-    assert [s for s, _ in run((None, "1", "0"), (None, "2", "1+"), (None, "3+", None), (None, "2", "0"))] == [
-        "Single", "Single", None, "In relationship",
-    ]
+    assert [s for s, _ in run((None, "3+", None), (None, "2", "1+"), (None, "2", "0"), (None, "1", "0"))] == [None, "Single", "In relationship", "Single"]
 
 
 def test_fill_children(make):
@@ -97,9 +94,9 @@ def test_fill_children(make):
     ]
     df = make(
         "f string, s string, c string",
-        ("1", None, None), ("2", "In relationship", None), ("3", None, "1"), ("2", "Single", None), ("1", "Single", None), ("2", None, None),
+        ("2", "Single", None), ("4", "Single", "2"), ("1", "In relationship", None), ("2", None, None), ("5", None, None), ("2", "In relationship", None), ("1", None, "9"),
     )
-    assert [r[2] for r in got(C.rule_fill(df, rules))] == ["0", "0", "1", "1", "0", None]
+    assert [r[2] for r in got(C.rule_fill(df, rules))] == ["1", "2", "0", None, None, "0", "9"]
 
 
 def test_text_columns(make):

@@ -26,8 +26,9 @@ def test_results_and_confusion(make):
 def test_bar_chart(make):
     df = make("p string", ("b",), ("a",), ("b",))
     assert E.bar_chart(df, "p", "n").first()[0] == '{"type":"bar","name":"n","x":["b","a"],"y":[2,1]}'
-    with pytest.raises(ValueError):
-        E.bar_chart(df, "p", "n", limit=1)
+    assert sorted(got(E.bar_points(df, "p", "n"))) == [("bar", "n", "a", 1), ("bar", "n", "b", 2)]
+    many = make("p int", *[(i,) for i in range(1_001)])
+    assert E.bar_chart(many, "p", "n").first()[0].count(",") == 2 + 2 * 1_000 + 1 and E.bar_points(many, "p", "n").count() == 1_001
 
 
 def test_regression_metrics(make):

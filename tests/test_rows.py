@@ -13,10 +13,10 @@ def got(df, *cols):
 
 
 def test_dropna_and_sort(make):
-    df = make("status int, other string", (1, "a"), (None, "b"), (2, "c"), (None, "d"), (3, "e"))
-    assert got(R.dropna_subset(df, "status"), "other") == [("a",), ("c",), ("e",)]
-    days = make("d string, v string", ("2022-01-03", "a"), ("2022-01-01", "b"), ("2022-01-02", "c"))
-    assert got(R.top_k(days, [F.col("d")], 3), "v") == [("b",), ("c",), ("a",)]
+    df = make("weight double, tin string", (None, "oats"), (0.0, "rye"), (7.5, None), (None, None))
+    assert got(R.dropna_subset(df, "weight"), "tin") == [("rye",), (None,)]
+    ships = make("berth int, ship string", (40, "kite"), (7, "wren"), (None, "tern"), (12, "rook"), (7, "lark"))
+    assert got(R.top_k(ships, [F.col("berth").asc_nulls_last(), F.col("ship")], 4), "ship") == [("lark",), ("wren",), ("rook",), ("kite",)]
 
 
 def test_sentinel(make):
@@ -25,8 +25,8 @@ def test_sentinel(make):
 
 
 def test_filter_gt_reads_text(make):
-    df = make("Sales string, Item string", ("10", "Item A"), ("-5", "Item B"), ("n/a", "Item C"))
-    assert got(R.filter_gt(df, "Sales", 0)) == [("10", "Item A")]
+    df = make("depth string, lake string", ("3.25", "Ohre"), ("", "Lom"), ("3", "Sazava"), (None, "Ub"), ("deep", "Rak"), ("1e2", "Vir"))
+    assert got(R.filter_gt(df, "depth", 3), "lake") == [("Ohre",), ("Vir",)]
 
 
 def test_drop_allnull(make):
@@ -45,6 +45,8 @@ def test_mask_split_covers_everything(make):
     assert {n: [r[0] for r in p.select("i").collect()] for n, p in parts.items()} == {
         "train_normal": [1], "train_other": [2], "test_normal": [4], "test_other": [3],
     }
+    marked = R.mask_parts(df, F.col("y"), F.col("t"))
+    assert {r["i"]: r["part"] for r in marked.collect()} == {1: "train_normal", 2: "train_other", 3: "test_other", 4: "test_normal"}
 
 
 def test_date_slice(make):

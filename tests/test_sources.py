@@ -60,7 +60,11 @@ def test_json_values_last_wins(spark, tmp_path):
     a, b = tmp_path / "a.json", tmp_path / "b.json"
     a.write_text(json.dumps({"x": 1, "y": 2.5}, indent=1))
     b.write_text(json.dumps({"x": 3}))
-    assert sorted(got(S.scan_json_values(spark, [str(a), str(b)], ["x", "y"]))) == [("x", 3.0), ("y", 2.5)]
+    assert sorted(got(S.scan_json_values(spark, [str(a), str(b)], ["x", "y"]), "name", "value")) == [("x", 3.0), ("y", 2.5)]
+    c = tmp_path / "c.json"
+    c.write_text('{"x": "seven", "on": true, "none": null, "list": [1, 2]}')
+    assert sorted(got(S.scan_json_values(spark, [str(a), str(c)]), "name", "text", "value"))[:1] == [("list", "[1,2]", None)]
+    assert dict(got(S.scan_json_values(spark, [str(a), str(c)]), "name", "text"))["x"] == "seven"
     values = {"n": np.int64(2), "s": {"b", "a"}, "l": np.array([1.5, 2.0])}
     out = S.save_values(spark, values, str(tmp_path / "v"))
     assert got(spark.read.json(out), "n", "s", "l") == [(2, "['a', 'b']", [1.5, 2.0])]
@@ -69,6 +73,8 @@ def test_json_values_last_wins(spark, tmp_path):
 def test_payload(make):
     text = '{"data": [{"a": 1, "b": 2}, {"a": 3}, {"a": 5.5, "b": 6}]}'
     assert got(S.parse_payload(make("id int, p string", (1, text), (2, "junk")), "p", ["a", "b"], ["id"])) == [(1, 1.0, 2.0), (1, 5.5, 6.0)]
+    rejected = S.rejected_payloads(make("id int, p string", (1, text), (2, "junk"), (3, None), (4, '{"data": []}')), "p", ["a", "b"], ["id"])
+    assert sorted(got(rejected, "id", "reason")) == [(1, "missing b"), (2, "unreadable"), (3, "unreadable")]
 
 
 def test_inventory(spark, tmp_path):

@@ -119,3 +119,22 @@ def test_quality_per_batch(spark, tmp_path):
     )
     q.awaitTermination()
     assert [(r["success"], r["observed"], r["batch_id"]) for r in seen] == [(False, 3.0, 0)]
+
+
+def test_queries_over_a_folder_in_no_order_of_time(spark, tmp_path):
+    import os
+
+    import __spark_entry__ as entry
+    from tests.oracle import connect, compare
+
+    folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    for name in os.listdir(folder):
+        if name != "events.parquet":
+            os.symlink(f"{folder}/{name}", tmp_path / name)
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    events.repartition(150, "event_id").write.parquet(str(tmp_path / "events.parquet"))
+    duck = connect(folder)
+    for name in ("stream_items", "stream_assemble", "stream_assemble_batches", "stream_scored", "stream_batch_metrics", "stream_quality"):
+        assert compare(duck, entry.oracle_sql()[name], entry.queries()[name](spark, str(tmp_path))) == "", name

@@ -103,6 +103,20 @@ def test_knn_with_fewer_vectors_than_k(vectors):
         V.knn_l2(two, two.limit(0).select(F.col("vec_id").alias("q"), "embedding"), 5, "vec_id", "q")
 
 
+@pytest.mark.parametrize("block", [1, 2, 100])
+def test_knn_repeated_and_missing(make, block):
+    v = make("vec_id long, embedding array<float>", (1, [0.0, 0.0]), (2, [3.0, 4.0]), (3, None), (4, [6.0, 8.0]))
+    q = make("q long, embedding array<double>", (7, [0.0, 0.0]), (7, [6.0, 8.0]), (None, [3.0, 4.0]), (7, [0.0, 0.0]), (8, None))
+    out = V.knn_l2(v, q, 2, "vec_id", "q", block=block).collect()
+    found = sorted(((r["q"] or 0), r["vec_id"], r["distance"], r["rank"]) for r in out)
+    assert found == [(0, 1, 5.0, 2), (0, 2, 0.0, 1), (7, 1, 0.0, 1), (7, 1, 0.0, 1), (7, 2, 5.0, 2), (7, 2, 5.0, 2), (7, 2, 5.0, 2), (7, 4, 0.0, 1)]
+
+
+def test_cosine_of_missing_vectors(make):
+    df = make("a array<float>, b array<float>", ([1.0, 0.0], [2.0, 0.0]), (None, [1.0, 0.0]), ([1.0, 0.0], None), ([0.0, 0.0], [1.0, 1.0]))
+    assert got(df.select(V.cosine("a", "b"))) == [(1.0,), (None,), (None,), (None,)]
+
+
 def test_cosine_topk_stays_on_the_page(vectors):
     queries = vectors.filter("vec_id < 3").select("page", F.col("embedding").alias("query_embedding"))
     rows = V.cosine_topk(vectors, queries, "page", "vec_id", threshold=0.5, k=4).collect()
