@@ -447,7 +447,7 @@ def _block_pairs(rows: DataFrame, percent: int, words: int, bound: int) -> DataF
     return pairs.select("region", "_a", "_b", "key", "text").groupBy("region", "_a", "_b").applyInArrow(_joiner(percent, words), "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, bound: int = 8 << 20, bucket: int = 500_000, sample: int = 32_768) -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, bound: int = 4 << 20, bucket: int = 500_000, sample: int = 32_768) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` of every document (``doc_id``, ``text``).
 
     Documents link when their sets of ``words``-word shingles have a Jaccard similarity of at least ``percent`` per cent;
@@ -466,7 +466,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     total = classes.agg(F.sum("n")).first()[0] or 0
     sharing = sharing_classes(texts.where("doc_id is not null"), percent, words, max(1, -(-int(total) // (1 << 20))))
     wanted = materialize(classes.join(sharing, "key"), "jaccard-sharing")
-    rows = materialize(of_class(wanted.join(texts.where("doc_id is not null"), "doc_id"), words), "jaccard-texts")
+    likely = maybe_among(texts.where("doc_id is not null"), "doc_id", wanted)
+    rows = materialize(of_class(wanted.join(likely, "doc_id"), words), "jaccard-texts")
     common = common_shingles(rows, sample, words=words)
     held = wanted.agg(F.sum("n")).first()[0] or 0
     near = stars(candidate_links(prefixed(rows, common, percent, words), percent, max(1, int(held) * (100 - percent) // 100 // bucket + 1)))
@@ -482,6 +483,50 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+def maybe_among(rows: DataFrame, column: str, wanted: DataFrame, per_key: int = 12, most_bytes: int = 32 << 20) -> DataFrame:
+    """Rows whose key may be in ``wanted``, by a Bloom filter, so that a join need not shuffle the others.
+
+    The filter takes ``per_key`` bits a key; where that exceeds ``most_bytes`` all rows are handed on."""
+    bits = max(1024, wanted.count() * per_key)
+    if bits > most_bytes * 8:
+        return rows
+    segment = 1 << 19
+
+    def places(keys: np.ndarray) -> np.ndarray:
+        one = mixed(keys.astype(np.int64).view(np.uint64) + np.uint64(1))
+        two = mixed(one ^ MIX) | np.uint64(1)
+        return ((one[None] + np.arange(5, dtype=np.uint64)[:, None] * two[None]) % np.uint64(bits)).astype(np.int64)
+
+    def fill(batches):
+        held = [b.column(0).to_numpy() for b in batches]
+        at = np.unique(places(np.concatenate(held))) if held else np.zeros(0, np.int64)
+        cuts = np.searchsorted(at, np.arange(0, bits + segment, segment))
+        for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+            if b > a:
+                yield pa.RecordBatch.from_pydict({"segment": [i], "at": [(at[a:b] - i * segment).astype(np.uint32).tobytes()]})
+
+    def unite(held: pa.Table) -> pa.Table:
+        field = np.zeros(segment, np.uint8)
+        for x in held["at"].to_pylist():
+            field[np.frombuffer(x, np.uint32)] = 1
+        return pa.table({"segment": held["segment"].slice(0, 1), "at": pa.array([np.packbits(field, bitorder="little").tobytes()], pa.binary())})
+
+    kind = "segment long, at binary"
+    parts = wanted.select(column).mapInArrow(fill, kind).groupBy("segment").applyInArrow(unite, kind).collect()  # the filter
+    table = np.zeros(-(-bits // segment) * segment // 8, np.uint8)
+    for r in parts:
+        table[r["segment"] * segment // 8 : (r["segment"] + 1) * segment // 8] = np.frombuffer(r["at"], np.uint8)
+
+    place_of, schema = rows.columns.index(column), rows.schema
+
+    def keep(batches):
+        for batch in batches:
+            at = places(batch.column(place_of).to_numpy())
+            yield batch.filter(pa.array(((table[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0).astype(bool)))
+
+    return rows.mapInArrow(keep, schema)
+
+
 def of_class(rows: DataFrame, words: int) -> DataFrame:
     """``key``, ``n``, ``text`` of the rows whose text has the set ``key``: a repeated doc_id brings other texts along."""
 

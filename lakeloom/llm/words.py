@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def slices(batches, column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches, column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``most_bytes`` per piece (one long text may exceed it)."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
