@@ -156,14 +156,7 @@ class LabelEncoder:
 
 def _ranked_codes(distinct: DataFrame, c: str) -> DataFrame:
     """Codes for a column with too many values for the driver."""
-    position = _text_position(F.col(c)) if distinct.schema[c].dataType == T.StringType() else F.col(c).cast("double")
-    return numbered(distinct, [], [c], position, "__n").select(c, (F.col("__n") - 1).alias("__code"))
-
-
-def _text_position(c: Column) -> Column:
-    """A number that never falls along byte order: the first six bytes."""
-    padded = F.rpad(F.hex(F.encode(c, "UTF-8")), 12, "0")
-    return F.conv(F.substring(padded, 1, 12), 16, 10).cast("double")
+    return numbered(distinct, [], [c], name="__n").select(c, (F.col("__n") - 1).alias("__code"))
 
 
 def one_hot(df: DataFrame, exclude: Sequence[str] = (), limit: int = 1_000) -> DataFrame:

@@ -1,7 +1,7 @@
 """Running totals and ranks that stay parallel when one key holds most of the rows.
 
 A plain window sorts a whole key in one task. That is fine up to ``ROWS_PER_CUT`` rows. Larger keys are cut at
-quantiles of their order column, each (key, cut) is windowed on its own, and the totals of the earlier cuts
+ranges of their order columns, each (key, range) is windowed on its own, and the totals of the earlier ranges
 are added. The rows of all other keys go through the plain window.
 """
 
@@ -9,20 +9,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lakeloom.functions.scalars import as_col
+from lakeloom.session import materialize
 
 ROWS_PER_CUT = 5_000_000
-MAX_CUTS = 2048
 MAX_BROADCAST_KEYS = 500_000
-_POS, _CUT = "__pos", "__cut"
+_CUT = "__cut"
 
 
 def same_keys(keys: Sequence[str], prefix: str) -> Column:
@@ -54,63 +52,48 @@ def split_hot(df: DataFrame, keys: Sequence[str], rows: int) -> tuple[DataFrame,
     return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
 
-@dataclass(frozen=True)
-class Cuts:
-    """Cut points of an order column; at most ``MAX_CUTS`` doubles on the driver."""
-
-    points: tuple[float, ...]
-
-    @classmethod
-    def fit(cls, df: DataFrame, position: Column, rows_per_cut: int = ROWS_PER_CUT) -> Cuts:
-        wanted = min(MAX_CUTS, math.ceil(df.count() / rows_per_cut))
-        if wanted <= 1:
-            return cls(())
-        shares = [i / wanted for i in range(1, wanted)]
-        found = df.agg(F.percentile_approx(position.cast("double"), shares, 10_000).alias("p")).first()["p"]
-        return cls(tuple(sorted({float(v) for v in found or []})))
-
-    def assign(self, df: DataFrame, position: Column) -> DataFrame:
-        """Add the cut number; rows without a position come first, as NULL sorts first."""
-        if not self.points:
-            return df.withColumn(_CUT, F.lit(0.0))
-        splits = [-float("inf"), *self.points, float("inf")]
-        known = F.coalesce(position.cast("double"), F.lit(-1.7e308))
-        return (
-            Bucketizer(splits=splits, inputCol=_POS, outputCol=_CUT, handleInvalid="keep")
-            .transform(df.withColumn(_POS, known))
-            .drop(_POS)
-        )
+def in_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rows: int, count: int) -> DataFrame:
+    """Rows in ranges of about ``rows`` along keys and order, with the range's number; written once, as the numbers must
+    stay the same for every step that uses them.
+
+    Spark samples the true sort columns, so text, decimals and equal leading values are cut as well as numbers, and there
+    are as many ranges as the rows need. Within a key the numbers rise along the order.
+    """
+    ranges = math.ceil(count / rows)
+    ordered = df.repartitionByRange(ranges, *[F.col(k) for k in keys], *order)
+    return materialize(ordered.withColumn(_CUT, F.spark_partition_id()), "ranges")
 
 
 def _by_size(
-    df: DataFrame, keys: Sequence[str], position: Column, rows_per_cut: int,
-    plain: Callable[[DataFrame], DataFrame], cut: Callable[[DataFrame, Cuts], DataFrame],
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], rows_per_cut: int,
+    plain: Callable[[DataFrame], DataFrame], cut: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Send ordinary keys through the plain window and hot ones through the cut one."""
-    if not keys:
-        cuts = Cuts.fit(df, position, rows_per_cut)
-        return cut(df, cuts) if cuts.points else plain(df)
-    cool, hot = split_hot(df, keys, rows_per_cut)
+    """Send ordinary keys through the plain window and hot ones, in ranges, through the cut one."""
+    cool, hot = (None, df) if not keys else split_hot(df, keys, rows_per_cut)
     if hot is None:
-        return plain(df)
-    return plain(cool).unionByName(cut(hot, Cuts.fit(hot, position, rows_per_cut)))
+        return plain(cool)
+    count = hot.count()
+    if count <= rows_per_cut:
+        return plain(hot) if cool is None else plain(cool).unionByName(plain(hot))
+    done = cut(in_ranges(hot, keys, order, rows_per_cut, count))
+    return done if cool is None else plain(cool).unionByName(done)
 
 
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column | str],
-    position: Column | str,
+    position: Column | str | None,
     sums: Mapping[str, Column | str],
     *,
     rows_per_cut: int = ROWS_PER_CUT,
 ) -> DataFrame:
     """Running sums from the first row of each key up to and including the current row.
 
-    ``order`` must be a total order within a key and ``position`` a number that never falls along it. Equal
-    positions share a cut, so a position should also tell rows of one order value apart where there are many.
+    ``order`` must be a total order within a key; it alone decides. ``position`` (a number that rises with it) is not
+    needed any more.
     """
-    keys, position = list(keys), as_col(position)
+    keys = list(keys)
     order = [as_col(o) for o in order]
     measures = {name: as_col(c) for name, c in sums.items()}
     names = [*df.columns, *[n for n in measures if n not in df.columns]]
@@ -123,10 +106,9 @@ def running(
         w = window(*keys)
         return part.withColumns({name: F.sum(c).over(w) for name, c in measures.items()}).select(*names)
 
-    def cut(part: DataFrame, cuts: Cuts) -> DataFrame:
-        placed = cuts.assign(part, position)
+    def cut(placed: DataFrame) -> DataFrame:
         totals = placed.groupBy(*keys, _CUT).agg(*[F.sum(c).alias("__o_" + n) for n, c in measures.items()])
-        # at most MAX_CUTS rows per key reach one task here
+        # one row per range and key, so rows / rows_per_cut of them in a task
         before = W.partitionBy(*keys).orderBy(_CUT).rowsBetween(W.unboundedPreceding, -1)
         offsets = totals.select(
             *[F.col(k).alias("__k_" + k) for k in (*keys, _CUT)],
@@ -143,11 +125,11 @@ def running(
         joined = local.join(offsets, same_keys([*keys, _CUT], "__k_"), "left")
         return joined.withColumns({n: total(n) for n in measures}).select(*names)
 
-    return _by_size(df, keys, position, rows_per_cut, plain, cut)
+    return _by_size(df, keys, order, rows_per_cut, plain, cut)
 
 
 def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], position: Column | str,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], position: Column | str | None = None,
     name: str = "row_id", *, rows_per_cut: int = ROWS_PER_CUT,
 ) -> DataFrame:
     """Row numbers 1..n per key (or over the whole table when ``keys`` is empty)."""
@@ -155,11 +137,11 @@ def numbered(
 
 
 def next_known(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], position: Column | str,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], position: Column | str | None,
     value: str, name: str, *, rows_per_cut: int = ROWS_PER_CUT,
 ) -> DataFrame:
     """Value of the row, or else of the next row of the key that has one (backfill)."""
-    keys, position = list(keys), as_col(position)
+    keys = list(keys)
     names = [*df.columns, *([name] if name not in df.columns else [])]
     backwards = [F.col(o).desc() for o in order]
 
@@ -170,8 +152,7 @@ def next_known(
     def plain(part: DataFrame) -> DataFrame:
         return part.withColumn(name, F.last(value, ignorenulls=True).over(window(*keys))).select(*names)
 
-    def cut(part: DataFrame, cuts: Cuts) -> DataFrame:
-        placed = cuts.assign(part, position)
+    def cut(placed: DataFrame) -> DataFrame:
         known = F.when(F.col(value).isNotNull(), F.struct(*order))
         firsts = placed.groupBy(*keys, _CUT).agg(F.min_by(F.col(value), known).alias("__first"))
         later = W.partitionBy(*keys).orderBy(F.col(_CUT).desc()).rowsBetween(W.unboundedPreceding, -1)
@@ -183,4 +164,4 @@ def next_known(
         joined = local.join(ahead, same_keys([*keys, _CUT], "__k_"), "left")
         return joined.withColumn(name, F.coalesce(F.col(name), F.col("__ahead"))).select(*names)
 
-    return _by_size(df, keys, position, rows_per_cut, plain, cut)
+    return _by_size(df, keys, [F.col(o) for o in order], rows_per_cut, plain, cut)

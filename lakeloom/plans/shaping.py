@@ -167,6 +167,14 @@ def label_encode(t: Tables) -> DataFrame:
     return C.LabelEncoder.fit(cols, ["l_returnflag", "l_linestatus"]).apply(cols)
 
 
+@query("label_encode_wide", """
+SELECT c_custkey, a.code AS c_name FROM customer JOIN (SELECT c_name, row_number() OVER (ORDER BY c_name) - 1 AS code FROM (SELECT DISTINCT c_name FROM customer)) a USING (c_name)""")
+def label_encode_wide(t: Tables) -> DataFrame:
+    """Codes of a text column with more values than the driver may hold; all its values start alike."""
+    cols = t.customer.select("c_custkey", "c_name")
+    return C.LabelEncoder.fit(cols, ["c_name"], limit=100).apply(cols)
+
+
 @query("one_hot", """
 SELECT CAST(o_orderkey AS DOUBLE) AS o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1.0e0 ELSE 0.0e0 END AS "o_orderstatus_F",
        CASE WHEN o_orderstatus = 'O' THEN 1.0e0 ELSE 0.0e0 END AS "o_orderstatus_O",
@@ -358,9 +366,7 @@ def pivot_types(t: Tables) -> DataFrame:
 def row_id(t: Tables) -> DataFrame:
     """One number per order over the whole table, without a single-task sort."""
     cols = t.orders.select("o_orderkey", "o_orderdate")
-    # the key, as a fraction of a second, tells orders of one day apart
-    position = fn.seconds_of("o_orderdate") + F.col("o_orderkey") / float(2**40)
-    out = numbered(cols, [], ["o_orderdate", "o_orderkey"], position, rows_per_cut=5_000)
+    out = numbered(cols, [], ["o_orderdate", "o_orderkey"], rows_per_cut=5_000)
     return out.select("o_orderkey", "row_id")
 
 
