@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import jaccard, mixing, packing, pii, quality
+from lakeloom.llm.words import small_batches
 from lakeloom.session import materialize
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling keeps; the others go."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return quality.resample(docs, labels)[0]
 
@@ -19,6 +21,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id; rows that repeat an id stay or go together, rows
     without an id stay."""
+    small_batches(spark)
     found = jaccard.jaccard_components(docs)
     gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
@@ -26,12 +29,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; ``n_chars`` follows the new text."""
+    small_batches(spark)
     return pii.masked(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes its words, to the nearest whole number; documents whose words the
     mixture doesn't take go, and so do those without words. Rows that repeat an id share what they give."""
+    small_batches(spark)
     taken = mixing.mix(mixing.sized(docs))[1].groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("_share"))
     copies = taken.select(F.col("doc_id").alias("_id"), F.round("_share").cast("int").alias("_copies")).where("_copies > 0")
     rows = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
@@ -40,6 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 ids."""
+    small_batches(spark)
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json")).drop("copy")
 
 

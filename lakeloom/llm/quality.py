@@ -101,15 +101,15 @@ def _counts(docs: DataFrame, ids: np.ndarray, good: np.ndarray, bits: int) -> di
     width = min(SEGMENT, size)
 
     def count(batches):
-        sums = {p: np.zeros(size, np.int64) for p in PARTS}
+        sums = {p: np.zeros(size, np.int32) for p in PARTS}  # a task has fewer rows than that holds
         for batch in slices(batches, "text"):
             at, owner = grams(batch.column("text"), bits)
             names = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
             valid = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-            sums["raw"] += np.bincount(at.ravel(), minlength=size)
+            np.add(sums["raw"], np.bincount(at.ravel(), minlength=size), out=sums["raw"], casting="unsafe")
             for part, some in (("target", wanted), ("rejected", others)):
                 known = np.isin(names, some) & valid
-                sums[part] += np.bincount(at[:, known[owner]].ravel(), minlength=size)
+                np.add(sums[part], np.bincount(at[:, known[owner]].ravel(), minlength=size), out=sums[part], casting="unsafe")
         starts = np.arange(0, size, width)
         packed = [pa.array([zlib.compress(sums[p][s : s + width].tobytes(), 1) for s in starts], pa.binary()) for p in PARTS]
         yield pa.RecordBatch.from_arrays([pa.array(starts // width), *packed], names=["segment", *PARTS])
@@ -119,7 +119,7 @@ def _counts(docs: DataFrame, ids: np.ndarray, good: np.ndarray, bits: int) -> di
         for p in PARTS:
             total = np.zeros(width, np.int64)
             for x in held[p]:
-                total += np.frombuffer(zlib.decompress(x.as_py()), np.int64)
+                total += np.frombuffer(zlib.decompress(x.as_py()), np.int32)
             out[p] = pa.array([total.tobytes()], pa.binary())
         return pa.table(out)
 

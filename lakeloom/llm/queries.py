@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.llm import ann, htmltext, jaccard, mixing, packing, pii, quality, urls, vafile, warc
+from lakeloom.llm.words import small_batches
 from lakeloom.session import scratch_path
 
 QUERIES: dict = {}
@@ -23,6 +24,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 

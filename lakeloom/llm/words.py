@@ -2,16 +2,35 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Let Spark hand texts to Python workers in Arrow batches of ``size`` bytes: it keeps several copies of a batch."""
+    if int(spark.conf.get(BATCH).rstrip("b")) > size:
+        spark.conf.set(BATCH, f"{size}b")
+
+
+def release() -> None:
+    """Give freed memory back to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches, column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``most_bytes`` per piece (one long text may exceed it)."""
     for batch in batches:
@@ -24,6 +43,7 @@ def slices(batches, column: str, most_bytes: int = 2 << 20) -> Iterator[pa.Recor
             total += n
         if start < batch.num_rows:
             yield batch.slice(start)
+    release()
 
 
 def split(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
