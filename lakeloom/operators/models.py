@@ -53,6 +53,16 @@ def train_svm(df: DataFrame, features: Sequence[str], label: str) -> PipelineMod
     return Pipeline(stages=[assemble(features), OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=label)]).fit(df)
 
 
+def save_model(model: PipelineModel, path: str) -> str:
+    """Keep a trained model below a path all executors can reach."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def score(model: PipelineModel, df: DataFrame, *keep: str) -> DataFrame:
     """Predictions beside the kept columns."""
     return model.transform(df).select(*keep, "prediction")

@@ -117,6 +117,17 @@ def separable_accuracy(t: Tables) -> DataFrame:
     return t.lineitem.limit(1).select(*[F.lit(bool(v)).alias(n) for n, v in zip(names, found)])
 
 
+@query("saved_model_scores", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS different FROM lineitem")
+def saved_model_scores(t: Tables) -> DataFrame:
+    """A model trained, saved, loaded and used on every line: it scores like the one in memory."""
+    rows = returned_lines(t)
+    model = M.train_logistic(rows.filter("is_train"), LINE_FEATURES, "label")
+    loaded = M.load_model(M.save_model(model, scratch_path(t.spark, "model")))
+    once = M.score(model, rows, *LINE_FEATURES).withColumnRenamed("prediction", "first")
+    both = M.score(loaded, once, "first")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("first") != F.col("prediction")).alias("different"))
+
+
 @query("sweep_trials")
 def sweep_trials(t: Tables) -> DataFrame:
     rows = returned_lines(t)

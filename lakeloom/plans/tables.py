@@ -189,7 +189,8 @@ def save_to_table_modes(t: Tables) -> DataFrame:
     rows = t.customer.select(F.col("c_mktsegment").alias("segment"))
     for mode in ("EMPTY", "TRUNCATE", "APPEND", "APPEND"):
         catalog.save_to_table(rows, name, mode, path)
-    return S.value_counts(t.spark.table(name), "segment")
+    catalog.delete_table(t.spark, name)  # the files stay where the query reads them
+    return S.value_counts(t.spark.read.parquet(path), "segment")
 
 
 @query("backup_tables", """
@@ -208,14 +209,40 @@ def backup_tables(t: Tables) -> DataFrame:
     out = None
     for _, name, state in status:
         if state == "copied":
-            one = catalog.row_count(t.spark.table(f"{db}_clone.{name}"))
+            one = catalog.row_count(t.spark.read.parquet(f"{root}/{db}_clone/{name}"))
         else:
             one = t.spark.range(1).select(F.lit(0).cast("long").alias("n_rows"))
         row = one.select(F.lit(name).alias("table_name"), F.lit(state).alias("status"), F.col("n_rows").alias("n"))
         out = row if out is None else out.unionByName(row)
+    for name in (db, f"{db}_clone"):
+        t.spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
     return out
 
 
+@query("catalog_steps", """
+SELECT 'created and filled' AS step, count(*) AS n FROM region UNION ALL SELECT 'extracted', count(*) FROM nation
+UNION ALL SELECT 'converted', count(*) FROM nation UNION ALL SELECT 'purged', 1 UNION ALL SELECT 'left', 0""")
+def catalog_steps(t: Tables) -> DataFrame:
+    """A table created, filled and deleted, an expired one purged, an extract as CSV read and converted; nothing stays."""
+    root = scratch_path(t.spark, "catalog")
+    db = "lakeloom_" + root[-12:]
+    t.spark.sql(f"CREATE DATABASE {db} LOCATION '{root}/{db}'")
+    catalog.create_table(t.spark, f"{db}.areas", {"r_regionkey": "INTEGER", "r_name": "STRING"})
+    catalog.insert_rows(t.spark, f"{db}.areas", [r.asDict() for r in t.region.select("r_regionkey", "r_name").collect()])  # five regions
+    kept = t.spark.table(f"{db}.areas").count()
+    catalog.delete_table(t.spark, f"{db}.areas")
+    catalog.create_temp_table(t.spark, f"{db}.brief", [("k", "INTEGER", "REQUIRED")], hours=-1)
+    purged = len(catalog.purge_expired(t.spark, db))
+    left = len(catalog.list_tables(t.spark, [db]))
+    t.spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    csv = catalog.extract(t.nation.select("n_nationkey", "n_name"), f"{root}/nation.csv")
+    kind = "n_nationkey long, n_name string"
+    converted = files.convert_to_parquet(t.spark, csv, f"{root}/nation", kind)
+    extracted, rows = files.scan_csv_na(t.spark, csv, kind).count(), t.spark.read.parquet(converted).count()
+    counts = {"created and filled": kept, "extracted": extracted, "converted": rows, "purged": purged, "left": left}
+    return t.spark.createDataFrame(list(counts.items()), "step string, n long")
+
+
 @query("partitioned_filter", """
 SELECT o_orderpriority AS part, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(28,4))) AS DOUBLE) AS total
 FROM orders WHERE o_totalprice > 200000 GROUP BY 1""")
