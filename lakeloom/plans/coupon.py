@@ -163,14 +163,20 @@ joined AS (SELECT * FROM items LEFT JOIN priced USING (item_id))"""
 COUPON_SQL = f"WITH {TX_SQL}, {COUPON_JOINED_SQL} " + _features_sql("joined", "coupon_id", "coupon_", COUPON_MEASURES)
 
 
+def needed_transactions(t: Tables, key: str, measures: dict) -> DataFrame:
+    """The joined transactions with the columns that the measures read, written once: they are counted and then grouped."""
+    tx = with_date_parts(with_unit_prices(transactions(t)))
+    return materialize(tx.select(*dict.fromkeys([key, *(c for _, c in measures.values() if c in tx.columns)])), "transactions")
+
+
 @query("customer_features", CUSTOMER_SQL)
 def q_customer_features(t: Tables) -> DataFrame:
-    return near_all(customer_features(with_date_parts(with_unit_prices(transactions(t)))))
+    return near_all(customer_features(needed_transactions(t, "customer_id", CUSTOMER_MEASURES)))
 
 
 @query("coupon_features", COUPON_SQL)
 def q_coupon_features(t: Tables) -> DataFrame:
-    return near_all(coupon_features(coupon_items(t), with_date_parts(with_unit_prices(transactions(t)))))
+    return near_all(coupon_features(coupon_items(t), needed_transactions(t, "item_id", COUPON_MEASURES)))
 
 
 @query("unit_prices", f"""
