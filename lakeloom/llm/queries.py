@@ -117,7 +117,22 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "log_weight")
 
 
-@query("op5_jaccard_join")
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w
+), t AS MATERIALIZED (SELECT doc_id, unnest(s) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM t a JOIN t b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b WHERE 100 * i >= 75 * (len(sa.s) + len(sb.s) - i)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM s UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT s.doc_id, CAST(any_value(len(s.s)) AS BIGINT) AS n_shingles, min(r.c) AS component_id FROM s JOIN r USING (doc_id) GROUP BY s.doc_id
+"""
+
+
+@query("op5_jaccard_join", OP5_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Shingle counts and components of near copies."""
     return jaccard.jaccard_components(table(spark, folder, "documents"))

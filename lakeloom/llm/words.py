@@ -15,12 +15,13 @@ from pyspark.sql import SparkSession
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH, DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
-    """Let Spark hand texts to Python workers in Arrow batches of ``size`` bytes: it keeps several copies of a batch."""
-    if int(spark.conf.get(BATCH).rstrip("b")) > size:
+    """Let Spark hand texts to Python workers in Arrow batches of ``size`` bytes, as it keeps several copies of a batch; a
+    size that the session sets itself stays."""
+    if spark.conf.get(BATCH) == DEFAULT:
         spark.conf.set(BATCH, f"{size}b")
 
 
