@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +20,25 @@ MARKS = """.,;:!?"'()[]{}<>|&*%$#@~^=+-_/\\`"""
 
 @dataclass(frozen=True)
 class Model:
-    """Log ratio per bucket of the two hash tables, and the log weight from which a document rather belongs to the target."""
+    """The buckets of the two hash tables with a log ratio other than 0, and the log weight from which a document rather
+    belongs to the target."""
 
+    at: np.ndarray
     ratio: np.ndarray
     bound: float
     bits: int
 
+    @classmethod
+    def of(cls, ratios: np.ndarray, bits: int) -> Model:
+        at = np.flatnonzero(ratios)
+        return cls(at, ratios[at], float("-inf"), bits)
+
+    def table(self) -> np.ndarray:
+        """Ratio of every bucket; a task makes it once."""
+        out = np.zeros(2 << self.bits, np.float32)
+        out[self.at] = self.ratio
+        return out
+
 
 def shapes(words: pa.Array) -> pa.Array:
     """Word shapes: runs of capitals, small letters and digits become one sign each, marks stay."""
@@ -120,7 +133,7 @@ def _counts(docs: DataFrame, ids: np.ndarray, good: np.ndarray, bits: int) -> di
             total = np.zeros(width, np.int64)
             for x in held[p]:
                 total += np.frombuffer(zlib.decompress(x.as_py()), np.int32)
-            out[p] = pa.array([total.tobytes()], pa.binary())
+            out[p] = pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())
         return pa.table(out)
 
     kind = "segment long, " + ", ".join(f"{p} binary" for p in PARTS)
@@ -130,7 +143,7 @@ def _counts(docs: DataFrame, ids: np.ndarray, good: np.ndarray, bits: int) -> di
     for r in rows:
         at = slice(r["segment"] * width, (r["segment"] + 1) * width)
         for p in PARTS:
-            out[p][at] = np.frombuffer(r[p], np.int64)
+            out[p][at] = np.frombuffer(zlib.decompress(r[p]), np.int64)
     return out
 
 
@@ -145,15 +158,22 @@ def log_ratios(raw: np.ndarray, target: np.ndarray, rejected: np.ndarray, pseudo
     """
     if not raw.sum() or not target.sum():
         return np.zeros(len(raw), np.float32)
-    expected = raw * (target.sum() / raw.sum())
-    ratio = np.log((target + pseudo) / (expected + pseudo))
-    order = np.argsort(ratio)
-    mass = np.cumsum(target[order])
-    ratio -= ratio[order][np.searchsorted(mass, mass[-1] / 2)]
-    unsure = (np.abs(ratio) < least) | (np.abs(target - expected) < sigmas * np.sqrt(expected + 1))
-    share = np.log((rejected + pseudo) / (max(rejected.sum(), 1)) / ((target + pseudo) / target.sum()))
-    borne = np.where(ratio < 0, (rejected >= 2) & (share > least), share < -least)
-    return np.where(unsure | ~borne, 0.0, ratio).astype(np.float32)
+    n_raw, n_target, n_rejected = raw.sum(), target.sum(), max(rejected.sum(), 1)
+    out = np.zeros(len(raw), np.float32)
+    held = np.flatnonzero(target)
+    own = np.log((target[held] + pseudo) / (raw[held] * (n_target / n_raw) + pseudo))
+    order = np.argsort(own)
+    mass = np.cumsum(target[held][order])
+    typical = own[order][np.searchsorted(mass, mass[-1] / 2)]
+    for a in range(0, len(raw), 1 << 16):  # a stretch at a time, as the driver does this
+        r, t, j = (x[a : a + (1 << 16)] for x in (raw, target, rejected))
+        expected = r * (n_target / n_raw)
+        ratio = np.log((t + pseudo) / (expected + pseudo)) - typical
+        unsure = (np.abs(ratio) < least) | (np.abs(t - expected) < sigmas * np.sqrt(expected + 1))
+        share = np.log((j + pseudo) / n_rejected / ((t + pseudo) / n_target))
+        borne = np.where(ratio < 0, (j >= 2) & (share > least), share < -least)
+        out[a : a + (1 << 16)] = np.where(unsure | ~borne, 0.0, ratio)
+    return out
 
 
 def gram_ratios(ratio: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -163,9 +183,9 @@ def gram_ratios(ratio: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.where(a * b > 0, np.sign(a) * np.minimum(np.abs(a), np.abs(b)), 0.0)
 
 
-def _weights(batch: pa.RecordBatch, model: Model) -> np.ndarray:
-    at, owner = grams(batch.column("text"), model.bits)
-    return np.bincount(owner, weights=gram_ratios(model.ratio, at), minlength=batch.num_rows).astype(np.float64)
+def _weights(batch: pa.RecordBatch, ratios: np.ndarray, bits: int) -> np.ndarray:
+    at, owner = grams(batch.column("text"), bits)
+    return np.bincount(owner, weights=gram_ratios(ratios, at), minlength=batch.num_rows).astype(np.float64)
 
 
 def gumbel(ids: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -178,8 +198,9 @@ def weigh(docs: DataFrame, model: Model, seed: int = 0) -> DataFrame:
     """``doc_id``, ``log_weight`` and ``sort_key`` (log weight plus Gumbel noise) of every document, over whole texts."""
 
     def score(batches):
+        ratios = model.table()
         for batch in slices(batches, "text"):
-            w = _weights(batch, model)
+            w = _weights(batch, ratios, model.bits)
             ids = batch.column("doc_id")
             keys = w + gumbel(ids.fill_null(-1).to_numpy(zero_copy_only=False), seed)
             yield pa.RecordBatch.from_arrays([ids, pa.array(w), pa.array(keys)], names=["doc_id", "log_weight", "sort_key"])
@@ -225,21 +246,23 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 100_000, bits: in
     """
     ids, good = labelled_sample(labels, most_labels)
     if not len(ids):
-        return Model(np.zeros(2 << bits, np.float32), float("-inf"), bits)
+        return Model.of(np.zeros(0, np.float32), bits)
     counts = _counts(docs, ids, good, bits)
-    model = Model(log_ratios(*(counts[p] for p in PARTS)), 0.0, bits)
+    model = Model.of(log_ratios(*(counts[p] for p in PARTS)), bits)
+    del counts
 
     def known(batches):
+        ratios = model.table()
         for batch in slices(batches, "text"):
             names = batch.column("doc_id")
             here = pa.array(np.isin(names.fill_null(-1).to_numpy(zero_copy_only=False), ids) & names.is_valid().to_numpy(zero_copy_only=False))
             some = batch.filter(here)
             if some.num_rows:
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(_weights(some, model))], names=["doc_id", "w"])
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(_weights(some, ratios, bits))], names=["doc_id", "w"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     got = rows.mapInArrow(known, "doc_id long, w double").limit(4 * most_labels).toPandas()
-    return Model(model.ratio, best_bound(got["w"].to_numpy(), good[np.searchsorted(ids, got["doc_id"].to_numpy(np.int64))]), bits)
+    return replace(model, bound=best_bound(got["w"].to_numpy(), good[np.searchsorted(ids, got["doc_id"].to_numpy(np.int64))]))
 
 
 def best_bound(weights: np.ndarray, good: np.ndarray) -> float:
@@ -272,8 +295,9 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 0, **options) -> tu
     schema = docs.schema
 
     def keep(batches):
+        ratios = model.table()
         for batch in slices(batches, "text"):
             ids = batch.column("doc_id").cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(_weights(batch, model) + gumbel(ids, seed) >= least))
+            yield batch.filter(pa.array(_weights(batch, ratios, model.bits) + gumbel(ids, seed) >= least))
 
     return docs.mapInArrow(keep, schema), weights.where(F.col("sort_key") >= F.lit(least))
