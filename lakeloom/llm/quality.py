@@ -241,8 +241,8 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 100_000, bits: in
     """Models from all documents (raw) and the labelled good, not toxic ones among them (target).
 
     At most ``most_labels`` labelled rows are used (about 1.6 MB sent to the tasks). The bound between kept and rejected
-    is the log weight that best separates the labelled good from the other labelled documents; without labels, or with
-    labels of one kind only, nothing is rejected.
+    is the log weight that best separates the labelled good from the other labelled documents, all rows of a repeated id
+    among them; without labels, or with labels of one kind only, nothing is rejected.
     """
     ids, good = labelled_sample(labels, most_labels)
     if not len(ids):
@@ -258,11 +258,11 @@ def fit(docs: DataFrame, labels: DataFrame, most_labels: int = 100_000, bits: in
             here = pa.array(np.isin(names.fill_null(-1).to_numpy(zero_copy_only=False), ids) & names.is_valid().to_numpy(zero_copy_only=False))
             some = batch.filter(here)
             if some.num_rows:
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(_weights(some, ratios, bits))], names=["doc_id", "w"])
+                target = good[np.searchsorted(ids, some.column("doc_id").to_numpy())]
+                yield pa.RecordBatch.from_arrays([pa.array(_weights(some, ratios, bits)), pa.array(target), pa.array(1 - target)], names=["w", "good", "other"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    got = rows.mapInArrow(known, "doc_id long, w double").limit(4 * most_labels).toPandas()
-    return replace(model, bound=best_bound(got["w"].to_numpy(), good[np.searchsorted(ids, got["doc_id"].to_numpy(np.int64))]))
+    return replace(model, bound=bound_of_rows(rows.mapInArrow(known, "w double, good long, other long"), most_labels))
 
 
 def best_bound(weights: np.ndarray, good: np.ndarray) -> float:
@@ -279,6 +279,38 @@ def best_bound(weights: np.ndarray, good: np.ndarray) -> float:
     return float((w[at - 1] + w[at]) / 2) if at < len(w) else float("inf")
 
 
+def bound_of_rows(rows: DataFrame, most: int) -> float:
+    """``best_bound`` of all ``rows``: weights ``w`` with the counts ``good`` and ``other``.
+
+    Up to ``most`` rows meet on the driver. More are cut into ranges of about ``most`` weights, each of which finds its
+    best place from the counts below it; only sums and places of the ranges reach the driver."""
+    counted = materialize(rows.groupBy("w").agg(F.sum("good").alias("good"), F.sum("other").alias("other")), "quality-labelled")
+    n, good, other = counted.agg(F.count("w"), F.sum("good"), F.sum("other")).first()
+    if not good or not other:
+        return float("-inf")
+    if good + other <= most:
+        got = counted.toPandas()
+        both = np.concatenate([np.repeat(got["w"], got["good"]), np.repeat(got["w"], got["other"])])
+        return best_bound(both, np.repeat([1, 0], [good, other]))
+    ranges = materialize(counted.repartitionByRange(-(-n // most), "w").withColumn("part", F.spark_partition_id()), "quality-ranges")
+    sums = ranges.groupBy("part").agg(F.min("w").alias("low"), F.sum(F.col("good") - F.col("other")).alias("more")).orderBy("low").collect()
+    before = dict(zip([s["part"] for s in sums], np.cumsum([0, *(s["more"] for s in sums)]).tolist(), strict=False))
+
+    def places(held: pa.Table) -> pa.Table:
+        held = held.sort_by("w")
+        w, more = held["w"].to_numpy(), held["good"].to_numpy() - held["other"].to_numpy()
+        wrong = other + before[held["part"][0].as_py()] + np.cumsum(more)  # with the bound right above each weight
+        at = int(np.argmin(wrong))
+        return pa.table({"wrong": [int(wrong[at])], "w": [float(w[at])], "above": pa.array([float(w[at + 1]) if at + 1 < len(w) else None], pa.float64())})
+
+    found = ranges.groupBy("part").applyInArrow(places, "wrong long, w double, above double").collect()
+    best = min(found, key=lambda f: (f["wrong"], f["w"]))
+    if best["wrong"] >= other:
+        return float("-inf")
+    above = best["above"] if best["above"] is not None else min((s["low"] for s in sums if s["low"] > best["w"]), default=None)
+    return float("inf") if above is None else (best["w"] + above) / 2
+
+
 def resample(docs: DataFrame, labels: DataFrame, seed: int = 0, **options) -> tuple[DataFrame, DataFrame]:
     """(documents kept, their weights): importance resampling of ``docs`` (``doc_id``, ``text`` and any other columns).
 

@@ -97,3 +97,25 @@ def test_odd_rows(spark):
 def test_gumbel_noise():
     g = quality.gumbel(np.arange(200_000))
     assert abs(g.mean() - 0.5772) < 0.02 and abs(g.var() - np.pi**2 / 6) < 0.03 and np.isfinite(g).all()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bound_of_rows_in_ranges(spark, seed):
+    rng = np.random.default_rng(seed)
+    good = rng.integers(0, 2, 120) if seed else np.ones(120, np.int64)
+    w = np.round(rng.normal(good * [0, 1, -3, 0.1][seed], 1), 1)
+    rows = spark.createDataFrame([(float(x), int(g), int(1 - g)) for x, g in zip(w, good, strict=True)], "w double, good long, other long").repartition(5)
+    assert [quality.bound_of_rows(rows, most) for most in (7, 1_000)] == [quality.best_bound(w, good)] * 2
+
+
+def test_rows_of_a_repeated_id_all_count(spark):
+    docs, labels = corpus(300, 7)
+    known = {r[0]: r[1] and not r[2] for r in labels}
+    one = next(r for r in docs if known.get(r[0]))
+    docs = [one] * 5_000 + [r for r in docs if r is not one]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    frame = spark.createDataFrame(docs, DOCS).coalesce(1)
+    model = quality.fit(frame, labels, most_labels=1_000, bits=16)
+    weights = {r["doc_id"]: r["log_weight"] for r in quality.weigh(frame, model, 0).collect()}
+    rows = [(weights[r[0]], int(known[r[0]])) for r in docs if r[0] in known]
+    assert model.bound == quality.best_bound(*(np.array(x) for x in zip(*rows, strict=True))) > float("-inf")
