@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.files import place
@@ -94,13 +94,47 @@ _MANIFEST_ARROW = pa.schema(
 )
 
 
+def _key():
+    """Order of the records: null ids first."""
+    return F.struct(F.col("page_id").isNotNull().alias("known"), F.coalesce("page_id", F.lit(0).cast("long")).alias("page_id"), F.col("digest").alias("digest"))
+
+
+def shard_cuts(light: DataFrame, shard_bytes: int) -> list[tuple]:
+    """First keys of all shards but the first, by the rows (``page_id``, ``digest``, ``size``) alone: a shard starts where the
+    bytes before a key pass a multiple of ``shard_bytes``, whatever ranges the bytes are summed in."""
+    total = light.agg(F.sum("size")).first()[0] or 0
+    if total <= shard_bytes:
+        return []
+    sizes = light.groupBy("page_id", "digest").agg(F.sum("size").alias("size")).select(_key().alias("key"), "size")
+    ranges = materialize(sizes.repartitionByRange(-(-total // shard_bytes), "key").withColumn("part", F.spark_partition_id()), "warc-ranges")
+    sums = ranges.groupBy("part").agg(F.min("key").alias("low"), F.sum("size").alias("size")).orderBy("low").collect()
+    below, offsets = 0, []
+    for row in sums:
+        offsets.append((row["part"], below))
+        below += row["size"]
+    order = Window.partitionBy("part").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    running = ranges.withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0)))
+    offset = light.sparkSession.createDataFrame(offsets, "part int, below long")
+    firsts = running.join(offset, "part").groupBy(F.floor((F.col("below") + F.col("before")) / shard_bytes)).agg(F.min("key").alias("key"))
+    return sorted(tuple(r["key"]) for r in firsts.collect())[1:]  # one per shard
+
+
+def shard_of(cuts: list[tuple]):
+    """Number of ``cuts`` that are not above a row's key, by bisection."""
+    if not cuts:
+        return F.lit(0)
+    keys = F.array(*[F.struct(F.lit(known).alias("known"), F.lit(i).cast("long").alias("page_id"), F.lit(digest).alias("digest")) for known, i, digest in cuts])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(keys, at + step - 1) <= _key(), at + step).otherwise(at))
+
+
 def write_warc(pages: DataFrame, folder: str, file_bytes: int = 16 << 20, shard_bytes: int = 32 << 20, level: int = 6) -> DataFrame:
     """Write one record per row of ``pages`` (``page_id``, ``url``, ``html``) below ``folder``; returns the manifest.
 
     Of records with equal payloads of at least 100 bytes, those with the smallest page_id are responses, others revisits of
     it. Which rows revisit is decided on ids and digests alone; the few decisions then travel with the pages through one
-    range shuffle by (page_id, digest), sorted, and meet their page in the writer. Shards hold about ``shard_bytes`` of
-    payload and roll files at ``file_bytes`` compressed. Every attempt writes to its own temporary name; the manifest that
+    shuffle by ranges of (page_id, digest), sorted, and meet their page in the writer. Shards hold about ``shard_bytes`` of
+    payload, are cut by the rows alone (``shard_cuts``), so that every run writes the same files, and roll files at ``file_bytes`` compressed. Every attempt writes to its own temporary name; the manifest that
     Spark commits lists only attempts that counted, and only those files are renamed. A renamed file is left alone when
     the job is repeated, so a lost executor costs its own shard.
 
@@ -111,21 +145,26 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = 16 << 20, shard_
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload")).withColumn("digest", F.sha2("payload", 256))
     light = materialize(rows.select("page_id", "digest", F.length("payload").cast("long").alias("size")), "warc-digests")
-    total = light.agg(F.sum("size")).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
+    cuts = shard_cuts(light, shard_bytes)
     large = light.where((F.col("size") >= SMALLEST_REVISITED) & F.col("page_id").isNotNull())
     firsts = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("_last")).where(F.col("_last") > F.col("first")).drop("_last")
     revisits = large.select("page_id", "digest").distinct().join(firsts, "digest").where(F.col("page_id") > F.col("first"))
     decisions = revisits.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "digest", "first")
     both = rows.withColumn("first", F.lit(None).cast("long")).unionByName(decisions)
-    both = both.repartitionByRange(int(shards), "page_id", "digest").sortWithinPartitions("page_id", "digest", F.col("first").asc_nulls_last(), "url")
+    both = both.withColumn("shard", shard_of(cuts))
+    both = both.repartitionById(len(cuts) + 1, "shard").sortWithinPartitions("shard", "page_id", "digest", F.col("first").asc_nulls_last(), "url")
 
     def write(batches):
         context = TaskContext.get()
-        roller = _Roller(folder, context.partitionId(), context.taskAttemptId(), file_bytes, level)
+        roller = _Roller(folder, 0, context.taskAttemptId(), file_bytes, level)
         decided = None  # (page_id, digest, first) of the last decision row: it comes right before its pages
         for batch in batches:
-            for page_id, url, data, digest, first in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for shard, page_id, url, data, digest, first in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if shard != roller.shard:
+                    done = roller.close()
+                    if done:
+                        yield _table([done], _MANIFEST_ARROW)
+                    roller = _Roller(folder, shard, context.taskAttemptId(), file_bytes, level)
                 if first is not None:
                     decided = (page_id, digest, first)
                     continue
@@ -137,7 +176,7 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = 16 << 20, shard_
         if done:
             yield _table([done], _MANIFEST_ARROW)
 
-    staged = materialize(both.select("page_id", "url", "payload", "digest", "first").mapInArrow(write, MANIFEST), "warc-staged")
+    staged = materialize(both.select("shard", "page_id", "url", "payload", "digest", "first").mapInArrow(write, MANIFEST), "warc-staged")
 
     def commit(batches):
         store, top = place(folder)

@@ -65,6 +65,27 @@ def test_same_bytes_on_every_run(spark):
     assert runs[0] == runs[1]
 
 
+def test_same_files_of_several_shards(spark):
+    rows = [(i if i % 50 else None, f"http://x/{i}", f"{i} " * (i % 97), *[None] * (len(SCHEMA.split(",")) - 3)) for i in range(20_000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    runs = []
+    for parts in (2, 7):
+        manifest = warc.write_warc(df.repartition(parts, "url"), scratch_path(spark, "warc-test"), file_bytes=60_000, shard_bytes=2_000_000)
+        runs.append(sorted((r["name"], r["records"], r["sha256"], r["shard"]) for r in manifest.collect()))
+    sizes = {}
+    for i, _, html, *_ in rows:
+        key = (i is not None, i or 0, hashlib.sha256(html.encode()).hexdigest())
+        sizes[key] = sizes.get(key, 0) + len(html)
+    before, last, want = 0, 0, []
+    for key in sorted(sizes):
+        if before // 2_000_000 > last:
+            want.append(key)
+        last, before = before // 2_000_000, before + sizes[key]
+    light = df.selectExpr("page_id", "sha2(coalesce(html, ''), 256) digest", "cast(length(html) as long) size")
+    assert runs[0] == runs[1] and len({r[3] for r in runs[0]}) == len(want) + 1 > 2
+    assert warc.shard_cuts(light, 2_000_000) == want
+
+
 def test_empty(spark):
     folder = scratch_path(spark, "warc-test")
     manifest = warc.write_warc(spark.createDataFrame([], SCHEMA), folder)
