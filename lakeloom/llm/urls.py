@@ -127,7 +127,7 @@ def build_cascade(universe: DataFrame, listed: DataFrame, most_bytes: int = MOST
 
     Level 0 holds the listed keys; each next level holds the keys of the other side that the level before lets pass, until
     none is left. The first rate is listed / others / sqrt(2), further ones 1/2, so the filters' size follows the number
-    of listed keys, not the universe. A filter above ``most_bytes`` is refused, see ``judge`` for shards. Null keys are
+    of listed keys, not the universe. A filter above ``most_bytes`` is refused; ``judge`` then shards the keys. Null keys are
     ignored, repeated keys count once; empty tables give a cascade that lists nothing.
     """
     listed = listed.select("key").where("key is not null").distinct()
@@ -162,14 +162,18 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", most_bytes
     longer host). Two cascades decide: one over all keys that the urls could fit, for the rules; one over the rules, for
     the blocked ones. Urls that no listed key fits get ``default``. Repeated rules count once, block before allow.
     Null urls and urls without ``://`` have empty host and path and no rule; repeated rows are judged each; empty tables
-    give no rows. Only the filters are sent to tasks; each is bounded by ``most_bytes`` and refused beyond.
+    give no rows. Only the filters are sent to tasks; where one would exceed ``most_bytes``, the keys are cut into hash
+    shards with cascades of their own.
     """
     rules = rules.groupBy("key").agg(F.max("verdict").alias("verdict"))
     parsed = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     keyed = parsed.withColumn("keys", url_keys(F.col("host"), F.col("path")))
     universe = keyed.select(F.explode("keys").alias("key")).distinct()
-    ruled = build_cascade(universe, rules, most_bytes)
-    blocked = build_cascade(rules, rules.where("verdict = 'block'"), most_bytes)
+    try:
+        ruled = build_cascade(universe, rules, most_bytes)
+        blocked = build_cascade(rules, rules.where("verdict = 'block'"), most_bytes)
+    except MemoryError:
+        return _judge_in_shards(keyed, universe, rules, default, most_bytes)
 
     def decide(batches):
         for batch in batches:
@@ -199,3 +203,38 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", most_bytes
 
     kind = dict(pages.dtypes)["page_id"]
     return keyed.mapInArrow(decide, f"page_id {kind}, host string, path string, rule string, verdict string")
+
+
+def _judge_in_shards(keyed: DataFrame, universe: DataFrame, rules: DataFrame, default: str, most_bytes: int) -> DataFrame:
+    """``judge`` by a cascade per hash shard of the keys; shards are halved until their filters fit. Every shard reads the
+    urls' keys once and hands on those that are listed; each row takes its longest one."""
+    rows = materialize(keyed.withColumn("_row", F.monotonically_increasing_id()), "bloom-rows")
+    asked = rows.select("_row", F.posexplode("keys").alias("pos", "key"))
+    universe, rules = materialize(universe, "bloom-universe"), materialize(rules.where("key is not null"), "bloom-rules")
+
+    def hits(shards: int, shard: int) -> list[DataFrame]:
+        mine = F.pmod(F.xxhash64("key", F.lit(17)), F.lit(shards)) == shard
+        listed = rules.where(mine)
+        try:
+            ruled = build_cascade(universe.where(mine), listed, most_bytes)
+            blocked = build_cascade(listed, listed.where("verdict = 'block'"), most_bytes)
+        except MemoryError:
+            if listed.count() < 2:
+                raise
+            return hits(2 * shards, shard) + hits(2 * shards, shard + shards)
+
+        def match(batches):
+            for batch in batches:
+                some = batch.filter(pa.array(ruled.listed(batch.column(2).to_numpy(zero_copy_only=False))))
+                if some.num_rows:
+                    bad = blocked.listed(some.column(2).to_numpy(zero_copy_only=False))
+                    yield pa.RecordBatch.from_arrays([*some.columns, pa.array(bad)], names=["_row", "pos", "key", "bad"])
+
+        return [asked.where(mine).mapInArrow(match, "_row long, pos int, key string, bad boolean")]
+
+    found = None
+    for part in hits(2, 0) + hits(2, 1):
+        found = part if found is None else found.union(part)
+    best = found.groupBy("_row").agg(F.min(F.struct("pos", "key", "bad")).alias("best"))
+    verdict = F.when(F.col("best").isNull(), F.lit(default)).when(F.col("best.bad"), "block").otherwise("allow")
+    return rows.join(best, "_row", "left").select("page_id", "host", "path", F.col("best.key").alias("rule"), verdict.alias("verdict"))

@@ -56,3 +56,12 @@ def test_filters_are_bounded(spark):
     keys = spark.range(1_000).select(F.col("id").cast("string").alias("key"))
     with pytest.raises(MemoryError):
         urls.build_cascade(keys, keys.limit(500), most_bytes=8)
+
+
+def test_judge_in_shards(spark):
+    pages = [(i, f"http://a{i % 7}.h{i % 30}.example.com/d{i % 4}/e{i % 5}/x") for i in range(120)] + [(500, None), (501, "no url"), (1, "http://h1.example.com/d1/")]
+    rules = [(f"h{i}.example.com/d{i % 4}/", "block" if i % 3 else "allow") for i in range(30)] + [("com/", "allow"), ("a1.h1.example.com/d1/e1/", "allow"), (None, "block")]
+    frames = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(rules, "key string, verdict string")
+    whole, parts = (urls.judge(*frames, **more) for more in ({}, {"most_bytes": 24}))
+    assert parts.schema.names == whole.schema.names
+    assert sorted(map(repr, parts.collect())) == sorted(map(repr, whole.collect()))
