@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
-import sys
-import types
 import zlib
 
 import numpy as np
@@ -18,83 +15,74 @@ from lakeloom.llm.words import slices, split
 from lakeloom.session import materialize
 
 END = 2
-CACHED = 600_000
-#: An ASCII letter or digit, then only ASCII marks but the apostrophe: the tokenizer always splits between the two.
-MARKED = re.compile(r"(?s)(.*[A-Za-z0-9])([!-&(-/:-@\[-`{-~]+)")
-
-
-def _worker(path: str):
-    """Tokenizer and word cache of this worker process, kept between its tasks."""
-    shelf = sys.modules.setdefault("_lakeloom_shelf", types.ModuleType("_lakeloom_shelf"))
-    held = shelf.__dict__.setdefault("tokenizers", {})
-    if path not in held:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        held[path] = (Tokenizer.from_file(path), {})
-    return held[path]
+#: Bytes of words and their ids that a task keeps.
+CACHED = 32 << 20
+ENTRY = 200
+TOGETHER = 64
+#: ASCII marks but the apostrophe between an ASCII letter or digit and white space: the tokenizer always splits before them.
+MARKED = r"([A-Za-z0-9])([!-&(-/:-@\[-`{-~]+)([\x20\x09-\x0D]|$)"
 
 
 class Words:
-    """Ids of words, each distinct word encoded once per worker.
+    """Ids of words; a task encodes a frequent word once.
 
-    White space is dropped by the tokenizer and never joins ids, so a text's ids are those of its words in turn.
+    White space is dropped by the tokenizer and never joins ids, so a text's ids are those of its words in turn. Known
+    words stand in two halves of ``most / 2`` bytes: when the young one is full it becomes the old one, and words of the old
+    one that come again move to the young one. Everything goes when the task ends.
     """
 
-    def __init__(self, path: str):
-        self.tokenizer, self.cache = _worker(path)
-
-    def _encode(self, parts: list[str]) -> None:
-        if len(self.cache) + len(parts) > CACHED:
-            self.cache.clear()
-        for part, got in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            self.cache[part] = np.array(got.ids, "<u4").tobytes()
-
-    def ids(self, words: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each word."""
-        cache, missing, cut = self.cache, {}, {}
-        for w in words:
-            if w not in cache:
-                m = None if "<|" in w else MARKED.fullmatch(w)
-                if m:
-                    cut[w] = m.groups()
-                    for p in m.groups():
-                        if p not in cache:
-                            missing[p] = None
-                else:
-                    missing[w] = None
-        own = {}
-        if missing:
-            parts = list(missing)
-            for i in range(0, len(parts), 50_000):
-                self._encode(parts[i : i + 50_000])
-                own.update({p: cache[p] for p in parts[i : i + 50_000]})
-        get = cache.get
-        out = []
-        for w in words:
-            got = own.get(w) or get(w)
+    def __init__(self, path: str, most: int = CACHED):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.half = Tokenizer.from_file(path), most // 2
+        special = sorted((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and t.content.startswith("<|"))
+        self.between = (f" {special[0][1]} ", special[0][0]) if special else None
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def _keep(self, word: str, ids: bytes) -> None:
+        if self.size > self.half:
+            self.young, self.old, self.size = {}, self.young, 0
+        self.young[word] = ids
+        self.size += ENTRY + len(word) + len(ids)
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each word; plain words are encoded many at a time, with a special token between them."""
+        if self.between is None or any("<|" in w for w in words):
+            return [np.array(got.ids, "<u4").tobytes() for got in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        text, mark = self.between
+        lines = [text.join([*words[a : a + TOGETHER], ""]) for a in range(0, len(words), TOGETHER)]
+        ids = np.concatenate([np.array(got.ids, "<u4") for got in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)])
+        ends = np.flatnonzero(ids == mark)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *(4 * ends[:-1] + 4).tolist()], (4 * ends).tolist(), strict=True)]
+
+    def ids(self, words: list[str], step: int = 10_000) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each (distinct) word."""
+        out, fresh = list(map(self.young.get, words)), []
+        for i, got in enumerate(out):
             if got is None:
-                if w in cut:
-                    a, b = cut[w]
-                    got = self._one(own, a) + self._one(own, b)
+                got = self.old.get(words[i])
+                if got is None:
+                    fresh.append(i)
                 else:
-                    got = self._one(own, w)
-            out.append(got)
+                    out[i] = got
+                    self._keep(words[i], got)
+        for a in range(0, len(fresh), step):
+            some = fresh[a : a + step]
+            for i, got in zip(some, self._encode([words[i] for i in some]), strict=True):
+                out[i] = got
+                self._keep(words[i], got)
         return out
 
-    def _one(self, own: dict, part: str) -> bytes:
-        got = own.get(part)
-        if got is None:
-            got = self.cache.get(part)
-        if got is None:  # dropped when the cache was emptied
-            self._encode([part])
-            got = self.cache[part]
-        return got
-
 
 def token_ids(texts: pa.Array, words: Words) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a batch of texts, each text ending in ``END``, and the offsets of the texts in them."""
     plain = not pc.any(pc.match_substring(pc.fill_null(texts, ""), "<|")).as_py()
+    if plain:  # fewer distinct words
+        texts = pc.replace_substring_regex(texts, MARKED, r"\1 \2\3")
     flat, offsets = split(texts, lower=plain)  # the tokenizer lower-cases; special strings must stay as they are
     coded = flat.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -123,7 +111,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, length: int = 4096, with_i
 
     def cut(batches):
         words, row = Words(tokenizer), 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 4 << 20):
             ids, bounds = token_ids(batch.column("text"), words)
             docs_, starts, lengths, sums, totals, copies, raw = [], [], [], [], [], [], []
             for doc, a, b in zip(batch.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):

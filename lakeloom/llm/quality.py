@@ -119,10 +119,10 @@ def _counts(docs: DataFrame, ids: np.ndarray, good: np.ndarray, bits: int) -> di
             at, owner = grams(batch.column("text"), bits)
             names = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
             valid = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-            np.add(sums["raw"], np.bincount(at.ravel(), minlength=size), out=sums["raw"], casting="unsafe")
+            np.add.at(sums["raw"], at.ravel(), 1)
             for part, some in (("target", wanted), ("rejected", others)):
                 known = np.isin(names, some) & valid
-                np.add(sums[part], np.bincount(at[:, known[owner]].ravel(), minlength=size), out=sums[part], casting="unsafe")
+                np.add.at(sums[part], at[:, known[owner]].ravel(), 1)
         starts = np.arange(0, size, width)
         packed = [pa.array([zlib.compress(sums[p][s : s + width].tobytes(), 1) for s in starts], pa.binary()) for p in PARTS]
         yield pa.RecordBatch.from_arrays([pa.array(starts // width), *packed], names=["segment", *PARTS])

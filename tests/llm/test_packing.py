@@ -29,15 +29,21 @@ def test_ids_are_the_tokenizers(texts):
     assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [plain(t) for t in texts]
 
 
-def test_cache_may_overflow(monkeypatch):
-    monkeypatch.setattr(packing, "CACHED", 5)
-    words = packing.Words(PATH)
-    words.cache.clear()
+def test_cache_may_overflow():
+    words = packing.Words(PATH, 5)
     text = " ".join(f"w{i}!? v{i}" for i in range(300))
     ids, _ = packing.token_ids(pa.array([text, text]), words)
     assert ids.tolist() == plain(text) * 2
 
 
+def test_cache_is_bounded():
+    words = packing.Words(PATH, 40_000)
+    for i in range(0, 3_000, 100):
+        names = [f"v{j}" for j in range(i, i + 100)]
+        assert words.ids(names) == words.ids(names)
+    assert len(words.young) + len(words.old) <= 40_000 // packing.ENTRY + 200
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 16), max_size=40))
 def test_first_fit_decreasing(lengths):

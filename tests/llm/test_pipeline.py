@@ -56,6 +56,15 @@ def test_empty(spark):
         assert stage(spark, docs, "").collect() == [], name
 
 
+def test_names_of_own_columns(spark):
+    extra = ["gone", "_gone", "key", "_id", "copies", "_copies", "copy", "Copy_", "share", "log_weight", "sort_key", "component_id", "size", "row"]
+    rows = [(i, f"word{i} and some more words {i % 3} here", "en", "s", 9, *range(len(extra))) for i in range(12)]
+    docs = spark.createDataFrame(rows + rows[:2], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in extra))
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        got = stage(spark, docs, "")
+        assert got.count() and (name == "packing" or got.columns == docs.columns), name
+
+
 @needs_tables
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
