@@ -12,23 +12,34 @@ from lakeloom.session import materialize
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that importance resampling keeps; the others go."""
+    """Documents that importance resampling keeps; the others go. Null texts are empty and rows that repeat an id share their
+    noise; an empty table gives no rows; other columns stay as they are."""
     small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return quality.resample(docs, labels)[0]
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id; rows that repeat an id stay or go together, rows
     without an id stay."""
     small_batches(spark)
     found = jaccard.jaccard_components(docs)
-    gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    key = _free(docs, "gone")
+    gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct(), "near-copies")
+    return docs.join(gone, F.col("doc_id") == F.col(key), "left_anti")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by its kind; ``n_chars`` follows the new text."""
+    """Personal data replaced by its kind; ``n_chars`` follows the new text. Null texts stay null, every row and column
+    stays, an empty table gives no rows."""
     small_batches(spark)
     return pii.masked(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
@@ -37,14 +48,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes its words, to the nearest whole number; documents whose words the
     mixture doesn't take go, and so do those without words. Rows that repeat an id share what they give."""
     small_batches(spark)
-    taken = mixing.mix(mixing.sized(docs))[1].groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("_share"))
-    copies = taken.select(F.col("doc_id").alias("_id"), F.round("_share").cast("int").alias("_copies")).where("_copies > 0")
-    rows = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    key, copies, copy = (_free(docs, name) for name in ("key", "copies", "copy"))
+    share = mixing.mix(mixing.sized(docs))[1].groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("share"))
+    taken = share.select(F.col("doc_id").alias(key), F.round("share").cast("int").alias(copies)).where(F.col(copies) > 0)
+    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(key)))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 4096 ids."""
+    """Pieces of all documents in sequences of 4096 ids. Null texts are empty, repeated rows are packed each, columns other
+    than ``doc_id`` and ``text`` don't matter, an empty table gives no rows."""
     small_batches(spark)
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json")).drop("copy")
 
