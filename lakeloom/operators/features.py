@@ -1,8 +1,9 @@
 """Group features with exact quantiles, modes and distinct counts that survive hot groups.
 
 Quantile, mode and distinct-set buffers of one group live in one task. Groups up to ``HOT_ROWS`` rows take
-that fast path in a single aggregation. Larger groups are counted by (group, value) first and their
-measures are read off the counts, so no task ever holds such a group.
+that fast path in a single aggregation. Quantiles of larger groups are selected in two passes: a mergeable sketch brackets
+each rank, then rows are counted between the brackets and only values inside them are told apart. Modes and distinct
+counts come from counts by (group, value). So no task ever holds such a group.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ HOT_ROWS = 500_000
 Measure = tuple[str, str]  # (kind, column); kind: nunique, sum, median, q1, q3, mode
 _SHARES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 _KINDS = {"nunique", "sum", "mode", *_SHARES}
+_ACCURACY = 10_000
 
 
 def group_features(
@@ -36,7 +38,7 @@ def group_features(
     df = df.select(*dict.fromkeys([key, *(c for _, c in measures.values())]))
     cool, hot = split_hot(df, [key], hot_rows)
     out = _compact(cool, key, measures)
-    return out if hot is None else out.unionByName(_spread(hot, key, measures, rows_per_cut))
+    return out if hot is None else out.unionByName(_spread(hot, key, measures, hot_rows, rows_per_cut))
 
 
 def _compact(df: DataFrame, key: str, measures: Mapping[str, Measure]) -> DataFrame:
@@ -86,26 +88,52 @@ def _slots(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return _VALUE_TYPES | {f"d{d.precision}_{d.scale}": d.simpleString() for d in decimals}
 
 
-def _spread(df: DataFrame, key: str, measures: Mapping[str, Measure], rows_per_cut: int) -> DataFrame:
-    """The same measures from value counts, for groups too large for one task.
+def _brackets(df: DataFrame, columns: Sequence[str], hot_rows: int) -> list[Column]:
+    """Per column a sketch's values a little below and above each share, by its error and two rows of a hot group."""
+    slack = 3 / _ACCURACY + 2 / max(hot_rows, 1)
+    at = [F.lit(x) for s in _SHARES.values() for x in (max(0.0, s - slack), min(1.0, s + slack))]
+    return [F.percentile_approx(F.col(c).cast("double"), F.array(*at), F.lit(_ACCURACY)).alias(f"__b_{c}") for c in columns]
 
-    All columns are counted in one pass as rows (key, column, value, count).
+
+def _zone(v: Column, brackets: Column) -> tuple[Column, Column]:
+    """How many bracket ends a value has passed (rises with the value), and the value itself if it is inside a bracket."""
+    pairs = [(brackets[2 * i], brackets[2 * i + 1]) for i in range(len(_SHARES))]
+    passed, inside = F.lit(0), F.lit(False)
+    for lo, hi in pairs:
+        passed = passed + (v >= lo).cast("int") + (v > hi).cast("int")
+        inside = inside | ((v >= lo) & (v <= hi))
+    return F.when(v.isNotNull(), passed), F.when(inside, v)
+
+
+def _spread(df: DataFrame, key: str, measures: Mapping[str, Measure], hot_rows: int, rows_per_cut: int, bracketed: bool = True) -> DataFrame:
+    """The same measures for groups too large for one task: one pass for sums and brackets, one for counts.
+
+    All columns are counted in the second pass as rows (key, column, zone, value, count). A bracket that misses its rank,
+    as a sketch might, is noticed, and the quantiles are then read off the counts of all values.
     """
+    kinds = {c: {k for k, d in measures.values() if d == c} for _, c in measures.values()}
+    narrow = [c for c, k in kinds.items() if bracketed and k & set(_SHARES) and not k - set(_SHARES) - {"sum"}]
+    counted = [c for c, k in kinds.items() if k - {"sum"}]
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, (k, c) in measures.items() if k == "sum"]
-    out = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), *sums)
-    counted = dict.fromkeys(c for k, c in measures.values() if k != "sum")
+    out = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), *sums, *_brackets(df, narrow, hot_rows))
     if not counted:
         return out.select(key, *measures)
+    out = materialize(out, "hot-groups") if narrow else out
 
-    types = _slots(df, list(counted))
+    types = _slots(df, counted)
 
     def row(c: str) -> Column:
-        slot = _slot(df, c)
-        values = [(F.col(c) if s == slot else F.lit(None)).cast(t).alias(s) for s, t in types.items()]
-        return F.struct(F.lit(c).alias("__m"), *values)
-
+        slot, zone, value = _slot(df, c), F.lit(0), F.col(c)
+        if c in narrow:
+            slot, (zone, value) = "x", _zone(F.col(c).cast("double"), F.col(f"__b_{c}"))
+        values = [(value if s == slot else F.lit(None)).cast(t).alias(s) for s, t in types.items()]
+        return F.struct(F.lit(c).alias("__m"), zone.alias("__z"), *values)
+
+    if narrow:  # one row per hot group, at most rows / hot_rows
+        ends = out.select(F.col(key).alias("__key"), *[f"__b_{c}" for c in narrow])
+        df = df.join(F.broadcast(ends), F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
     long = df.select(F.col(key).alias("__key"), F.inline(F.array(*[row(c) for c in counted])))
-    counts = materialize(long.groupBy("__key", "__m", *types).agg(F.count(F.lit(1)).alias("__c")), "value-counts")
+    counts = materialize(long.groupBy("__key", "__m", "__z", *types).agg(F.count(F.lit(1)).alias("__c")), "value-counts")
 
     aggs: list[Column] = []
     for name, (kind, c) in measures.items():
@@ -120,10 +148,16 @@ def _spread(df: DataFrame, key: str, measures: Mapping[str, Measure], rows_per_c
     if aggs:
         out = _left_on_key(out, counts.groupBy("__key").agg(*aggs), key)
 
-    numbers = list(dict.fromkeys(c for k, c in measures.values() if k in _SHARES))
+    numbers = [c for c, k in kinds.items() if k & set(_SHARES)]
     if numbers:
         rows = counts.filter(F.col("__m").isin(numbers)).withColumn("__v", F.coalesce(*[F.col(s).cast("double") for s in types if s != "s"]))
-        found = exact_quantiles(rows, ["__key", "__m"], "__v", "__c", _SHARES, rows_per_cut)
+        known = rows.filter(F.col("__z").isNotNull() & (F.col("__m").isin(narrow) | F.col("__v").isNotNull()))
+        found = exact_quantiles(known, ["__key", "__m"], "__v", "__c", _SHARES, rows_per_cut, zone="__z")
+        if narrow:
+            found = materialize(found, "hot-quantiles")
+            missed = F.greatest(*[F.col(s).isNull() for s in _SHARES])
+            if found.filter(missed).limit(1).count():
+                return _spread(df.drop(*[f"__b_{c}" for c in narrow]), key, measures, hot_rows, rows_per_cut, False)
         wide = found.groupBy("__key").agg(
             *[
                 F.max(F.when(F.col("__m") == c, F.col(kind))).alias(n)
@@ -142,19 +176,26 @@ def exact_quantiles(
     count: str,
     shares: Mapping[str, float],
     rows_per_cut: int = ROWS_PER_CUT,
+    zone: str | None = None,
 ) -> DataFrame:
-    """Linearly interpolated quantiles per key from rows of distinct values and their counts."""
+    """Linearly interpolated quantiles per key from rows of distinct values and their counts.
+
+    With ``zone``, a number that rises with the value, values may be missing in zones where no quantile is wanted; a
+    quantile that falls into such a zone is null.
+    """
     keys = list(keys)
-    known = counts.filter(F.col(value).isNotNull()).select(*keys, value, count)
-    upto = running(known, keys, [value], F.col(value), {"__upto": F.col(count)}, rows_per_cut=rows_per_cut)
+    order = [value] if zone is None else [zone, value]
+    known = (counts if zone else counts.filter(F.col(value).isNotNull())).select(*keys, *order, count)
+    upto = running(known, keys, order, None, {"__upto": F.col(count)}, rows_per_cut=rows_per_cut)
+    place = F.struct(*order)
     totals = known.groupBy(*keys).agg(F.sum(count).alias("__total"))
     placed = upto.join(totals.withColumnsRenamed({k: "__t_" + k for k in keys}), same_keys(keys, "__t_"), "left")
     aggs: list[Column] = []
     for n, s in shares.items():
         at = F.lit(s) * (F.col("__total") - 1)
         aggs += [
-            F.min(F.when(F.col("__upto") > F.floor(at), F.col(value))).alias(f"__lo_{n}"),
-            F.min(F.when(F.col("__upto") > F.ceil(at), F.col(value))).alias(f"__hi_{n}"),
+            F.min(F.when(F.col("__upto") > F.floor(at), place))[value].alias(f"__lo_{n}"),
+            F.min(F.when(F.col("__upto") > F.ceil(at), place))[value].alias(f"__hi_{n}"),
             F.max(at - F.floor(at)).alias(f"__w_{n}"),
         ]
 

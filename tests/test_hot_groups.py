@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom.operators import features
 from lakeloom.operators import ordering as O
 from lakeloom.operators.evaluation import pr_curve, roc_auc, roc_curve
 from lakeloom.operators.features import group_features
@@ -124,3 +125,27 @@ def test_assembly_of_a_hot_device(spark):
                 record = [0.0] * 4
     for cut in (10_000, 50):
         assert got(assemble_batch(df, "d", ["i"], F.col("i"), "tag", "v", "at", rows_per_cut=cut)) == sorted(want, key=str)
+
+
+NUMBERS = {"mid": ("median", "v"), "lo": ("q1", "v"), "hi": ("q3", "v"), "mid_pos": ("median", "pos"), "ids": ("sum", "id")}
+
+
+@pytest.mark.parametrize("hot_rows,rows_per_cut", [(600, 10_000), (600, 20), (0, 37)])
+def test_quantiles_selected_between_brackets(table, hot_rows, rows_per_cut):
+    plain, spread = group_features(table, "k", NUMBERS), group_features(table, "k", NUMBERS, hot_rows=hot_rows, rows_per_cut=rows_per_cut)
+    for a, b in zip(got(plain), got(spread)):
+        assert a == pytest.approx(b, nan_ok=True)
+
+
+@pytest.mark.parametrize("ends", [[0.0] * 6, [1e9] * 6, [-1e9, -1e9, 1e9, 1e9, 1e9, 1e9]])
+def test_brackets_that_miss(table, monkeypatch, ends):
+    monkeypatch.setattr(features, "_brackets", lambda df, columns, hot: [F.max(F.array(*[F.lit(e) for e in ends])).alias(f"__b_{c}") for c in columns])
+    for a, b in zip(got(group_features(table, "k", NUMBERS)), got(group_features(table, "k", NUMBERS, hot_rows=600))):
+        assert a == pytest.approx(b, nan_ok=True)
+
+
+def test_few_values_reach_the_sort(spark):
+    df = spark.range(200_000).selectExpr("id % 2 as k", "cast(hash(id) as double) as v")
+    ends = df.groupBy("k").agg(*features._brackets(df, ["v"], 100_000))
+    inside = df.join(ends, "k").filter(features._zone(F.col("v"), F.col("__b_v"))[1].isNotNull()).count()
+    assert inside < 200_000 * 3 * 4 * 3 / 10_000
