@@ -11,6 +11,8 @@ from lakeloom.operators.quality import Expectation, Suite
 from lakeloom.plans.registry import Tables, near, near_sql, query
 from lakeloom.session import scratch_path
 from lakeloom.streaming import messages as S
+from lakeloom.streaming.learning import model_after, update_each_batch
+from lakeloom.streaming.state import assemble_keyed, keyed_state
 
 # event types play the sensor tags; errors are a tag nobody knows
 TAG_OF = {"view": S.TAGS[0], "click": S.TAGS[1], "signup": S.TAGS[2], "purchase": S.TAGS[3], "error": "Iris.Color"}
@@ -78,24 +80,36 @@ def stream_items(t: Tables) -> DataFrame:
     return drain(items, t.spark, "items")
 
 
+def in_drops(t: Tables, drops: int) -> list[str]:
+    """The events in folders, one per drop in time order, written in one pass. Each path names the folders up to one drop, so
+    that a stream that goes on from a checkpoint finds one drop more; empty drops have none."""
+    at = seconds_of("ts")
+    span = t.events.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
+    if span["lo"] is None:
+        return []
+    share = F.coalesce(F.try_divide((at - span["lo"]) * drops, F.lit(float(span["hi"] - span["lo"]))), F.lit(0.0))
+    drop = F.least(F.floor(share), F.lit(drops - 1)).cast("int")
+    folder = scratch_path(t.spark, "events")
+    t.events.withColumn("drop", F.coalesce(drop, F.lit(0))).write.partitionBy("drop").parquet(folder)
+    found = t.spark.read.parquet(folder).select("drop").distinct().collect()  # at most ``drops`` numbers
+    numbers = [str(i) for i in sorted(r["drop"] for r in found)]
+    return [f"{folder}/drop={{{','.join(numbers[: i + 1])}}}" for i in range(len(numbers))]
+
+
 def assembled_drops(t: Tables, drops: int) -> DataFrame:
     """Records assembled from micro-batches that split a hot device and hand on the open records.
 
     Assembly follows the order of arrival, as messages do, and a table's files are in no order of time. So the events
-    arrive as ``drops`` drops in time order, each with as many files as it needs; no item is ever late.
+    arrive as ``drops`` drops in time order, each with as many files as it needs; no item is ever late. Each drop is a run of
+    its own that goes on from the checkpoint of the one before.
     """
-    source, out, state, log = (scratch_path(t.spark, n) for n in ("events", "records", "open", "log"))
-    at = seconds_of("ts")
-    span = t.events.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
-    if span["lo"] is None:
+    out, state, log = (scratch_path(t.spark, n) for n in ("records", "open", "log"))
+    folders = in_drops(t, drops)
+    if not folders:
         return t.events.select("user_id", *[F.lit(0.0).alias(f) for f in S.FIELDS], F.lit("").alias("time")).limit(0)
-    share = F.coalesce(F.try_divide((at - span["lo"]) * drops, F.lit(float(span["hi"] - span["lo"]))), F.lit(0.0))
-    drop = F.least(F.floor(share), F.lit(drops - 1))
-    t.events.limit(0).write.parquet(source)
-    stream = t.spark.readStream.schema(t.events.schema).parquet(source)
-    step = S.assemble_each_batch(out, state, "user_id", ORDER, at, "tag", "value", "time")
-    for i in range(drops):
-        t.events.filter(drop == i).write.mode("append").parquet(source)
+    step = S.assemble_each_batch(out, state, "user_id", ORDER, seconds_of("ts"), "tag", "value", "time")
+    for folder in folders:
+        stream = t.spark.readStream.schema(t.events.schema).parquet(folder)
         running = (
             as_items(stream).writeStream.foreachBatch(step).option("checkpointLocation", log)
             .trigger(availableNow=True).start()
@@ -164,3 +178,53 @@ def stream_quality(t: Tables) -> DataFrame:
     )
     running.awaitTermination()
     return t.spark.read.parquet(out).groupBy("expectation").agg(F.min("success").alias("success"), F.sum("observed").alias("observed"))
+
+
+@query("stream_keyed_state", f"""
+WITH {ASSEMBLE_SQL}, e AS (SELECT user_id, record, list(event_id ORDER BY ts, event_id) AS events FROM k GROUP BY ALL),
+r AS (SELECT user_id, record, max(strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')) FILTER (WHERE event_type = 'purchase') AS time FROM k GROUP BY ALL)
+SELECT c.user_id, sepal_length, sepal_width, petal_length, petal_width, c.time, array_to_string(e.events, ',') AS events
+FROM complete c JOIN r ON r.user_id = c.user_id AND r.time = c.time JOIN e ON e.user_id = r.user_id AND e.record = r.record""")
+def stream_keyed_state(t: Tables) -> DataFrame:
+    """Records and the events behind them from state per device, over four triggers with a restart before each."""
+    out, log = scratch_path(t.spark, "keyed"), scratch_path(t.spark, "keyed-log")
+    empty = t.events.select("user_id", *[F.lit(0.0).alias(f) for f in S.FIELDS], F.lit("").alias("time"), F.lit("").alias("events")).limit(0)
+    with keyed_state(t.spark):
+        for folder in in_drops(t, 4):
+            items = as_items(t.spark.readStream.schema(t.events.schema).parquet(folder))
+            records = assemble_keyed(items, "user_id", ORDER, "event_id", "ts", "tag", "value", "time")
+            running = (
+                records.writeStream.format("parquet").outputMode("append").option("checkpointLocation", log)
+                .trigger(availableNow=True).start(out)
+            )
+            running.awaitTermination()
+            empty = t.spark.read.schema(records.schema).parquet(out).withColumn("events", F.array_join("events", ","))
+    return empty
+
+
+_LINEAR = """
+WITH r AS (SELECT event_type, CAST(json_extract(props, '$.k') AS DOUBLE) AS k, CAST(hour(ts) AS DOUBLE) AS hour, value AS y FROM events WHERE user_id IS NOT NULL),
+c AS (
+  SELECT event_type, count(*) AS n, avg(k) AS mk, avg(hour) AS mh, avg(y) AS my, var_pop(k) AS kk, var_pop(hour) AS hh, covar_pop(k, hour) AS kh,
+    covar_pop(k, y) AS ky, covar_pop(hour, y) AS hy, var_pop(y) AS yy FROM r WHERE k IS NOT NULL AND y IS NOT NULL GROUP BY 1
+), w AS (SELECT *, (ky * hh - hy * kh) / (kk * hh - kh * kh) AS wk, (hy * kk - ky * kh) / (kk * hh - kh * kh) AS wh FROM c)"""
+
+
+@query("stream_model_update", f"""{_LINEAR}
+SELECT event_type, n, {near_sql("my - wk * mk - wh * mh", 4)} AS intercept, {near_sql("wk", 4)} AS k, {near_sql("wh", 4)} AS hour,
+  {near_sql("sqrt(yy - 2 * (wk * ky + wh * hy) + wk * wk * kk + 2 * wk * wh * kh + wh * wh * hh)", 4)} AS rmse FROM w""")
+def stream_model_update(t: Tables) -> DataFrame:
+    """A linear model per event type, updated after each of five micro-batches; the weights after the last one."""
+    sums, log = scratch_path(t.spark, "sums"), scratch_path(t.spark, "sums-log")
+    features = ["k", "hour"]
+    step = update_each_batch(sums, features, "value", ["event_type"])
+    folders = in_drops(t, 5)
+    for folder in folders:
+        rows = t.spark.readStream.schema(t.events.schema).parquet(folder).where("user_id is not null")
+        rows = rows.select("event_type", F.get_json_object("props", "$.k").try_cast("double").alias("k"), F.hour("ts").cast("double").alias("hour"), "value")
+        running = rows.writeStream.foreachBatch(step).option("checkpointLocation", log).trigger(availableNow=True).start()
+        running.awaitTermination()
+    if not folders:
+        step(t.events.select("event_type", F.lit(0.0).alias("k"), F.lit(0.0).alias("hour"), "value").limit(0), 0)
+    model = model_after(t.spark, sums, features, ["event_type"])
+    return model.select("event_type", "n", *[near(c, 4).alias(c) for c in ("intercept", *features, "rmse")])
