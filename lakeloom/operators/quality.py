@@ -107,6 +107,28 @@ def validate(df: DataFrame, *suites: Suite) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
+def fault(df: DataFrame, e: Expectation) -> tuple[Column, Column] | None:
+    """When a row fails an expectation about single values, and which rows it looks at; None for other expectations."""
+    k, name = e.kwargs, str(e.kwargs.get("column", ""))
+    c = F.col(f"`{name}`") if name else None
+    if e.kind == "column_values_to_not_be_null":
+        return c.isNull(), F.lit(True)
+    if e.kind == "column_values_to_be_between":
+        bad = F.lit(False)
+        if k.get("min_value") is not None:
+            bad = bad | (c < F.lit(k["min_value"]))
+        if k.get("max_value") is not None:
+            bad = bad | (c > F.lit(k["max_value"]))
+        return bad, c.isNotNull()
+    if e.kind in ("column_values_to_be_in_set", "column_distinct_values_to_be_in_set"):
+        return ~c.isin(_like(df, name, k["value_set"])), c.isNotNull()
+    if e.kind == "column_values_to_not_be_in_set":
+        return c.isin(_like(df, name, k["value_set"])), c.isNotNull()
+    if e.kind == "column_values_to_match_regex":
+        return ~c.rlike(str(k["regex"])), c.isNotNull()
+    return None
+
+
 def _row(df: DataFrame, suite: Suite, e: Expectation, measure: Callable[[Column], Column]) -> Column:
     k = e.kwargs
     name = str(k.get("column", ""))
@@ -141,21 +163,9 @@ def _row(df: DataFrame, suite: Suite, e: Expectation, measure: Callable[[Column]
         return bounded(total)
     if kind == "table_row_count_to_equal":
         return _result(suite, e, name, total == F.lit(k["value"]), total)
-    if kind == "column_values_to_not_be_null":
-        return per_value(c.isNull(), F.lit(True))
-    if kind == "column_values_to_be_between":
-        bad = F.lit(False)
-        if k.get("min_value") is not None:
-            bad = bad | (c < F.lit(k["min_value"]))
-        if k.get("max_value") is not None:
-            bad = bad | (c > F.lit(k["max_value"]))
-        return per_value(bad, c.isNotNull())
-    if kind in ("column_values_to_be_in_set", "column_distinct_values_to_be_in_set"):
-        return per_value(~c.isin(_like(df, name, k["value_set"])), c.isNotNull())
-    if kind == "column_values_to_not_be_in_set":
-        return per_value(c.isin(_like(df, name, k["value_set"])), c.isNotNull())
-    if kind == "column_values_to_match_regex":
-        return per_value(~c.rlike(str(k["regex"])), c.isNotNull())
+    single = fault(df, e)
+    if single is not None:
+        return per_value(*single)
     if kind == "column_distinct_values_to_equal_set":
         # no value list is gathered: strangers are counted, members are looked for one by one
         members = _like(df, name, k["value_set"])
