@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -86,43 +84,51 @@ def forecast_grid(
     df: DataFrame, keys: Mapping[str, str], month: str, value: str, steps: int, season: int = 12,
     grid: Sequence[tuple[float, float]] = tuple((a, g) for a in (0.1, 0.3, 0.5, 0.8) for g in (0.1, 0.3, 0.5, 0.8)),
 ) -> DataFrame:
-    """Additive seasonal smoothing per series; the grid point with the lowest one-step error forecasts.
-
-    One series is a short monthly vector (a few hundred points), so the many series spread over the tasks.
-    Returns keys, month, forecast, lower, upper (1.96 residual deviations) and the error of the best point.
+    """Additive seasonal smoothing per series; the grid point with the lowest one-step error (of equal ones the first)
+    forecasts.
+
+    The recurrence is a fold over the series in order of its months, with the level, the seasonal terms and the sum of
+    squared errors as its state; each grid point of a series is a row of its own. A series is a short monthly vector (a few
+    hundred points), so the many series spread over the tasks. Missing values count as the series' mean; a series without
+    known values has no forecast. Returns keys, month, forecast, lower, upper (1.96 residual deviations) and the error
+    (mean square) of the best point.
     """
     names = list(keys)
-    schema = ", ".join([f"`{n}` {t}" for n, t in keys.items()] + [f"`{month}` date", "forecast double", "lower double", "upper double", "error double"])
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(month)
-        y = pdf[value].to_numpy(dtype=float)
-        known = y[~np.isnan(y)]
-        if not len(known):
-            return pd.DataFrame(columns=[*names, month, "forecast", "lower", "upper", "error"])
-        y = np.where(np.isnan(y), known.mean(), y)
-        best = min((_smooth(y, a, g, season) for a, g in grid), key=lambda r: r[0])
-        error, level, seasonal = best
-        spread = 1.96 * np.sqrt(error)
-        future = pd.date_range(pd.Timestamp(pdf[month].iloc[-1]), periods=steps + 1, freq="MS")[1:]
-        mean = np.array([level + seasonal[(len(y) + i) % season] for i in range(steps)])
-        out = pd.DataFrame({month: future.date, "forecast": mean, "lower": mean - spread, "upper": mean + spread, "error": error})
-        for n in names:
-            out[n] = pdf[n].iloc[0]
-        return out[[*names, month, "forecast", "lower", "upper", "error"]]
-
-    return df.select(*names, month, value).groupBy(*names).applyInPandas(fit, schema)
-
-
-def _smooth(y: np.ndarray, alpha: float, gamma: float, season: int) -> tuple[float, float, np.ndarray]:
-    """One pass of additive smoothing: mean squared one-step error, last level, seasonal terms."""
-    level = float(y[:season].mean())
-    seasonal = np.zeros(season)
-    seasonal[: min(season, len(y))] = y[:season] - level
-    errors = []
-    for i in range(season, len(y)):
-        s = seasonal[i % season]
-        errors.append(y[i] - (level + s))
-        level = alpha * (y[i] - s) + (1 - alpha) * level
-        seasonal[i % season] = gamma * (y[i] - level) + (1 - gamma) * s
-    return (float(np.square(errors).mean()) if errors else 0.0, level, seasonal)
+    point = F.struct(F.col(month).cast("date").alias("m"), F.col(value).cast("double").alias("v"))
+    series = df.groupBy(*names).agg(F.array_sort(F.collect_list(point)).alias("__s"))
+    raw = F.transform("__s", lambda p: F.when(~F.isnan(p["v"]), p["v"]))
+    known = F.filter(raw, lambda v: v.isNotNull())
+    whole = series.select(*names, F.element_at("__s", -1)["m"].alias("__last"), raw.alias("__raw"), known.alias("__known")).where(F.size("__known") > 0)
+    mean = _total("__known") / F.size("__known")
+    ready = whole.withColumn("__mean", mean).select(*names, "__last", F.transform("__raw", lambda v: F.coalesce(v, F.col("__mean"))).alias("__y"))
+    ready = ready.withColumn("__level", _total(F.slice("__y", 1, season)) / F.least(F.size("__y"), F.lit(season)))
+    points = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(a)).alias("a"), F.lit(float(g)).alias("g")) for i, (a, g) in enumerate(grid)])
+    fitted = ready.withColumn("__g", F.explode(points)).withColumn("__f", _smoothed(season))
+    error = F.when(F.col("__f.n") > 0, F.col("__f.squares") / F.col("__f.n")).otherwise(F.lit(0.0))
+    best = fitted.groupBy(*names).agg(F.min(F.struct(error.alias("error"), F.col("__g.i").alias("i"), F.col("__f.level").alias("level"), F.col("__f.seasonal").alias("seasonal"), F.size("__y").alias("size"), F.col("__last").alias("last"))).alias("__b"))
+    ahead = best.select(*names, "__b.*", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("__k"))
+    forecast = F.col("level") + F.get("seasonal", (F.col("size") + F.col("__k") - 1) % season)
+    spread = F.lit(1.96) * F.sqrt("error")
+    return ahead.select(*names, F.add_months("last", F.col("__k")).alias(month), forecast.alias("forecast"), (forecast - spread).alias("lower"), (forecast + spread).alias("upper"), "error")
+
+
+def _total(values: Column | str) -> Column:
+    """Sum of an array from its first element on."""
+    return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+
+
+def _smoothed(season: int) -> Column:
+    """The fold of one series (``__y``, ``__level``) for one grid point (``__g``)."""
+    y, a, g = F.col("__y"), F.col("__g.a"), F.col("__g.g")
+    first = F.transform(F.sequence(F.lit(0), F.lit(season - 1)), lambda i: F.when(i < F.size(y), F.get(y, i) - F.col("__level")).otherwise(F.lit(0.0)))
+    start = F.struct(F.col("__level").alias("level"), first.alias("seasonal"), F.lit(0.0).alias("squares"), F.lit(0).alias("n"))
+    later = F.when(F.size(y) > season, F.sequence(F.lit(season), F.size(y) - 1)).otherwise(F.array().cast("array<int>"))
+
+    def step(state: Column, i: Column) -> Column:
+        s = F.get(state["seasonal"], i % season)
+        level = a * (F.get(y, i) - s) + (1 - a) * state["level"]
+        missed = F.get(y, i) - (state["level"] + s)
+        seasonal = F.transform(state["seasonal"], lambda old, j: F.when(j == i % season, g * (F.get(y, i) - level) + (1 - g) * s).otherwise(old))
+        return F.struct(level.alias("level"), seasonal.alias("seasonal"), (state["squares"] + missed * missed).alias("squares"), (state["n"] + 1).alias("n"))
+
+    return F.aggregate(later, start, step)

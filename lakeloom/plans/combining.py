@@ -44,13 +44,13 @@ def left_join_shared_key(t: Tables) -> DataFrame:
 
 
 @query("full_outer_join", """
-SELECT c_nationkey AS customer_nation, s_nationkey AS supplier_nation, customers, suppliers FROM
-  (SELECT c_nationkey, count(*) AS customers FROM customer WHERE c_nationkey < 20 GROUP BY 1) FULL JOIN
-  (SELECT s_nationkey, count(*) AS suppliers FROM supplier WHERE s_nationkey > 3 GROUP BY 1) ON c_nationkey = s_nationkey""")
+SELECT c_custkey AS customer, user_id AS visitor, c_mktsegment AS segment, visits FROM customer
+FULL JOIN (SELECT user_id, count(*) AS visits FROM events GROUP BY 1) ON c_custkey = user_id""")
 def full_outer_join(t: Tables) -> DataFrame:
-    a = t.customer.filter("c_nationkey < 20").groupBy(F.col("c_nationkey").alias("customer_nation")).agg(F.count(F.lit(1)).alias("customers"))
-    b = t.supplier.filter("s_nationkey > 3").groupBy(F.col("s_nationkey").alias("supplier_nation")).agg(F.count(F.lit(1)).alias("suppliers"))
-    return J.full_outer_join(a, b, "customer_nation", "supplier_nation")
+    """All customers and all visitors, matched or not."""
+    a = t.customer.select(F.col("c_custkey").alias("customer"), F.col("c_mktsegment").alias("segment"))
+    b = t.events.groupBy(F.col("user_id").alias("visitor")).agg(F.count(F.lit(1)).alias("visits"))
+    return J.full_outer_join(a, b, "customer", "visitor")
 
 
 @query("natural_inner_join", """

@@ -122,11 +122,11 @@ def product_table(products: DataFrame, keywords: DataFrame) -> DataFrame:
 
 @query("product_table", """
 SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS title, lower(p_brand || ';' || p_type || ';' || CAST(p_size AS VARCHAR)) AS product_description,
-       CASE WHEN p_size > 10 THEN replace(lower(p_name), ' ', ',') END AS keywords FROM part""")
+       replace(lower(p_name), ' ', ',') AS keywords FROM part""")
 def q_product_table(t: Tables) -> DataFrame:
     products = t.part.select(
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("desc_1"),
         F.concat("p_type", F.lit("\n")).alias("desc_2"), F.col("p_size").alias("desc_3"),
     )
-    words = t.part.filter("p_size > 10").select(F.col("p_partkey").alias("product_id"), F.translate("p_name", " ", ",").alias("keywords"))
+    words = t.part.select(F.col("p_partkey").alias("product_id"), F.translate("p_name", " ", ",").alias("keywords"))
     return product_table(products, words)

@@ -122,10 +122,32 @@ def seasonal_naive(t: Tables) -> DataFrame:
     return out.select("o_orderpriority", F.date_format("month", "yyyy-MM").alias("month"), near("forecast").alias("forecast"))
 
 
-@query("seasonal_forecast")
+GRID_SQL = ", ".join(f"({i}, {a}e0, {g}e0)" for i, (a, g) in enumerate((a, g) for a in (0.1, 0.3, 0.5, 0.8) for g in (0.1, 0.3, 0.5, 0.8)))
+
+
+@query("seasonal_forecast", f"""
+WITH RECURSIVE m AS (SELECT c_nationkey, date_trunc('month', o_orderdate) AS month, avg(o_totalprice) AS value FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+cal AS (SELECT c_nationkey, unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS month FROM m GROUP BY 1),
+f AS (SELECT c_nationkey, month, first_value(value IGNORE NULLS) OVER (PARTITION BY c_nationkey ORDER BY month ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS value
+      FROM cal LEFT JOIN m USING (c_nationkey, month)),
+y AS (SELECT c_nationkey, max(month) AS last, list(value ORDER BY month) AS y FROM f GROUP BY 1),
+l AS (SELECT *, list_sum(y[1:12]) / len(y[1:12]) AS level FROM y),
+g(grid, a, g) AS (VALUES {GRID_SQL}),
+r AS (
+  SELECT c_nationkey, grid, a, g, 12 AS i, level, list_transform(range(0, 12), lambda k: CASE WHEN k < len(y) THEN y[k + 1] - level ELSE 0e0 END) AS seasonal, 0e0 AS squares FROM l, g
+  UNION ALL
+  SELECT c_nationkey, grid, a, g, i + 1, next, list_transform(range(0, 12), lambda k: CASE WHEN k = i % 12 THEN g * (v - next) + (1 - g) * s ELSE seasonal[k + 1] END), squares + missed * missed
+  FROM (SELECT r.*, l.y[i + 1] AS v, seasonal[i % 12 + 1] AS s, a * (l.y[i + 1] - seasonal[i % 12 + 1]) + (1 - a) * r.level AS next, l.y[i + 1] - (r.level + seasonal[i % 12 + 1]) AS missed
+        FROM r JOIN l USING (c_nationkey) WHERE i < len(y))
+), e AS (SELECT r.*, len(y) AS n, last, CASE WHEN len(y) > 12 THEN squares / (len(y) - 12) ELSE 0e0 END AS error FROM r JOIN l USING (c_nationkey) WHERE i = greatest(len(y), 12)),
+b AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY error, grid) = 1)
+SELECT c_nationkey, strftime(last + to_months(CAST(k AS INTEGER)), '%Y-%m') AS month, {near_sql("level + seasonal[CAST((n + k - 1) % 12 AS INTEGER) + 1]", 3)} AS forecast,
+  {near_sql("level + seasonal[CAST((n + k - 1) % 12 AS INTEGER) + 1] - 1.96e0 * sqrt(error)", 3)} AS lower, {near_sql("sqrt(error)", 3)} AS deviation
+FROM b, (SELECT unnest(range(1, 201)) AS k)""")
 def seasonal_forecast(t: Tables) -> DataFrame:
     """Smoothed seasonal forecast with interval, 200 months ahead per customer nation."""
     orders = t.orders.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
     monthly = series.resample_month(orders, ["c_nationkey"], "o_orderdate", "o_totalprice")
     filled = series.backfill(monthly, ["c_nationkey"], "month", "value")
-    return near_all(series.forecast_grid(filled, {"c_nationkey": "int"}, "month", "value", 200))
+    out = series.forecast_grid(filled, {"c_nationkey": "int"}, "month", "value", 200)
+    return out.select("c_nationkey", F.date_format("month", "yyyy-MM").alias("month"), near("forecast", 3).alias("forecast"), near("lower", 3).alias("lower"), near(F.sqrt("error"), 3).alias("deviation"))

@@ -73,15 +73,15 @@ def scan_csv_delim(t: Tables) -> DataFrame:
 
 
 @query("scan_documents", """
-SELECT p_size AS folder, md5(string_agg(p_name || chr(10), '' ORDER BY p_partkey)) AS digest, CAST(count(*) AS BIGINT) AS n FROM part GROUP BY 1""")
+SELECT CAST(doc_id // 250 AS BIGINT) AS folder, md5(string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id)) AS digest, CAST(sum(length(coalesce(text, '')) + 1) AS BIGINT) AS n
+FROM documents GROUP BY 1""")
 def scan_documents(t: Tables) -> DataFrame:
-    """One text file per part size, read back whole: the path tells which it is, the digest that the text is the same."""
+    """Whole documents in bundles of 250 ids, read back: the path tells which bundle it is, the digest that the texts are the same."""
     root = scratch_path(t.spark, "documents")
-    lines = t.part.select("p_size", "p_partkey", F.col("p_name").alias("text")).repartition("p_size")
-    lines.sortWithinPartitions("p_size", "p_partkey").drop("p_partkey").write.partitionBy("p_size").text(root)
+    lines = t.documents.select(F.expr("doc_id div 250").alias("folder"), "doc_id", F.coalesce("text", F.lit("")).alias("text")).repartition("folder")
+    lines.sortWithinPartitions("folder", "doc_id").drop("doc_id").write.partitionBy("folder").text(root)
     return files.scan_documents(t.spark, root, ".txt").select(
-        F.regexp_extract("source", r"p_size=(\d+)", 1).cast("int").alias("folder"), F.md5("text").alias("digest"),
-        F.regexp_count("text", F.lit("\n")).cast("long").alias("n"),
+        F.regexp_extract("source", r"folder=(\d+)", 1).cast("long").alias("folder"), F.md5("text").alias("digest"), F.char_length("text").cast("long").alias("n"),
     )
 
 
@@ -133,18 +133,30 @@ def head_n(t: Tables) -> DataFrame:
     return catalog.table_head(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), [F.desc("o_totalprice"), "o_orderkey"], 10)
 
 
-@query("file_inventory_kinds", "SELECT '.parquet' AS kind, true AS every_table_there, (SELECT count(*) FROM region) > 0 AS any_rows")
+@query("file_inventory_kinds", """
+SELECT '.csv' AS kind, true AS files, true AS bytes, (SELECT count(*) FROM customer) AS rows
+UNION ALL SELECT '.parquet', true, true, (SELECT count(*) FROM orders)""")
 def file_inventory_kinds(t: Tables) -> DataFrame:
-    """The inventory of the data folder lists a file for every table."""
-    found = files.file_inventory(t.spark, t.folder, [".parquet"])
-    kind, count = found.columns[0], found.columns[1]
-    some = t.region.limit(1).count() > 0
-    return found.select(F.col(kind).alias("kind"), (F.col(count) >= 14).alias("every_table_there"), F.lit(some).alias("any_rows"))
-
-
-@query("file_inventory")
+    """The inventory of a folder with the customers as CSV and the orders as Parquet, beside the rows read from each."""
+    root = scratch_path(t.spark, "kinds")
+    files.save_csv(t.customer, f"{root}/customer", ";")
+    t.orders.write.parquet(f"{root}/orders")
+    found = files.file_inventory(t.spark, root, [".parquet", ".csv"])
+    kept = {".csv": files.scan_csv_text(t.spark, f"{root}/customer", t.customer.columns, ";").count(), ".parquet": t.spark.read.parquet(f"{root}/orders").count()}
+    rows = t.spark.createDataFrame(list(kept.items()), "kind string, rows long")
+    return found.join(rows, F.col("extension") == F.col("kind")).select("kind", (F.col("files") > 0).alias("files"), (F.col("bytes") > 0).alias("bytes"), "rows")
+
+
+@query("file_inventory", """
+SELECT o_orderstatus AS folder, count(*) AS rows, true AS files, true AS bytes FROM orders GROUP BY 1""")
 def file_inventory(t: Tables) -> DataFrame:
-    return files.file_inventory(t.spark, t.folder, [".parquet", ".csv"])
+    """Files, bytes and rows per folder of the orders, written by status."""
+    root = scratch_path(t.spark, "inventory")
+    t.orders.write.partitionBy("o_orderstatus").parquet(root)
+    listed = files.table_inventory(t.spark.read.parquet(root))
+    folder = F.regexp_extract("file", r"o_orderstatus=([^/]+)/", 1).alias("folder")
+    found = listed.groupBy(folder).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"), F.min("bytes").alias("bytes"))
+    return found.select("folder", "rows", (F.col("files") > 0).alias("files"), (F.col("bytes") > 0).alias("bytes"))
 
 
 @query("synthetic_uniform", f"""

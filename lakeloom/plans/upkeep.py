@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.functions.aggregates import exact_sum
+from lakeloom.operators.colocated import left_join_colocated, save_colocated
 from lakeloom.operators.gate import read_published, write_checked
 from lakeloom.operators.quality import Expectation, Suite
 from lakeloom.operators.sketches import distinct_from_sketches, store_sketches
 from lakeloom.plans.checking import expected, share_sql
 from lakeloom.plans.registry import Tables, near_all, query
-from lakeloom.session import scratch_path
+from lakeloom.session import materialize, scratch_path
 from lakeloom.sources.sync import read_copy, sync_partitions
 
 LINES = Suite("lines.critical", "critical", (
@@ -108,3 +110,24 @@ def backup_incremental(t: Tables) -> DataFrame:
         done = sync_partitions(table, path, parts)
         out.append((run, done["copied"], done["kept"], done["removed"], read_copy(t.spark, path, parts, rows).count()))
     return t.spark.createDataFrame(out, "run string, copied long, kept long, removed long, rows long")
+
+
+@query("left_join_colocated", """
+WITH s AS (SELECT l_orderkey, count(*) AS parts FROM lineitem GROUP BY 1)
+SELECT l_returnflag, o_orderstatus, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(28,4))) AS DOUBLE) AS total, CAST(sum(parts) AS BIGINT) AS parts
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN s USING (l_orderkey) GROUP BY 1, 2""")
+def q_left_join_colocated(t: Tables) -> DataFrame:
+    """Lines with their order and the order's number of lines, from tables bucketed by order; nothing stays in the catalog."""
+    root = scratch_path(t.spark, "buckets")
+    db = "lakeloom_" + root[-12:]
+    t.spark.sql(f"CREATE DATABASE {db} LOCATION '{root}/{db}'")
+    lines = t.lineitem.select("l_orderkey", "l_returnflag", "l_extendedprice")
+    facts = save_colocated(lines, f"{db}.lines", "l_orderkey", f"{root}/lines", 16)
+    orders = save_colocated(t.orders.select("o_orderkey", "o_orderstatus"), f"{db}.orders", "o_orderkey", f"{root}/orders", 16, None)
+    sizes = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("parts"))
+    sizes = save_colocated(sizes, f"{db}.sizes", "l_orderkey", f"{root}/sizes", 16, None)
+    joined = left_join_colocated(t.spark, facts, [orders, sizes])
+    found = joined.groupBy("l_returnflag", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"), exact_sum("l_extendedprice").alias("total"), F.sum("parts").alias("parts"))
+    found = materialize(found, "colocated")
+    t.spark.sql(f"DROP DATABASE {db} CASCADE")
+    return found

@@ -150,6 +150,12 @@ def file_inventory(spark: SparkSession, folder: str, extensions: Sequence[str] |
     )
 
 
+def table_inventory(df: DataFrame) -> DataFrame:
+    """Rows and bytes of each file that a table read from files takes rows from."""
+    meta = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+    return meta.groupBy("file", "bytes").agg(F.count(F.lit(1)).alias("rows"))
+
+
 # --- sinks -----------------------------------------------------------------------------------------------
 
 

@@ -1,3 +1,4 @@
+import random
 import datetime as dt
 
 import pytest
@@ -60,3 +61,36 @@ def test_forecast_grid_follows_a_clean_season(make):
     assert len(out) == 24 and out[0]["month"] == day(2021, 1)
     for i, r in enumerate(out):
         assert r["forecast"] == pytest.approx(100 + i % 12, abs=1e-6) and r["lower"] <= r["forecast"] <= r["upper"]
+
+
+def smoothed(y, alpha, gamma, season):
+    """One grid point step by step."""
+    level = sum(y[:season]) / len(y[:season])
+    terms = [v - level for v in y[:season]] + [0.0] * (season - len(y))
+    missed = []
+    for i in range(season, len(y)):
+        s = terms[i % season]
+        missed.append(y[i] - (level + s))
+        level = alpha * (y[i] - s) + (1 - alpha) * level
+        terms[i % season] = gamma * (y[i] - level) + (1 - gamma) * s
+    return (sum(m * m for m in missed) / len(missed) if missed else 0.0), level, terms
+
+
+def test_forecast_grid_is_the_recurrence(make):
+    rng = random.Random(8)
+    data = {"a": [rng.uniform(1, 9) for _ in range(31)], "b": [5.0, None, 7.0], None: [float(i % 4) for i in range(9)], "void": [None, float("nan")]}
+    months = [(k, dt.date(2020 + i // 12, i % 12 + 1, 1), v) for k, vs in data.items() for i, v in enumerate(vs)]
+    rng.shuffle(months)
+    grid = ((0.2, 0.4), (0.9, 0.1), (0.5, 0.5))
+    got = {}
+    for r in S.forecast_grid(make("k string, month date, value double", *months), {"k": "string"}, "month", "value", 7, season=4, grid=grid).collect():
+        got.setdefault(r["k"], []).append(r)
+    assert got.keys() == {"a", "b", None}
+    for k, rows in got.items():
+        known = [v for v in data[k] if v is not None]
+        y = [sum(known) / len(known) if v is None else v for v in data[k]]
+        error, level, terms = min((smoothed(y, a, g, 4) for a, g in grid), key=lambda r: r[0])
+        rows.sort(key=lambda r: r["month"])
+        assert [r["forecast"] for r in rows] == pytest.approx([level + terms[(len(y) + i) % 4] for i in range(7)])
+        assert rows[0]["error"] == pytest.approx(error) and rows[0]["upper"] - rows[0]["lower"] == pytest.approx(2 * 1.96 * error**0.5)
+        assert (rows[0]["month"].year * 12 + rows[0]["month"].month) - 2020 * 12 - 1 == len(y)
