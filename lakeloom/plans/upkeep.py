@@ -13,6 +13,8 @@ from lakeloom.operators.sketches import distinct_from_sketches, store_sketches
 from lakeloom.plans.checking import expected, share_sql
 from lakeloom.plans.registry import Tables, near_all, query
 from lakeloom.session import materialize, scratch_path
+from lakeloom.sources.files import monitoring_log
+from lakeloom.sources.prediction_log import COUNTS, append_to_log, read_log
 from lakeloom.sources.sync import read_copy, sync_partitions
 
 LINES = Suite("lines.critical", "critical", (
@@ -131,3 +133,33 @@ def q_left_join_colocated(t: Tables) -> DataFrame:
     found = materialize(found, "colocated")
     t.spark.sql(f"DROP DATABASE {db} CASCADE")
     return found
+
+
+_B = "CASE WHEN l_shipdate < DATE '1998-01-01' THEN 1 WHEN l_shipdate < DATE '2000-01-01' THEN 2 ELSE 3 END"
+
+
+@query("prediction_log", f"""
+WITH r AS (SELECT l_orderkey || '-' || l_linenumber AS k, {_B} AS b FROM lineitem),
+c AS (SELECT k, b, count(*) AS n FROM r GROUP BY 1, 2),
+g AS (SELECT b, k, n, n = 1 AND min(CASE WHEN n = 1 THEN b END) OVER (PARTITION BY k) < b AS known FROM c)
+SELECT 'b' || b AS batch, CAST(sum(CASE WHEN n = 1 AND NOT known THEN 1 ELSE 0 END) AS BIGINT) AS kept, CAST(0 AS BIGINT) AS no_key,
+       CAST(sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS BIGINT) AS repeated, CAST(sum(CASE WHEN known THEN 1 ELSE 0 END) AS BIGINT) AS known,
+       true AS few_suspects, CAST(sum(CASE WHEN n = 1 AND NOT known THEN 1 ELSE 0 END) AS BIGINT) AS keys_in_log FROM g GROUP BY b""")
+def prediction_log(t: Tables) -> DataFrame:
+    """Predictions of all lines appended in three batches by ship date: rows kept and rejected, and the distinct keys that the log
+    holds of each batch. Some 5 % of pairs of new key and batch may be looked up in vain."""
+    path = scratch_path(t.spark, "log")
+    lines = t.lineitem.withColumn("predicted", F.when(F.col("l_quantity") > 25, 1).otherwise(0))
+    lines = lines.withColumn("actual", F.when(F.col("l_returnflag") == "R", 1).otherwise(0))
+    day = F.col("l_shipdate")
+    cuts = {"b1": day < "1998-01-01", "b2": (day >= "1998-01-01") & (day < "2000-01-01"), "b3": day >= "2000-01-01"}
+    out, log = [], None
+    for i, (name, own) in enumerate(cuts.items()):
+        log = monitoring_log(lines.where(own), ["l_quantity", "l_discount"], "actual", "predicted", ["l_orderkey", "l_linenumber"], F.lit("train"))
+        log = log.drop("batch_id")
+        done = append_to_log(log, path, name)
+        new = done["kept"] + done["known"]
+        out.append((name, *[done[c] for c in COUNTS[:4]], done["suspects"] <= done["known"] + 0.05 * i * new))
+    counts = t.spark.createDataFrame(out, "batch string, kept long, no_key long, repeated long, known long, few_suspects boolean")
+    held = read_log(t.spark, path, log).groupBy("batch").agg(F.count_distinct("record_key").alias("keys_in_log"))
+    return counts.join(held, "batch")
