@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.operators import balls as B
 from lakeloom.operators import text as X
 from lakeloom.operators import vectors as V
 from lakeloom.operators.columns import explode_list
@@ -106,16 +107,26 @@ def retrieval_accuracy_all(t: Tables) -> DataFrame:
     return near_all(V.retrieval_accuracy(top, "vec_id", "truth"))
 
 
-@query("knn_all", f"""
+KNN_ALL_SQL = f"""
 WITH r AS (SELECT q.vec_id AS query_id, e.vec_id, list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS distance FROM embeddings e, embeddings q)
 SELECT query_id, vec_id, {near_sql('distance')} AS distance, CAST(rn AS INTEGER) AS rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rn FROM r) WHERE rn <= 4""")
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rn FROM r) WHERE rn <= 4"""
+
+
+@query("knn_all", KNN_ALL_SQL)
 def knn_all(t: Tables) -> DataFrame:
     """The four nearest vectors of every vector, in several blocks of queries."""
     queries = t.embeddings.select(F.col("vec_id").alias("query_id"), "embedding")
     return near_all(V.knn_l2(t.embeddings, queries, 4, "vec_id", "query_id", block=128))
 
 
+@query("knn_pruned", KNN_ALL_SQL)
+def knn_pruned(t: Tables) -> DataFrame:
+    """The same, from the cells of vectors that a query's bound can't rule out."""
+    queries = t.embeddings.select(F.col("vec_id").alias("query_id"), "embedding")
+    return near_all(B.knn_pruned(t.embeddings, queries, 4, "vec_id", "query_id"))
+
+
 @query("cosine_topk", f"""
 WITH {CENTROID_SQL},
 s AS (SELECT e.label, vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), q) AS similarity FROM embeddings e JOIN c ON e.label = c.label)
