@@ -20,7 +20,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.functions.scalars import as_col
+from lakeloom.functions.scalars import HASH_RANGE, as_col, stable_hash
+from lakeloom.session import materialize
 
 FEATURES = "features"
 
@@ -128,6 +129,77 @@ def trial_table(df: DataFrame, trials: Sequence[tuple[dict, PipelineModel, float
     )
 
 
+def train_boosted(
+    assembled: DataFrame, label: str, classes: Sequence[float], rate: float = 0.1, depth: int = 3, trees: int = 10, seed: int = 0
+) -> list:
+    """Boosted trees for any number of classes: one model per class against the rest, on a table with a features column."""
+    out = []
+    for c in classes:
+        own = assembled.select(FEATURES, F.when(F.col(label) == c, 1.0).otherwise(0.0).alias("own"))
+        out.append(GBTClassifier(featuresCol=FEATURES, labelCol="own", stepSize=rate, maxDepth=depth, maxIter=trees, seed=seed).fit(own))
+    return out
+
+
+def boosted_scores(models: Sequence, assembled: DataFrame, classes: Sequence[float]) -> DataFrame:
+    """``probability`` (array, one number per class, sum 1) and ``prediction`` (the likeliest class, the first among ties)."""
+    out = assembled
+    for i, model in enumerate(models):
+        model = model.copy().setProbabilityCol("__p").setRawPredictionCol("__r").setPredictionCol("__y")
+        out = model.transform(out).withColumn(f"__p{i}", vector_to_array("__p")[1]).drop("__p", "__r", "__y")
+    total = sum((F.col(f"__p{i}") for i in range(1, len(models))), F.col("__p0"))
+    out = out.withColumn("probability", F.array(*[F.col(f"__p{i}") / total for i in range(len(models))]))
+    best = F.array_position("probability", F.array_max("probability")).cast("int")
+    out = out.withColumn("prediction", F.element_at(F.array(*[F.lit(float(c)) for c in classes]), best))
+    return out.drop(*[f"__p{i}" for i in range(len(models))])
+
+
+def halving_sweep(
+    train: DataFrame, test: DataFrame, features: Sequence[str], label: str, key: Sequence[str], classes: Sequence[float],
+    rates: Sequence[float] = (0.1, 0.3), depths: Sequence[int] = (3,), eta: int = 2, trees: int = 10, seed: int = 0,
+) -> tuple[DataFrame, list, dict]:
+    """Successive halving of a grid of boosted trees: the trace of all trials, the best trial's models and its parameters.
+
+    Rung by rung, 1/``eta`` of the trials with the least log loss on the test part go on (ties to the earlier grid point), on
+    ``eta`` times as many rows; the last trial has all of them. A rung's rows are those whose hash of ``key`` is below its
+    share, so each sample holds the one before, on every run and cluster. Trace: trial, rung, learning_rate, max_depth,
+    rows, logloss, accuracy, survived. Rows whose features or label are null take no part.
+    """
+    grid = [{"learning_rate": float(r), "max_depth": int(d)} for r, d in product(rates, depths)]
+    if not grid or eta < 2 or not classes:
+        raise ValueError("a sweep needs grid points, classes and an eta of 2 or more")
+    steps = [len(grid)]
+    while steps[-1] > 1:
+        steps.append(-(-steps[-1] // eta))
+    stage, hashed = assemble(features), stable_hash(*key, seed=seed + 5)
+
+    def ready(df: DataFrame, *more: str) -> DataFrame:
+        rows = stage.transform(df.where(F.col(label).isNotNull()))
+        return materialize(rows.select(FEATURES, F.col(label).cast("double").alias(label), *more), "sweep")
+
+    fitted, held = ready(train.withColumn("__h", hashed), "__h"), ready(test)
+    alive, trace, best = list(range(len(grid))), [], None
+    for rung, _ in enumerate(steps):
+        share = HASH_RANGE // eta ** (len(steps) - 1 - rung)
+        rows = fitted if rung == len(steps) - 1 else materialize(fitted.where(F.col("__h") < share), "rung")
+        n, done = rows.count(), []
+        for trial in alive:
+            p = grid[trial]
+            models = train_boosted(rows, label, classes, p["learning_rate"], p["max_depth"], trees, seed)
+            scored = boosted_scores(models, held, classes)
+            own = F.element_at("probability", F.array_position(F.array(*[F.lit(float(c)) for c in classes]), F.col(label)).cast("int"))
+            loss = F.avg(-F.log(F.greatest(own, F.lit(1e-15))))
+            right = F.avg((F.col("prediction") == F.col(label)).cast("double"))
+            done.append((*scored.agg(loss.alias("loss"), right.alias("right")).first(), trial, models))
+        done.sort(key=lambda d: (d[0], d[2]))
+        alive = sorted(d[2] for d in done[:steps[rung + 1] if rung + 1 < len(steps) else 1])
+        best = done[0]
+        for loss, right, trial, _ in done:
+            p = grid[trial]
+            trace.append((trial, rung, p["learning_rate"], p["max_depth"], n, loss, right, trial in alive))
+    names = "trial int, rung int, learning_rate double, max_depth int, rows long, logloss double, accuracy double, survived boolean"
+    return train.sparkSession.createDataFrame(trace, names), best[3], grid[best[2]]
+
+
 class Reconstruction:
     """Linear reconstruction through ``k`` principal components of the normal class.
 

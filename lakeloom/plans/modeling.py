@@ -10,7 +10,7 @@ from lakeloom.operators import models as M
 from lakeloom.operators import scaling as Z
 from lakeloom.operators.anomaly import with_loss
 from lakeloom.operators.rows import split_random
-from lakeloom.plans.registry import Tables, near, near_all, near_sql, query, train_sql
+from lakeloom.plans.registry import Tables, hash_sql, near, near_all, near_sql, query, train_sql
 from lakeloom.session import scratch_path
 
 PRICE_SQL = "FROM customer, (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi, avg(c_acctbal) AS mean, stddev_samp(c_acctbal) AS ss, stddev_pop(c_acctbal) AS sp FROM customer)"
@@ -135,6 +135,33 @@ def sweep_trials(t: Tables) -> DataFrame:
     return M.trial_table(rows, trials)
 
 
+_KEY = ("l_orderkey", "l_partkey", "l_linenumber")
+
+
+def _rung_sql(rung: int, trials: int) -> str:
+    share = 2**48 // 2 ** (2 - rung)
+    return (
+        f"SELECT {rung} AS rung, CAST({trials} AS BIGINT) AS trials, CAST({max(1, trials // 2)} AS BIGINT) AS survivors, count(*) AS rows, "
+        f"true AS least_loss_goes_on, true AS accurate FROM lineitem WHERE {train_sql(*_KEY)} AND {hash_sql(*_KEY, seed=5)} < {share}"
+    )
+
+
+@query("sweep_halving", " UNION ALL ".join(_rung_sql(r, n) for r, n in enumerate((4, 2, 1))))
+def sweep_halving(t: Tables) -> DataFrame:
+    """Three classes told apart by two features: trials, survivors and rows of each rung of a grid of four; survivors have the
+    least loss of their rung, and the best trial of the last rung is right on nine of ten held-out lines."""
+    rows = returned_lines(t).withColumn("kind", F.when(F.col("l_quantity") < 0.5, 0.0).when(F.col("l_discount") < 0.5, 1.0).otherwise(2.0))
+    trace, _, _ = M.halving_sweep(
+        rows.filter("is_train"), rows.filter("NOT is_train"), LINE_FEATURES, "kind", _KEY, (0.0, 1.0, 2.0), rates=(0.1, 0.5), depths=(1, 3), trees=3
+    )
+    lost, won = F.min(F.when(~F.col("survived"), F.col("logloss"))), F.max(F.when(F.col("survived"), F.col("logloss")))
+    last = (F.col("rung") < 2) | F.coalesce(F.max(F.when(F.col("survived"), F.col("accuracy"))) > 0.9, F.lit(False))
+    return trace.groupBy("rung").agg(
+        F.count(F.lit(1)).alias("trials"), F.count_if("survived").alias("survivors"), F.max("rows").alias("rows"),
+        F.coalesce(won <= lost, F.lit(True)).alias("least_loss_goes_on"), last.alias("accurate"),
+    )
+
+
 @query("linear_fit", f"""
 SELECT {near_sql('regr_slope(l_extendedprice, l_quantity)')} AS slope, {near_sql('regr_intercept(l_extendedprice, l_quantity)')} AS intercept,
        {near_sql('regr_r2(l_extendedprice, l_quantity)')} AS r2 FROM lineitem""")

@@ -93,6 +93,24 @@ def test_sweep_orders_trials(classes):
     assert len(table) == 2 and table[0]["logloss"] <= table[1]["logloss"] < 0.7
 
 
+def test_halving_keeps_the_least_loss(spark):
+    rows = spark.range(400).selectExpr("id", "cast(id % 20 as double) a", "cast(id % 7 as double) b")
+    rows = rows.withColumn("y", F.expr("if(id = 3, null, if(a < 10, 0, if(b < 3, 1, 2)))"))
+    parts = rows.filter("id % 4 > 0"), rows.filter("id % 4 = 0")
+    trace, models, best = M.halving_sweep(*parts, ["a", "b"], "y", ["id"], (0.0, 1.0, 2.0), rates=(0.05, 0.5), depths=(1, 3), trees=3)
+    out = trace.collect()
+    by = {r: [x for x in out if x["rung"] == r] for r in (0, 1, 2)}
+    assert [len(by[r]) for r in by] == [4, 2, 1] and by[2][0]["rows"] == 299 > by[1][0]["rows"] > by[0][0]["rows"] > 0
+    for r in (0, 1):
+        low = sorted(by[r], key=lambda x: (x["logloss"], x["trial"]))[:len(by[r + 1])]
+        assert {x["trial"] for x in low} == {x["trial"] for x in by[r] if x["survived"]} == {x["trial"] for x in by[r + 1]}
+    assert best == {"learning_rate": by[2][0]["learning_rate"], "max_depth": by[2][0]["max_depth"]} and by[2][0]["accuracy"] > 0.95
+    scored = M.boosted_scores(models, M.assemble(["a", "b"]).transform(parts[1]), (0.0, 1.0, 2.0)).collect()
+    assert all(sum(r["probability"]) == pytest.approx(1) and r["probability"][int(r["prediction"])] == max(r["probability"]) for r in scored)
+    with pytest.raises(ValueError):
+        M.halving_sweep(*parts, ["a"], "y", ["id"], (0.0, 1.0), rates=())
+
+
 def test_reconstruction_with_all_components_is_exact(classes):
     scaled = minmax_scale(classes, FEATURES)
     hats = [c + "_hat" for c in FEATURES]
