@@ -10,11 +10,22 @@ from lakeloom.llm import jaccard, mixing, packing, pii, quality
 from lakeloom.llm.words import small_batches
 from lakeloom.session import materialize
 
+ROWS, DEFAULT_ROWS = "spark.sql.parquet.columnarReaderBatchSize", "4096"
+
+
+def _small_buffers(spark: SparkSession) -> None:
+    """Texts go to Python in batches of 1 MB, and Parquet is decoded 512 rows at a time: with whole stages in one session,
+    buffers of many MB leave gaps in an executor's heap and native memory that later stages don't get back. Sizes that
+    the session sets itself stay."""
+    small_batches(spark, 1 << 20)
+    if spark.conf.get(ROWS) == DEFAULT_ROWS:
+        spark.conf.set(ROWS, "512")
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling keeps; the others go. Null texts are empty and rows that repeat an id share their
     noise; an empty table gives no rows; other columns stay as they are."""
-    small_batches(spark)
+    _small_buffers(spark)
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return quality.resample(docs, labels)[0]
 
@@ -30,7 +41,7 @@ def _free(docs: DataFrame, name: str) -> str:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id; rows that repeat an id stay or go together, rows
     without an id stay."""
-    small_batches(spark)
+    _small_buffers(spark)
     found = jaccard.jaccard_components(docs)
     key = _free(docs, "gone")
     gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct(), "near-copies")
@@ -40,14 +51,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; ``n_chars`` follows the new text. Null texts stay null, every row and column
     stays, an empty table gives no rows."""
-    small_batches(spark)
+    _small_buffers(spark)
     return pii.masked(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes its words, to the nearest whole number; documents whose words the
     mixture doesn't take go, and so do those without words. Rows that repeat an id share what they give."""
-    small_batches(spark)
+    _small_buffers(spark)
     key, copies, copy = (_free(docs, name) for name in ("key", "copies", "copy"))
     share = mixing.mix(mixing.sized(docs))[1].groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("share"))
     taken = share.select(F.col("doc_id").alias(key), F.round("share").cast("int").alias(copies)).where(F.col(copies) > 0)
@@ -58,7 +69,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 ids. Null texts are empty, repeated rows are packed each, columns other
     than ``doc_id`` and ``text`` don't matter, an empty table gives no rows."""
-    small_batches(spark)
+    _small_buffers(spark)
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json")).drop("copy")
 
 
