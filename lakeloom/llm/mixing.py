@@ -12,6 +12,8 @@ from lakeloom.session import materialize
 GOLDEN = (math.sqrt(5) - 1) / 2
 SPLIT = 1 << 20
 CELLS = 4096
+#: Copies of one row that a single row of counts stands for before they are dealt to tasks.
+COPIES = 1 << 16
 
 
 def word_count(text: Column) -> Column:
@@ -76,15 +78,32 @@ def schedule(targets: DataFrame, words: int, block: int) -> DataFrame:
     return ranked.select("slot", "part", (F.col("_own") + F.col("_before")).alias("rank"))
 
 
+def numbered(sized: DataFrame, copies: int = COPIES) -> DataFrame:
+    """Every row with ``_copy_no``, its number among equal rows (from 1).
+
+    Equal rows are counted (combined before the shuffle) and told apart afterwards, so an id on a third of all rows meets in
+    no task; counts above ``copies`` are dealt to tasks in runs first. Reruns number the same.
+    """
+    keys = ("doc_id", "source", "size")
+    counted = sized.groupBy(*keys).agg(F.count("*").alias("_n"))
+    few = counted.where(F.col("_n") <= copies).select(*keys, F.explode(F.sequence(F.lit(1).cast("long"), "_n")).alias("_copy_no"))
+    many = counted.where(F.col("_n") > copies).withColumn("_first", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"), F.lit(copies).cast("long"))))
+    tasks = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = many.repartition(tasks, *keys, "_first")
+    last = F.least(F.col("_n"), F.col("_first") + copies - 1)
+    return few.unionByName(dealt.select(*keys, F.explode(F.sequence(F.col("_first"), last)).alias("_copy_no")))
+
+
 def shuffled_blocks(sized: DataFrame, targets: DataFrame, block: int, most_epochs: int, seed: str) -> DataFrame:
     """Pieces of documents in their source's blocks of ``block`` words: each source's documents stand in hash order, end to
     end, ``most_epochs`` times over, cut at the source's target. A piece has ``part``, ``block``, ``words``, ``epoch`` and
-    its document's row (``_bucket``, ``_row``, ``doc_id``, ``size``); documents without a piece have null there.
+    its document's row (``_bucket``, ``_row``, ``doc_id``, ``size``); documents without a piece have null there. Repeated
+    ids get a hash each.
     """
-    rows = sized.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-    rows = rows.withColumn("_hash", F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    rows = numbered(sized).join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
+    rows = rows.withColumn("_hash", F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size", "_copy_no")))
     rows = rows.withColumn("_bucket", F.substring("_hash", 1, 3)).drop("_source")
-    within = Window.partitionBy("part", "_bucket").orderBy("_hash", "doc_id", "size")
+    within = Window.partitionBy("part", "_bucket").orderBy("_hash", "doc_id", "size", "_copy_no")
     sums = rows.groupBy("part", "_bucket").agg(F.sum("size").alias("_sum"))
     earlier = Window.partitionBy("part").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("part", "_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))

@@ -79,3 +79,19 @@ def test_empty(spark):
     assert mixture.collect() == [] and taken.collect() == []
     only = mixing.mix(mixing.sized(spark.createDataFrame([(1, None, None, 0, "", 0)], SCHEMA)))[1].collect()
     assert [(r["doc_id"], r["size"], r["target"], r["taken"]) for r in only] == [(1, 0, 0.0, 0)]
+
+
+def test_hot_ids_spread(spark):
+    """A third of all rows have one id, another third none: no bucket holds more than a few of them, in every rerun alike."""
+    rows = [(7, "s0", 5)] * 4_000 + [(None, "s0", 5)] * 4_000 + [(100 + i, "s0", 3 + i % 5) for i in range(4_000)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    numbers = mixing.numbered(sized, copies=300).toPandas()
+    assert len(numbers) == len(rows)
+    for hot in (numbers[numbers.doc_id == 7], numbers[numbers.doc_id.isna()]):
+        assert sorted(hot["_copy_no"]) == list(range(1, 4_001))
+    targets = mixing.source_targets(sized)
+    pieces = mixing.shuffled_blocks(sized, targets, 32, 3, "mix")
+    buckets = pieces.select("_bucket", "_row").distinct().groupBy("_bucket").count().toPandas()["count"]
+    assert buckets.sum() == len(rows) and buckets.max() <= 20
+    first, again = (sorted(map(str, mixing.mix(frame)[1].collect())) for frame in (sized, sized.repartition(5)))
+    assert first == again and len(first) == len(rows)
