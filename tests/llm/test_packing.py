@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
 from lakeloom.llm import packing
 
@@ -29,6 +29,29 @@ def test_ids_are_the_tokenizers(texts):
     assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [plain(t) for t in texts]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.text(packing.LETTERS + ".\u0301×÷İ'A9", min_size=1, max_size=30), max_size=20).map(" ".join), min_size=1, max_size=4))
+def test_simple_words_are_the_tokenizers(texts):
+    ids, bounds = packing.token_ids(pa.array(texts), packing.Words(PATH))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [plain(t) for t in texts]
+
+
+def test_simple_words_pass_by_the_regular_expressions():
+    words = packing.Words(PATH)
+    names = [f"{a}{b}straße" for a in "abc" for b in packing.LETTERS]
+    ids, _ = packing.token_ids(pa.array([" ".join(names) + " x9"]), words)
+    assert ids.tolist() == plain(" ".join(names) + " x9") and list(words.young) == ["x9"] and not words.old
+
+
+def test_other_tokenizers_keep_their_expressions(tmp_path):
+    other = Tokenizer.from_file(PATH)
+    other.normalizer = normalizers.Sequence([normalizers.NFD(), normalizers.StripAccents(), normalizers.Lowercase()])
+    other.save(str(tmp_path / "other.json"))
+    words = packing.Words(str(tmp_path / "other.json"))
+    ids, _ = packing.token_ids(pa.array(["élan vital à côté"]), words)
+    assert words.merges is None and ids.tolist() == [*other.encode("élan vital à côté", add_special_tokens=False).ids, 2]
+
+
 def test_cache_may_overflow():
     words = packing.Words(PATH, 5)
     text = " ".join(f"w{i}!? v{i}" for i in range(300))
