@@ -56,6 +56,16 @@ def test_empty(spark):
         assert stage(spark, docs, "").collect() == [], name
 
 
+@pytest.mark.parametrize("more", [0, 12])
+def test_mix_without_words(spark, more):
+    """Documents without words go, also where an id has no others; rows of an id that has some share its words."""
+    rows = [(100, None, "en", "s", 0), (101, "", "en", "t", 0), (102, " \t\n", "en", None, 3), (None, None, None, None, None)]
+    rows += [(i, f"word{i} and some more words {i % 3} here", "en", "s", 9) for i in range(more)] + [(101, "some more words", "en", "t", 9)] * bool(more)
+    docs = materialize(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "t")
+    got = {r["doc_id"] for r in corpus_pipeline.mix_sources(spark, docs, "").collect()}
+    assert not got & {100, 102, None} and bool(got) == bool(more)
+
+
 def test_names_of_own_columns(spark):
     extra = ["gone", "_gone", "key", "_id", "copies", "_copies", "copy", "Copy_", "share", "log_weight", "sort_key", "component_id", "size", "row"]
     rows = [(i, f"word{i} and some more words {i % 3} here", "en", "s", 9, *range(len(extra))) for i in range(12)]
