@@ -156,3 +156,42 @@ def test_stars(spark):
             parent[max(p, q)] = min(p, q)
     assert got == {i: find(i) for i in parent if find(i) != i}
     assert stars(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_copies_do_not_look_shared(spark, monkeypatch):
+    """Texts that are repeated under other ids are one class each: only sets that share shingles with another class are compared."""
+    rng, compared, real = random.Random(5), [], jaccard.common_shingles
+    monkeypatch.setattr(jaccard, "common_shingles", lambda rows, *a, **b: compared.append(rows.count()) or real(rows, *a, **b))
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.choice([3, 30, 80]))) for _ in range(120)]
+    texts.append(texts[0] + " one more")
+    rows = [(i + 1_000 * k, t, "", 0, "") for k in range(5) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    found = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(docs).collect()), key=str)
+    assert found == brute(rows) and compared[0] < len(texts) / 4
+
+
+def test_blocks_are_written_once(spark, monkeypatch):
+    """A region that no pivot makes smaller: its rows lie in the shared folder once, however many pairs its blocks have."""
+    rows, paths, real = [r for r in corpus(3) if len(shingles(r[1])) > 1], [], jaccard.scratch_path
+    monkeypatch.setattr(jaccard, "scratch_path", lambda *a: paths.append(real(*a)) or paths[-1])
+    sets = jaccard.shingle_sets(pa.array([r[1] for r in rows]))
+    one = {jaccard.class_key(s): (7, jaccard.class_key(s), r[1], len(s)) for r, s in zip(rows, sets, strict=True)}
+    total = sum(x[3] for x in one.values())
+    held = spark.createDataFrame([(*x[:3], total) for x in one.values()], "region long, key long, text string, total long")
+    links = stars(jaccard._block_pairs(held, 75, 5, total // 6))
+    names = {r["hi"]: r["lo"] for r in links.collect()}
+    keys, ids = list(one), {k: i for i, k in enumerate(one)}
+    want = brute([(ids[k], one[k][2]) for k in keys])
+    groups = {}
+    for k in keys:
+        groups.setdefault(names.get(k, k), set()).add(ids[k])
+    assert sorted(min(g) for g in groups.values() for _ in g) == sorted(c for _, _, c in want)
+    assert spark.read.parquet(paths[0]).count() == len(keys)
+
+
+@pytest.mark.parametrize("size, some, most", [(0, 0, 1), (900, 900, 3), (900, 20, 3), (90_000, 2, 70_000), (500, 9, 600), (5, 5, 300), (70_000, 5, 3)])
+def test_counts_keep(size, some, most):
+    numbers = np.zeros(size, np.int64)
+    numbers[np.random.default_rng(size).permutation(size)[:some]] = most
+    packed = jaccard._small(numbers)
+    assert (jaccard._counts(packed) == numbers).all() and len(packed) <= 9 + 8 * some
