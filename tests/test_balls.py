@@ -1,10 +1,14 @@
 """Exact search over cells of vectors, against every pair."""
 
+import os
+
 import numpy as np
+import pyarrow.dataset as ds
 import pytest
 
 from lakeloom.operators import balls as B
 from lakeloom.operators import vectors as V
+from lakeloom.session import shared_folder
 
 
 def rows(df):
@@ -39,3 +43,14 @@ def test_missing_repeated_and_few(spark, make):
     assert rows(B.knn_pruned(v.limit(0), q, 2, "id", "q")) == []
     with pytest.raises(ValueError):
         B.knn_pruned(v, q.limit(0), 2, "id", "q")
+
+
+def test_nothing_is_written_per_visit(spark):
+    """Where no cell can be ruled out, each vector is still written once, and a query not once per cell."""
+    x = np.random.default_rng(3).normal(size=(500, 8))
+    v, q = table(spark, x), table(spark, x, "q")
+    top = f"{shared_folder(spark)}/lakeloom"
+    before, stats = set(os.listdir(top)) if os.path.isdir(top) else set(), {}
+    assert rows(B.knn_pruned(v, q, 3, "id", "q", cells=40, stats=stats)) == rows(V.knn_l2(v, q, 3, "id", "q"))
+    written = {d: ds.dataset(f"{top}/{d}", format="parquet").count_rows() for d in set(os.listdir(top)) - before if not d.startswith("knn-queries")}
+    assert stats["pairs"] > 0.9 * stats["all"] and 0 < sum(written.values()) <= 5 * 500
