@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import product
+from operator import and_
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -14,11 +16,12 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA, Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloom.functions.scalars import HASH_RANGE, as_col, stable_hash
 from lakeloom.session import materialize
@@ -130,13 +133,16 @@ def trial_table(df: DataFrame, trials: Sequence[tuple[dict, PipelineModel, float
 
 
 def train_boosted(
-    assembled: DataFrame, label: str, classes: Sequence[float], rate: float = 0.1, depth: int = 3, trees: int = 10, seed: int = 0
+    assembled: DataFrame, label: str, classes: Sequence[float], rate: float = 0.1, depth: int = 3, trees: int = 10, seed: int = 0,
+    weight: str | None = None,
 ) -> list:
-    """Boosted trees for any number of classes: one model per class against the rest, on a table with a features column."""
+    """Boosted trees for any number of classes: one model per class against the rest, on a table with a features column.
+    ``weight`` names a column that tells how many rows a row stands for."""
     out = []
     for c in classes:
-        own = assembled.select(FEATURES, F.when(F.col(label) == c, 1.0).otherwise(0.0).alias("own"))
-        out.append(GBTClassifier(featuresCol=FEATURES, labelCol="own", stepSize=rate, maxDepth=depth, maxIter=trees, seed=seed).fit(own))
+        own = assembled.select(FEATURES, F.when(F.col(label) == c, 1.0).otherwise(0.0).alias("own"), *([weight] if weight else []))
+        gbt = GBTClassifier(featuresCol=FEATURES, labelCol="own", stepSize=rate, maxDepth=depth, maxIter=trees, seed=seed)
+        out.append((gbt.setWeightCol(weight) if weight else gbt).fit(own))
     return out
 
 
@@ -153,6 +159,73 @@ def boosted_scores(models: Sequence, assembled: DataFrame, classes: Sequence[flo
     return out.drop(*[f"__p{i}" for i in range(len(models))])
 
 
+def _values(df: DataFrame, features: Sequence[str], *keep: Column | str) -> tuple[DataFrame, list[str]]:
+    """Rows whose features are all known as plain double columns ``__x0``, ``__x1`` ..., one per component, and their names."""
+    if all(isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType)) for c in features):
+        parts, rows = [F.col(c).cast("double") for c in features], df
+    else:
+        rows = assemble(features, "__v").transform(df)
+        first = rows.select(F.size(vector_to_array("__v")).alias("n")).first()
+        parts = [vector_to_array("__v")[i] for i in range(first["n"] if first else 0)]
+    names = [f"__x{i}" for i in range(len(parts))]
+    out = rows.select(*[p.alias(n) for p, n in zip(parts, names)], *keep)
+    return out.where(reduce(and_, [F.col(n).isNotNull() & ~F.isnan(n) for n in names], F.lit(True))), names
+
+
+def bin_edges(rows: DataFrame, names: Sequence[str], bins: int = 32, fine: int = 1_000) -> list[list[float]]:
+    """Per column at most ``bins`` - 1 values where a new bin begins: every value where there are few, else quantiles."""
+    grid = [i / fine for i in range(fine + 1)]
+    got = rows.agg(*[F.percentile_approx(c, grid, 10 * fine).alias(c) for c in names]).first()
+    out = []
+    for c in names:
+        values = np.array(got[c] or [0.0])
+        held = np.unique(values[np.isfinite(values)])
+        if len(held) > bins:
+            held = np.unique(np.quantile(values[np.isfinite(values)], np.arange(1, bins) / bins, method="nearest"))
+        else:
+            held = held[1:] if len(held) > 1 else held
+        out.append([float(x) for x in held] or [0.0])
+    return out
+
+
+def binned(rows: DataFrame, names: Sequence[str], edges: Sequence[Sequence[float]], name: str = "__b") -> tuple[DataFrame, list[str]]:
+    """``rows`` with the number of each value's bin, and the names of these columns. Bins are in order, so the numbers lose the
+    mark of categories that ``Bucketizer`` gives them."""
+    into = [f"{name}{i}" for i in range(len(names))]
+    splits = [[-float("inf"), *e, float("inf")] for e in edges]
+    out = Bucketizer(splitsArray=splits, inputCols=list(names), outputCols=into).transform(rows)
+    return out.withColumns({c: F.col(c) + F.lit(0.0) for c in into}), into
+
+
+class Binned:
+    """A model of bin numbers that takes the features themselves."""
+
+    def __init__(self, model, edges: Sequence[Sequence[float]]):
+        self.model, self.edges = model, edges
+
+    def copy(self) -> Binned:
+        return Binned(self.model.copy(), self.edges)
+
+    def setProbabilityCol(self, name: str) -> Binned:
+        self.model.setProbabilityCol(name)
+        return self
+
+    def setRawPredictionCol(self, name: str) -> Binned:
+        self.model.setRawPredictionCol(name)
+        return self
+
+    def setPredictionCol(self, name: str) -> Binned:
+        self.model.setPredictionCol(name)
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        names = [f"__x{i}" for i in range(len(self.edges))]
+        values = df.withColumns({n: vector_to_array(FEATURES)[i] for i, n in enumerate(names)}).withColumnRenamed(FEATURES, "__features")
+        rows, into = binned(values, names, self.edges)
+        scored = self.model.transform(assemble(into).transform(rows))
+        return scored.drop(FEATURES, *names, *into).withColumnRenamed("__features", FEATURES)
+
+
 def halving_sweep(
     train: DataFrame, test: DataFrame, features: Sequence[str], label: str, key: Sequence[str], classes: Sequence[float],
     rates: Sequence[float] = (0.1, 0.3), depths: Sequence[int] = (3,), eta: int = 2, trees: int = 10, seed: int = 0,
@@ -163,6 +236,10 @@ def halving_sweep(
     ``eta`` times as many rows; the last trial has all of them. A rung's rows are those whose hash of ``key`` is below its
     share, so each sample holds the one before, on every run and cluster. Trace: trial, rung, learning_rate, max_depth,
     rows, logloss, accuracy, survived. Rows whose features or label are null take no part.
+
+    Trees split between bins of a feature's values (32 at most, as ``pyspark.ml`` has them; from quantiles of the train
+    part). So all rows are binned and counted once, by bins, label and first rung, and every trial is trained and
+    scored on these counts: rows with the same bins weigh as many as they are. The returned models take the features.
     """
     grid = [{"learning_rate": float(r), "max_depth": int(d)} for r, d in product(rates, depths)]
     if not grid or eta < 2 or not classes:
@@ -170,25 +247,33 @@ def halving_sweep(
     steps = [len(grid)]
     while steps[-1] > 1:
         steps.append(-(-steps[-1] // eta))
-    stage, hashed = assemble(features), stable_hash(*key, seed=seed + 5)
-
-    def ready(df: DataFrame, *more: str) -> DataFrame:
-        rows = stage.transform(df.where(F.col(label).isNotNull()))
-        return materialize(rows.select(FEATURES, F.col(label).cast("double").alias(label), *more), "sweep")
-
-    fitted, held = ready(train.withColumn("__h", hashed), "__h"), ready(test)
+    shares = [HASH_RANGE // eta ** (len(steps) - 1 - rung) for rung in range(len(steps))]
+    hashed = stable_hash(*key, seed=seed + 5)
+    known = F.col(label).cast("double").alias("__label")
+    rows, names = _values(train.where(F.col(label).isNotNull()), features, known, hashed.alias("__h"))
+    edges = bin_edges(rows, names)
+
+    def counted(df: DataFrame, *by: Column) -> tuple[DataFrame, list[str]]:
+        into, bins = binned(df, names, edges)
+        return materialize(into.groupBy(*bins, "__label", *by).agg(F.count(F.lit(1)).alias("__n")), "sweep"), bins
+
+    first = sum(((F.col("__h") >= share).cast("int") for share in shares[:-1]), F.lit(0))
+    fitted, bins = counted(rows, first.alias("__first"))
+    held = counted(_values(test.where(F.col(label).isNotNull()), features, known)[0])[0]
+    stage = assemble(bins)
+    held = materialize(stage.transform(held).select(FEATURES, "__label", "__n"), "held")
     alive, trace, best = list(range(len(grid))), [], None
     for rung, _ in enumerate(steps):
-        share = HASH_RANGE // eta ** (len(steps) - 1 - rung)
-        rows = fitted if rung == len(steps) - 1 else materialize(fitted.where(F.col("__h") < share), "rung")
-        n, done = rows.count(), []
+        own = fitted.where(F.col("__first") <= rung).groupBy(*bins, "__label").agg(F.sum("__n").cast("double").alias("__n"))
+        own = materialize(stage.transform(own).select(FEATURES, "__label", "__n"), "rung")
+        n, done = int(own.agg(F.sum("__n")).first()[0] or 0), []
         for trial in alive:
             p = grid[trial]
-            models = train_boosted(rows, label, classes, p["learning_rate"], p["max_depth"], trees, seed)
+            models = train_boosted(own, "__label", classes, p["learning_rate"], p["max_depth"], trees, seed, "__n")
             scored = boosted_scores(models, held, classes)
-            own = F.element_at("probability", F.array_position(F.array(*[F.lit(float(c)) for c in classes]), F.col(label)).cast("int"))
-            loss = F.avg(-F.log(F.greatest(own, F.lit(1e-15))))
-            right = F.avg((F.col("prediction") == F.col(label)).cast("double"))
+            chance = F.element_at("probability", F.array_position(F.array(*[F.lit(float(c)) for c in classes]), F.col("__label")).cast("int"))
+            loss = F.sum(-F.log(F.greatest(chance, F.lit(1e-15))) * F.col("__n")) / F.sum("__n")
+            right = F.sum((F.col("prediction") == F.col("__label")).cast("double") * F.col("__n")) / F.sum("__n")
             done.append((*scored.agg(loss.alias("loss"), right.alias("right")).first(), trial, models))
         done.sort(key=lambda d: (d[0], d[2]))
         alive = sorted(d[2] for d in done[:steps[rung + 1] if rung + 1 < len(steps) else 1])
@@ -197,7 +282,7 @@ def halving_sweep(
             p = grid[trial]
             trace.append((trial, rung, p["learning_rate"], p["max_depth"], n, loss, right, trial in alive))
     names = "trial int, rung int, learning_rate double, max_depth int, rows long, logloss double, accuracy double, survived boolean"
-    return train.sparkSession.createDataFrame(trace, names), best[3], grid[best[2]]
+    return train.sparkSession.createDataFrame(trace, names), [Binned(m, edges) for m in best[3]], grid[best[2]]
 
 
 class Reconstruction:

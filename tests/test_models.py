@@ -111,6 +111,22 @@ def test_halving_keeps_the_least_loss(spark):
         M.halving_sweep(*parts, ["a"], "y", ["id"], (0.0, 1.0), rates=())
 
 
+def test_halving_trains_on_counts(spark, monkeypatch):
+    """Trials see a row for each set of bins, however many rows there are, and learn what they learn from the rows."""
+    rows = spark.range(6_000).selectExpr("id", "cast(id % 20 as double) a", "cast(id * 7 % 11 as double) b")
+    rows = rows.withColumn("y", F.expr("if(id % 13 = 0, 2, if(a < 10, 0, if(b < 3, 1, 2)))").cast("double"))
+    parts = rows.filter("id % 4 > 0"), rows.filter("id % 4 = 0")
+    seen, real = [], M.train_boosted
+    monkeypatch.setattr(M, "train_boosted", lambda df, *a, **b: seen.append(df.count()) or real(df, *a, **b))
+    trace, models, best = M.halving_sweep(*parts, ["a", "b"], "y", ["id"], (0.0, 1.0, 2.0), rates=(0.3, 0.6), depths=(2,), trees=3)
+    assert max(seen) <= 20 * 11 * 3 and max(r["rows"] for r in trace.collect()) == 4_500
+    raw = M.assemble(["a", "b"])
+    plain = real(raw.transform(parts[0]), "y", (0.0, 1.0, 2.0), best["learning_rate"], best["max_depth"], 3)
+    held = raw.transform(parts[1])
+    got, want = ([r["probability"] for r in M.boosted_scores(m, held, (0.0, 1.0, 2.0)).orderBy("id").collect()] for m in (models, plain))
+    assert np.allclose(got, want, atol=1e-9)
+
+
 def test_reconstruction_with_all_components_is_exact(classes):
     scaled = minmax_scale(classes, FEATURES)
     hats = [c + "_hat" for c in FEATURES]
